@@ -1,0 +1,54 @@
+"""Skew handling for joins keyed by a unit that may hold a large share of all rows.
+
+A hot key on the *many* side (e.g. a bot unit owning a third of all conversion events) is split
+into ``ceil(rows / rows_per_split)`` salted sub-keys; the matching rows of the *one* side are
+replicated once per salt. The join then runs on ``(key, _salt)``, so no task receives more than
+about ``rows_per_split`` rows of one key, and the result stays exact: every many-side row meets
+every one-side row of its key exactly once (in the replica with its salt).
+
+The salt table is the top ``max_hot_keys`` keys above the threshold, so its size is bounded by
+construction (it is a ``limit``), which is what makes broadcasting it safe. Keys over the
+threshold beyond that bound are still joined exactly, only unsplit.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from abx.config import DEFAULT, ExperimentConfig
+
+SALT = "_salt"
+_N_SALTS = "_n_salts"
+
+
+def salt_table(many: DataFrame, key: str, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """(key, _n_salts) for the heaviest keys of ``many``; at most ``cfg.skew_max_hot_keys`` rows.
+
+    Counting is a partial (map-side) aggregation over the key column only.
+    """
+    per_split = int(cfg.skew_rows_per_split)
+    counts = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = (
+        counts.filter(F.col("_n") > F.lit(per_split))
+        .orderBy(F.col("_n").desc(), F.col(key))
+        .limit(int(cfg.skew_max_hot_keys))
+    )
+    return hot.select(key, F.ceil(F.col("_n") / F.lit(per_split)).cast("int").alias(_N_SALTS))
+
+
+def salt_many_side(many: DataFrame, key: str, salts: DataFrame, hash_cols: list[str]) -> DataFrame:
+    """Tag each row with a salt in [0, n_salts) from a hash of ``hash_cols`` (deterministic, so a
+    retried task after executor loss produces the same split); 0 for keys that are not hot."""
+    j = many.join(F.broadcast(salts), key, "left")
+    s = F.when(F.col(_N_SALTS).isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols]), F.col(_N_SALTS).cast("long")).cast("int")
+    )
+    return j.withColumn(SALT, s).drop(_N_SALTS)
+
+
+def replicate_one_side(one: DataFrame, key: str, salts: DataFrame) -> DataFrame:
+    """Replicate rows of hot keys once per salt; other rows get salt 0."""
+    j = one.join(F.broadcast(salts), key, "left")
+    n = F.coalesce(F.col(_N_SALTS), F.lit(1))
+    return j.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - F.lit(1)))).drop(_N_SALTS)
