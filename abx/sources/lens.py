@@ -12,7 +12,7 @@ The testdata holds no experiment tables; they derive deterministically from ``ev
 - conversions      ``purchase`` events with value >= 80; revenue = value
 
 Every table is a lazy projection + pushed-down filter of one ``events`` scan, so its work grows
-with ``events``. ``LENS_SQL`` is the same derivation in ANSI SQL for the DuckDB oracle.
+with ``events``. ``LENS_CTES`` is the same derivation in ANSI SQL for the DuckDB oracle.
 """
 
 from __future__ import annotations
@@ -197,7 +197,7 @@ def lens(spark: SparkSession, sf_dir: str) -> Lens:
 _KEYED = (
     "SELECT event_id, ts, event_type, value, "
     "CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
-    "CAST(user_id AS VARCHAR) AS unit_id, "
+    "CAST(user_id AS VARCHAR) AS unit_id, props, "
     "'exp_' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS VARCHAR) AS experiment_id "
     "FROM events"
 )
@@ -217,12 +217,12 @@ LENS_CTES = {
         "SELECT CAST(event_id AS VARCHAR) AS event_id, experiment_id, unit_id, "
         f"CASE WHEN k >= 84 THEN (CASE WHEN {_OWN} = 'control' THEN 'treatment' ELSE 'control' END) "
         f"ELSE {_OWN} END AS variant_id, ts AS exposed_at, event_type AS exposure_event_type, "
-        "CAST(ts AS DATE) AS dt "
+        "CAST(ts AS DATE) AS dt, props "
         "FROM lens_keyed WHERE event_type IN ('view', 'click') AND (k // 3) % 4 = 0"
     ),
     "conversions": (
         "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS unit_id, "
-        "ts AS occurred_at, value AS revenue FROM events "
+        "ts AS occurred_at, value AS revenue, props FROM events "
         "WHERE event_type = 'purchase' AND value >= 80"
     ),
 }
