@@ -38,24 +38,41 @@ def assignment_quality(raw: DataFrame, keys=KEY, by: tuple[str, ...] = ()) -> Da
     )
 
 
-def variant_template(spark: SparkSession) -> DataFrame:
-    """Fixed two-arm template: control / treatment at 50 / 50."""
-    schema = T.StructType(
-        [
-            T.StructField("variant_id", T.StringType(), False),
-            T.StructField("variant_name", T.StringType(), False),
-            T.StructField("allocation_pct", T.DoubleType(), False),
-            T.StructField("is_control", T.BooleanType(), False),
-        ]
-    )
-    rows = [("control", "Control", 50.0, True), ("treatment", "Treatment", 50.0, False)]
-    return spark.createDataFrame(rows, schema)
+# The default two-arm template (variant_id, variant_name, allocation_pct, is_control).
+DEFAULT_TEMPLATE = (("control", "Control", 50.0, True), ("treatment", "Treatment", 50.0, False))
+
+TEMPLATE_SCHEMA = T.StructType(
+    [
+        T.StructField("variant_id", T.StringType(), False),
+        T.StructField("variant_name", T.StringType(), False),
+        T.StructField("allocation_pct", T.DoubleType(), False),
+        T.StructField("is_control", T.BooleanType(), False),
+    ]
+)
+
+
+def variant_template(spark: SparkSession, rows=DEFAULT_TEMPLATE) -> DataFrame:
+    return spark.createDataFrame(list(rows), TEMPLATE_SCHEMA)
 
 
-def experiment_variants(experiments: DataFrame, template: DataFrame) -> DataFrame:
-    """Experiments x variant template. The template is a literal of fixed size, so broadcasting
-    it is safe; the experiment side is never moved."""
-    return experiments.select("experiment_id").crossJoin(F.broadcast(template))
+def experiment_variants(experiments: DataFrame, rows=DEFAULT_TEMPLATE) -> DataFrame:
+    """Experiments x variant template.
+
+    The template is configuration of fixed size; it is expanded per experiment row by ``inline``
+    of a literal array (a generator, no join), so the experiment side is never shuffled.
+    """
+    arr = F.array(
+        *[
+            F.struct(
+                F.lit(v).alias("variant_id"),
+                F.lit(n).alias("variant_name"),
+                F.lit(float(a)).alias("allocation_pct"),
+                F.lit(bool(c)).alias("is_control"),
+            )
+            for v, n, a, c in rows
+        ]
+    )
+    return experiments.select("experiment_id", F.inline(arr))
 
 
 # Buckets per experiment for weighted assignment (basis points of allocation).

@@ -31,9 +31,13 @@ def window_outcomes(
     cfg: ExperimentConfig = DEFAULT,
     anchor_col: str = "anchor_at",
     salt: bool = True,
+    pre_days: int = 0,
 ) -> DataFrame:
-    """Per anchor row: ``first_at``, ``n_events``, ``revenue`` of conversions in the window.
+    """Per anchor row: ``first_at``, ``n_events``, ``revenue`` of conversions in the window
+    ``[anchor + start_days, anchor + end_days)``.
 
+    With ``pre_days > 0`` the same join also covers ``[anchor + start - pre_days, anchor + start)``
+    and adds ``pre_events`` / ``pre_revenue`` (a pre-period covariate) without a second join.
     ``anchors`` must be unique per experiment x unit and hold ``anchor_col``; every other anchor
     column is carried through. ``conversions`` holds unit_id, occurred_at, event_id and
     (optionally) revenue.
@@ -56,12 +60,22 @@ def window_outcomes(
     else:
         cond = F.col("unit_id") == F.col("_cu")
     anchor = F.col(anchor_col)
-    cond = cond & (F.col("_ct") >= plus_days(anchor, start_days)) & (F.col("_ct") < plus_days(anchor, end_days))
+    lo = plus_days(anchor, start_days - pre_days)
+    cond = cond & (F.col("_ct") >= lo) & (F.col("_ct") < plus_days(anchor, end_days))
     j = a.join(conv, cond, "left")
+    if pre_days <= 0:
+        return j.groupBy(*carry).agg(
+            F.min("_ct").alias("first_at"),
+            F.count("_ct").alias("n_events"),
+            F.sum("_cr").alias("revenue"),
+        )
+    in_win = F.col("_ct") >= plus_days(anchor, start_days)
     return j.groupBy(*carry).agg(
-        F.min("_ct").alias("first_at"),
-        F.count("_ct").alias("n_events"),
-        F.sum("_cr").alias("revenue"),
+        F.min(F.when(in_win, F.col("_ct"))).alias("first_at"),
+        F.count(F.when(in_win, F.col("_ct"))).alias("n_events"),
+        F.sum(F.when(in_win, F.col("_cr"))).alias("revenue"),
+        F.count(F.when(~in_win, F.col("_ct"))).alias("pre_events"),
+        F.sum(F.when(~in_win, F.col("_cr"))).alias("pre_revenue"),
     )
 
 
@@ -71,6 +85,7 @@ def conversion_outcomes(
     cfg: ExperimentConfig = DEFAULT,
     anchor: str = "exposure",
     salt: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Did each unit convert within ``cfg.conversion_window_days`` of its anchor?
 
@@ -78,15 +93,18 @@ def conversion_outcomes(
     ``anchor="assignment"``: every assigned unit (intent-to-treat), window from assignment.
     Windows are half-open: ``anchor <= t < anchor + N days``.
     Output: experiment_id, unit_id, variant_id, anchor_at, metric_id, window_days, did_convert,
-    converted_at.
+    converted_at (+ the cohort columns named in ``carry``).
     """
     if anchor == "exposure":
         base = cohort_df.filter(F.col("has_post_assignment_exposure") == F.lit(True)).select(
-            *ANCHOR_KEY, F.col("assigned_variant_id").alias("variant_id"), F.col("first_exposure_at").alias("anchor_at")
+            *ANCHOR_KEY,
+            F.col("assigned_variant_id").alias("variant_id"),
+            F.col("first_exposure_at").alias("anchor_at"),
+            *carry,
         )
     elif anchor == "assignment":
         base = cohort_df.select(
-            *ANCHOR_KEY, F.col("assigned_variant_id").alias("variant_id"), F.col("assigned_at").alias("anchor_at")
+            *ANCHOR_KEY, F.col("assigned_variant_id").alias("variant_id"), F.col("assigned_at").alias("anchor_at"), *carry
         )
     else:
         raise ValueError(f"anchor must be 'exposure' or 'assignment', got {anchor!r}")
@@ -100,6 +118,7 @@ def conversion_outcomes(
         F.lit(n).alias("window_days"),
         F.col("first_at").isNotNull().alias("did_convert"),
         F.col("first_at").alias("converted_at"),
+        *carry,
     )
 
 

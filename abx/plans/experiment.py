@@ -128,3 +128,67 @@ class ExperimentDAG:
     @cached_property
     def governed_results(self) -> DataFrame:
         return results.governed_results(self.results_pairwise)
+
+    # ---- guardrails (tier B) ---------------------------------------------------------------
+    @cached_property
+    def outcomes_itt_with_start(self) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        c = self.cohort.withColumn(
+            "analysis_start_at", F.coalesce(F.col("first_exposure_at"), F.col("assigned_at"))
+        )
+        return outcomes.conversion_outcomes(
+            c, self.conversions, self.cfg, "assignment", salt=self.salt, carry=("analysis_start_at",)
+        )
+
+    def guards(self) -> dict[str, DataFrame]:
+        from abx.operators import guardrails as G
+
+        return {
+            "assignment_unique": G.guard_assignment_unique(self.raw_assignments),
+            "srm": G.guard_srm(self.canonical, self.dim_variant, self.cfg),
+            "exposure_order": G.guard_exposure_order(self.validation),
+            "outcome_order": G.guard_outcome_order(self.outcomes_itt_with_start),
+            "outcome_grain": G.guard_outcome_grain(self.unit_outcomes),
+            "min_sample": G.guard_min_sample(self.canonical, self.dim_variant, self.cfg),
+        }
+
+    def quality_report(self, dt: str) -> DataFrame:
+        from abx.operators import guardrails as G
+
+        g = self.guards()
+        return G.experiment_quality_report(
+            self.dim_experiment,
+            g["assignment_unique"],
+            g["srm"],
+            g["exposure_order"],
+            g["outcome_order"],
+            g["outcome_grain"],
+            g["min_sample"],
+            dt,
+        )
+
+    # ---- extensions --------------------------------------------------------------------------
+    @cached_property
+    def cuped_units(self) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        n = int(self.cfg.conversion_window_days)
+        anchors = self.cohort.select(
+            "experiment_id",
+            "unit_id",
+            F.col("assigned_variant_id").alias("variant_id"),
+            F.col("assigned_at").alias("anchor_at"),
+        )
+        return outcomes.window_outcomes(anchors, self.conversions, 0, n, self.cfg, salt=self.salt, pre_days=n)
+
+    @cached_property
+    def query_log(self) -> DataFrame:
+        """Logged texts to audit: every conversation turn, id = conv_id:turn (whole texts)."""
+        from pyspark.sql import functions as F
+
+        conv = self.spark.read.parquet(f"{self.sf_dir.rstrip('/')}/conversations.parquet")
+        return conv.select(
+            F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"),
+            F.col("text").alias("sql_text"),
+        )

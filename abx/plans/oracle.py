@@ -375,3 +375,255 @@ def round9(cols: list[str], table: str, keep: list[str]) -> str:
     """SELECT keep..., round(col, 9) AS col ... FROM table."""
     parts = list(keep) + [f"round({c}, 9) AS {c}" for c in cols]
     return f"SELECT {', '.join(parts)} FROM {table}"
+
+
+# ---- dimensions, guardrails ----------------------------------------------------------------
+CTES["dim_experiment"] = """
+SELECT experiment_id, min(assigned_at) AS start_at, max(assigned_at) AS end_at FROM raw_assignments GROUP BY 1"""
+
+CTES["dim_variant"] = """
+SELECT e.experiment_id, t.variant_id, t.variant_name, CAST(t.allocation_pct AS DOUBLE) AS allocation_pct, t.is_control
+FROM dim_experiment e
+CROSS JOIN (VALUES ('control', 'Control', 50.0, true), ('treatment', 'Treatment', 50.0, false))
+  AS t(variant_id, variant_name, allocation_pct, is_control)"""
+
+CTES["srm_arms"] = """
+SELECT a.experiment_id, a.variant_id, a.allocation_pct, a.observed, t.total_units, t.total_alloc, t.n_arms,
+       a.allocation_pct / NULLIF(t.total_alloc, 0) AS expected_share,
+       CAST(a.observed AS DOUBLE) / NULLIF(CAST(t.total_units AS DOUBLE), 0) AS observed_share,
+       CAST(t.total_units AS DOUBLE) * (a.allocation_pct / NULLIF(t.total_alloc, 0)) AS expected
+FROM (SELECT d.experiment_id, d.variant_id, d.allocation_pct, CAST(COALESCE(o.observed, 0) AS BIGINT) AS observed
+      FROM dim_variant d LEFT JOIN (SELECT experiment_id, variant_id, count(*) AS observed FROM canonical GROUP BY 1, 2) o
+        ON d.experiment_id = o.experiment_id AND d.variant_id = o.variant_id) a
+JOIN (SELECT experiment_id, CAST(sum(observed) AS BIGINT) AS total_units, sum(allocation_pct) AS total_alloc,
+             count(*) AS n_arms
+      FROM (SELECT d.experiment_id, d.allocation_pct, COALESCE(o.observed, 0) AS observed
+            FROM dim_variant d LEFT JOIN (SELECT experiment_id, variant_id, count(*) AS observed FROM canonical GROUP BY 1, 2) o
+              ON d.experiment_id = o.experiment_id AND d.variant_id = o.variant_id) GROUP BY 1) t
+  ON a.experiment_id = t.experiment_id"""
+
+CTES["srm1"] = """
+SELECT experiment_id, n_arms, total_units,
+       COALESCE(sum(CASE WHEN expected > 0 THEN (observed - expected) * (observed - expected) / expected END), 0.0)
+         AS chi_square,
+       max(abs(observed_share - expected_share)) * 100.0 AS variant_allocation_deviation_pct,
+       CAST(n_arms - 1 AS INTEGER) AS chi_square_df
+FROM srm_arms GROUP BY experiment_id, n_arms, total_units"""
+
+
+def _chi2_tail(x: str, df: str) -> str:
+    h = f"({x} / 2.0)"
+    odd = (
+        f"({_p_two_sided(f'sqrt({x})', cap=False)} + exp(-{h}) * COALESCE((SELECT sum(exp((i - 0.5) * ln({h}) - "
+        f"lgamma(i + 0.5))) FROM range(1, CAST(({df} - 1) // 2 AS BIGINT) + 1) r(i)), 0.0))"
+    )
+    even = (
+        f"(exp(-{h}) * (1.0 + COALESCE((SELECT sum(exp(i * ln({h}) - lgamma(i + 1))) "
+        f"FROM range(1, CAST({df} // 2 AS BIGINT)) r(i)), 0.0)))"
+    )
+    q = f"CASE WHEN {x} <= 0 THEN 1.0 WHEN {df} % 2 = 1 THEN {odd} ELSE {even} END"
+    return f"CASE WHEN {x} IS NULL OR {df} IS NULL OR {df} < 1 THEN NULL ELSE LEAST(GREATEST({q}, 0.0), 1.0) END"
+
+
+CTES["srm"] = f"""
+SELECT *, COALESCE(variant_allocation_deviation_pct, 0.0) <= 3.0 AND COALESCE(chi_square_p_value, 1.0) >= 0.01
+         AS srm_passed
+FROM (SELECT *, {_chi2_tail('chi_square', 'chi_square_df')} AS chi_square_p_value FROM srm1)"""
+
+CTES["g_assign"] = """
+SELECT experiment_id, CAST(sum(c) AS BIGINT) AS raw_rows, count(*) AS unique_units,
+       CAST(COALESCE(sum(c - 1), 0) AS BIGINT) AS assignment_duplicates_count,
+       COALESCE(sum(c - 1), 0) = 0 AS assignment_unique_passed
+FROM (SELECT experiment_id, unit_id, count(*) AS c FROM raw_assignments GROUP BY 1, 2) GROUP BY 1"""
+
+CTES["g_exposure_order"] = f"""
+SELECT experiment_id, {_sum_if('first_exposure_any_at < assigned_at')} AS exposure_before_assignment_count,
+       {_sum_if('first_exposure_any_at < assigned_at')} = 0 AS exposure_order_passed
+FROM validation GROUP BY 1"""
+
+CTES["g_outcome_order"] = f"""
+SELECT o.experiment_id,
+       {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')} AS outcomes_before_analysis_start_count,
+       {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')} = 0 AS outcome_order_passed
+FROM outcomes_itt o JOIN cohort c ON o.experiment_id = c.experiment_id AND o.unit_id = c.unit_id
+GROUP BY 1"""
+
+CTES["unit_outcomes"] = f"""
+SELECT experiment_id, unit_id, variant_id, anchor_at, anchor_type, 7 AS window_days,
+       converted_at IS NOT NULL AS converted, converted_at, conversion_events, revenue
+FROM (
+  SELECT c.experiment_id, c.unit_id, c.assigned_variant_id AS variant_id,
+         COALESCE(c.first_exposure_at, c.assigned_at) AS anchor_at,
+         CASE WHEN c.first_exposure_at IS NOT NULL THEN 'exposure' ELSE 'assignment' END AS anchor_type,
+         min(cv.occurred_at) AS converted_at, count(cv.occurred_at) AS conversion_events,
+         COALESCE(sum(cv.revenue), 0.0) AS revenue
+  FROM cohort c LEFT JOIN conv cv ON c.unit_id = cv.unit_id
+       AND cv.occurred_at >= COALESCE(c.first_exposure_at, c.assigned_at)
+       AND cv.occurred_at < COALESCE(c.first_exposure_at, c.assigned_at) + {CONVDAYS}
+  GROUP BY 1, 2, 3, 4, 5)"""
+
+CTES["g_outcome_grain"] = """
+SELECT experiment_id, CAST(COALESCE(sum(c - 1), 0) AS BIGINT) AS duplicate_outcome_rows_count,
+       COALESCE(sum(c - 1), 0) = 0 AS outcome_grain_passed
+FROM (SELECT experiment_id, unit_id, count(*) AS c FROM unit_outcomes GROUP BY 1, 2) GROUP BY 1"""
+
+CTES["g_min_sample"] = """
+SELECT experiment_id, min(observed) AS min_users_per_variant, max(observed) AS max_users_per_variant,
+       min(observed) < 30 AS min_sample_warning
+FROM srm_arms GROUP BY 1"""
+
+CTES["quality_report"] = """
+SELECT e.experiment_id, DATE '2024-01-31' AS dt,
+  len(failed) = 0 AS is_valid_for_analysis, failed AS failed_guardrails, warnings,
+  assignment_duplicates_count, round(variant_allocation_deviation_pct, 9) AS variant_allocation_deviation_pct,
+  round(chi_square_p_value, 9) AS chi_square_p_value, exposure_before_assignment_count,
+  outcomes_before_analysis_start_count, duplicate_outcome_rows_count, min_users_per_variant
+FROM (
+  SELECT e.experiment_id, a.assignment_duplicates_count, s.variant_allocation_deviation_pct, s.chi_square_p_value,
+         x.exposure_before_assignment_count, o.outcomes_before_analysis_start_count, g.duplicate_outcome_rows_count,
+         m.min_users_per_variant,
+         list_filter([CASE WHEN NOT COALESCE(a.assignment_unique_passed, true) THEN 'assignment_unique' END,
+                      CASE WHEN NOT COALESCE(s.srm_passed, true) THEN 'srm' END,
+                      CASE WHEN NOT COALESCE(x.exposure_order_passed, true) THEN 'exposure_order' END,
+                      CASE WHEN NOT COALESCE(o.outcome_order_passed, true) THEN 'outcome_order' END,
+                      CASE WHEN NOT COALESCE(g.outcome_grain_passed, true) THEN 'outcome_grain' END],
+                     lambda v: v IS NOT NULL) AS failed,
+         list_filter([CASE WHEN COALESCE(m.min_sample_warning, false) THEN 'min_sample' END], lambda v: v IS NOT NULL)
+           AS warnings
+  FROM (SELECT DISTINCT experiment_id FROM dim_experiment) e
+  LEFT JOIN g_assign a ON e.experiment_id = a.experiment_id
+  LEFT JOIN srm s ON e.experiment_id = s.experiment_id
+  LEFT JOIN g_exposure_order x ON e.experiment_id = x.experiment_id
+  LEFT JOIN g_outcome_order o ON e.experiment_id = o.experiment_id
+  LEFT JOIN g_outcome_grain g ON e.experiment_id = g.experiment_id
+  LEFT JOIN g_min_sample m ON e.experiment_id = m.experiment_id) e"""
+
+# ---- governance ----------------------------------------------------------------------------
+from abx.operators import governance as _G  # noqa: E402
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+CTES["allowed_assets"] = "SELECT * FROM (VALUES " + ", ".join(
+    "(" + ", ".join([_sql_str(r[0]), _sql_str(r[1]), _sql_str(r[2]), _sql_str(r[3]), "true" if r[4] else "false",
+                     _sql_str(r[5])]) + ")"
+    for r in _G.ALLOWED_ASSET_ROWS
+) + ") AS t(asset_type, asset_name, grain, primary_keys, is_allowed_for_ai, description)"
+
+CTES["qlog"] = """
+SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS query_id, text AS sql_text FROM conversations"""
+
+CTES["qrefs"] = f"""
+SELECT query_id, sql_text,
+       list_sort(list_distinct(list_transform(regexp_extract_all(sql_text, {_sql_str(_G.ASSET_PATTERN)}, 1),
+                                              lambda x: lower(x)))) AS referenced_assets,
+       lower(regexp_replace(sql_text, {_sql_str(_G.LEADING_TRAILING_WS)}, '', 'g')) AS s
+FROM qlog"""
+
+_KW_CASES = ", ".join(
+    f"CASE WHEN regexp_matches(s, {_sql_str(_G.keyword_pattern(k))}) THEN 'blocked_keyword:{k}' END"
+    for k in _G.BLOCKED_KEYWORDS
+)
+
+CTES["qaudit"] = f"""
+SELECT query_id, referenced_assets, violations, len(violations) = 0 AS ok FROM (
+  SELECT query_id, referenced_assets,
+    list_concat(
+      list_filter([CASE WHEN NOT (starts_with(s, 'select') OR starts_with(s, 'with')) THEN 'only_select_allowed' END,
+                   CASE WHEN regexp_matches(s, {_sql_str(_G.SELECT_STAR_PATTERN)}) THEN 'select_star_blocked' END,
+                   {_KW_CASES}], lambda v: v IS NOT NULL),
+      list_transform(list_filter(referenced_assets, lambda a: NOT list_contains(al.allowed, a)),
+                     lambda a: 'non_allowlisted_asset:' || a)) AS violations
+  FROM qrefs,
+       (SELECT list(lower(asset_name)) AS allowed FROM allowed_assets WHERE is_allowed_for_ai) al)"""
+
+# ---- assignment helpers, feeds ---------------------------------------------------------------
+CTES["av_bounds"] = """
+SELECT experiment_id, variant_id,
+       CAST(round((cum - allocation_pct) / total * 10000) AS INTEGER) AS bucket_lo,
+       CAST(round(cum / total * 10000) AS INTEGER) AS bucket_hi
+FROM (SELECT experiment_id, variant_id, allocation_pct,
+             sum(allocation_pct) OVER (PARTITION BY experiment_id ORDER BY variant_id
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
+             sum(allocation_pct) OVER (PARTITION BY experiment_id) AS total
+      FROM dim_variant)"""
+
+CTES["assigned_variants"] = """
+SELECT u.experiment_id, u.unit_id, b.variant_id, u.bucket
+FROM (SELECT experiment_id, unit_id,
+             CAST(CAST(('0x' || substr(md5(experiment_id || ':' || unit_id), 1, 8)) AS BIGINT) % 10000 AS INTEGER)
+               AS bucket
+      FROM canonical) u
+JOIN av_bounds b ON u.experiment_id = b.experiment_id AND u.bucket >= b.bucket_lo AND u.bucket < b.bucket_hi"""
+
+# ---- extensions ------------------------------------------------------------------------------
+CTES["welch_arms"] = """
+SELECT experiment_id, variant_id, count(*) AS n, avg(revenue) AS mean, var_samp(revenue) AS var
+FROM unit_outcomes GROUP BY 1, 2"""
+
+CTES["welch1"] = """
+SELECT t.experiment_id, t.variant_id, c.n AS n_control, c.mean AS mean_control, c.var AS var_control,
+       t.n AS n_treatment, t.mean AS mean_treatment, t.var AS var_treatment, t.mean - c.mean AS diff,
+       t.var / CAST(t.n AS DOUBLE) AS a, c.var / CAST(c.n AS DOUBLE) AS b
+FROM (SELECT * FROM welch_arms WHERE variant_id != 'control') t
+JOIN (SELECT * FROM welch_arms WHERE variant_id = 'control') c ON t.experiment_id = c.experiment_id"""
+
+CTES["welch"] = f"""
+SELECT experiment_id, variant_id, n_control, mean_control, var_control, n_treatment, mean_treatment, var_treatment,
+       diff, se, t_stat, welch_df, {_p_two_sided('t_stat', cap=True)} AS p_value_normal_approx,
+       diff - 1.96 * se AS ci_low, diff + 1.96 * se AS ci_high
+FROM (SELECT *, diff / NULLIF(se, 0) AS t_stat,
+             (a + b) * (a + b) / NULLIF(a * a / (n_treatment - 1) + b * b / (n_control - 1), 0) AS welch_df
+      FROM (SELECT *, sqrt(a + b) AS se FROM welch1))"""
+
+CTES["cuped_units"] = f"""
+SELECT c.experiment_id, c.unit_id, c.assigned_variant_id AS variant_id,
+       COALESCE(sum(CASE WHEN cv.occurred_at < c.assigned_at THEN cv.revenue END), 0.0) AS x,
+       COALESCE(sum(CASE WHEN cv.occurred_at >= c.assigned_at THEN cv.revenue END), 0.0) AS y
+FROM cohort c LEFT JOIN conv cv ON c.unit_id = cv.unit_id
+     AND cv.occurred_at >= c.assigned_at - {CONVDAYS} AND cv.occurred_at < c.assigned_at + {CONVDAYS}
+GROUP BY 1, 2, 3"""
+
+CTES["cuped"] = """
+SELECT u.experiment_id, u.variant_id, count(*) AS n_units, avg(u.x) AS mean_pre, avg(u.y) AS mean_post, t.theta,
+       avg(u.y - COALESCE(t.theta, 0.0) * (u.x - t.mx)) AS mean_post_adjusted,
+       var_samp(u.y) AS var_post, var_samp(u.y - COALESCE(t.theta, 0.0) * u.x) AS var_post_adjusted
+FROM cuped_units u
+JOIN (SELECT experiment_id, covar_samp(x, y) / NULLIF(var_samp(x), 0) AS theta, avg(x) AS mx
+      FROM cuped_units GROUP BY 1) t ON u.experiment_id = t.experiment_id
+GROUP BY u.experiment_id, u.variant_id, t.theta"""
+
+CTES["bh"] = """
+SELECT experiment_id, metric_id, variant_id, p_value, p_rank, n_tests,
+       LEAST(min(p_value * n_tests / p_rank) OVER (PARTITION BY experiment_id ORDER BY p_rank DESC
+                                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 1.0) AS p_value_bh
+FROM (SELECT experiment_id, metric_id, variant_id, p_value_two_sided AS p_value,
+             row_number() OVER (PARTITION BY experiment_id ORDER BY p_value_two_sided, metric_id, variant_id) AS p_rank,
+             count(*) OVER (PARTITION BY experiment_id) AS n_tests
+      FROM results WHERE variant_id != 'control' AND p_value_two_sided IS NOT NULL)"""
+
+CTES["anomalies"] = """
+SELECT experiment_id, date_day, rate, prev_rate, trailing_avg_rate, rate - prev_rate AS day_over_day_change,
+       rate - trailing_avg_rate AS change_vs_trailing,
+       COALESCE(abs(rate - trailing_avg_rate) > 0.1, false) AS is_anomaly
+FROM (SELECT experiment_id, date_day, exposure_rate AS rate,
+             lag(exposure_rate) OVER (PARTITION BY experiment_id ORDER BY date_day) AS prev_rate,
+             avg(exposure_rate) OVER (PARTITION BY experiment_id ORDER BY date_day
+                                      ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_avg_rate
+      FROM quality_daily_post)"""
+
+CTES["spine"] = """
+SELECT c.experiment_id, c.unit_id, c.assigned_variant_id AS variant_id, m.metric_id, m.event_name, m.kind, m.anchor,
+       m.window_days,
+       CASE WHEN m.anchor = 'exposure' THEN c.first_exposure_at ELSE c.assigned_at END AS anchor_at,
+       (CASE WHEN m.anchor = 'exposure' THEN c.first_exposure_at ELSE c.assigned_at END) IS NOT NULL AS is_eligible,
+       CASE WHEN m.anchor = 'exposure' THEN c.first_exposure_at ELSE c.assigned_at END AS window_start_at,
+       (CASE WHEN m.anchor = 'exposure' THEN c.first_exposure_at ELSE c.assigned_at END) + to_days(m.window_days)
+         AS window_end_at
+FROM cohort c
+CROSS JOIN (VALUES ('conversion_7d', 'purchase', 7, 'exposure', 'binary'),
+                   ('revenue_7d', 'purchase', 7, 'exposure', 'continuous'),
+                   ('conversion_itt_7d', 'purchase', 7, 'assignment', 'binary'))
+  AS m(metric_id, event_name, window_days, anchor, kind)"""

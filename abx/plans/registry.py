@@ -454,3 +454,410 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["QUERIES", "ORACLES", "flagship", "F"]
+
+
+# ---- 2.9 contracts -------------------------------------------------------------------------
+from abx.functions.status import STATUS_LABELS  # noqa: E402
+from abx.operators import contracts as C  # noqa: E402
+from abx.operators import extensions as X  # noqa: E402
+from abx.operators import governance as G  # noqa: E402
+from abx.operators import guardrails as GR  # noqa: E402
+from abx.operators import quality as Q  # noqa: E402
+from abx.operators import reports as R  # noqa: E402
+
+# Fixed report parameters for the registered runs (the testdata covers January 2024).
+AS_OF = "2024-01-31"
+REPORT_EXPERIMENT = "exp_0"
+
+_NN_VALIDATION = ["experiment_id", "unit_id", "assigned_variant_id", "assigned_at", "validation_status"]
+_NN_DEDUPED = ["event_id", "experiment_id", "unit_id", "variant_id", "exposed_at"]
+
+
+def _nn_sql(table: str, prefix: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{prefix}.not_null.{c}' AS \"check\", CAST(count_if({c} IS NULL) AS BIGINT) AS failing_rows FROM {table}"
+        for c in cols
+    )
+
+
+@register(
+    "contract_not_null",
+    _nn_sql("validation", "validation", _NN_VALIDATION) + " UNION ALL " + _nn_sql("deduped", "deduped", _NN_DEDUPED),
+)
+def _contract_not_null(d: ExperimentDAG) -> DataFrame:
+    return C.union_checks(
+        [
+            C.contract_not_null(d.validation, _NN_VALIDATION, "validation"),
+            C.contract_not_null(d.deduped, _NN_DEDUPED, "deduped"),
+        ]
+    )
+
+
+_VARIANTS = ("control", "treatment")
+
+
+def _av_sql(table: str, prefix: str, col: str, values) -> str:
+    vals = ", ".join(f"'{v}'" for v in values)
+    return (
+        f"SELECT '{prefix}.accepted_values.{col}' AS \"check\", "
+        f"CAST(count_if({col} IS NOT NULL AND {col} NOT IN ({vals})) AS BIGINT) AS failing_rows FROM {table}"
+    )
+
+
+@register(
+    "contract_accepted_values",
+    " UNION ALL ".join(
+        [
+            _av_sql("validation", "validation", "validation_status", STATUS_LABELS),
+            _av_sql("validation", "validation", "assigned_variant_id", _VARIANTS),
+            _av_sql("deduped", "deduped", "variant_id", _VARIANTS),
+        ]
+    ),
+)
+def _contract_accepted(d: ExperimentDAG) -> DataFrame:
+    return C.union_checks(
+        [
+            C.contract_accepted_values(d.validation, "validation_status", STATUS_LABELS, "validation"),
+            C.contract_accepted_values(d.validation, "assigned_variant_id", _VARIANTS, "validation"),
+            C.contract_accepted_values(d.deduped, "variant_id", _VARIANTS, "deduped"),
+        ]
+    )
+
+
+_UNIQUE = [
+    ("canonical", "canonical", ["experiment_id", "unit_id"]),
+    ("validation", "validation", ["experiment_id", "unit_id"]),
+    ("deduped", "deduped", ["experiment_id", "unit_id", "variant_id"]),
+    ("quality_daily", "quality_daily", ["experiment_id", "date_day"]),
+    ("outcomes_exposed", "outcomes_exposed", ["experiment_id", "unit_id", "metric_id"]),
+]
+
+
+@register(
+    "contract_unique_key",
+    " UNION ALL ".join(
+        f"SELECT '{name}.unique.{'+'.join(keys)}' AS \"check\", CAST(count_if(c > 1) AS BIGINT) AS failing_rows "
+        f"FROM (SELECT {', '.join(keys)}, count(*) AS c FROM {table} GROUP BY ALL)"
+        for name, table, keys in _UNIQUE
+    ),
+)
+def _contract_unique(d: ExperimentDAG) -> DataFrame:
+    tables = {
+        "canonical": d.canonical,
+        "validation": d.validation,
+        "deduped": d.deduped,
+        "quality_daily": d.quality_daily,
+        "outcomes_exposed": d.outcomes_exposed,
+    }
+    return C.union_checks([C.contract_unique_key(tables[t], keys, name) for name, t, keys in _UNIQUE])
+
+
+@register(
+    "contract_not_too_early",
+    " UNION ALL ".join(
+        f"SELECT '{t}.not_too_early.first_exposure_at' AS \"check\", "
+        f"CAST(count_if(first_exposure_at IS NOT NULL AND first_exposure_at < assigned_at - {O.GRACE}) AS BIGINT) "
+        f"AS failing_rows FROM {t}"
+        for t in ("validation", "validation_any")
+    ),
+)
+def _contract_early(d: ExperimentDAG) -> DataFrame:
+    g = d.cfg.pre_assignment_grace_minutes
+    return C.union_checks(
+        [
+            C.contract_not_too_early(d.validation, "assigned_at", "first_exposure_at", g, "validation"),
+            C.contract_not_too_early(d.validation_any, "assigned_at", "first_exposure_at", g, "validation_any"),
+        ]
+    )
+
+
+# ---- 2.7 smoke queries -----------------------------------------------------------------------
+@register(
+    "reconcile_counts",
+    "SELECT (SELECT count(*) FROM canonical) AS assignment_rows, (SELECT count(*) FROM validation) AS validation_rows",
+)
+def _reconcile(d: ExperimentDAG) -> DataFrame:
+    return R.reconcile_counts(d.canonical, d.validation)
+
+
+@register(
+    "lowest_exposure",
+    f"""SELECT experiment_id, round(avg(exposure_rate), 9) AS avg_exposure_rate_7d FROM quality_daily_post
+        WHERE date_day >= DATE '{AS_OF}' - INTERVAL 7 DAY GROUP BY 1
+        ORDER BY avg_exposure_rate_7d ASC NULLS LAST, experiment_id LIMIT 10""",
+)
+def _lowest(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.lowest_exposure(d.quality_daily_post, AS_OF))
+
+
+_STATUS_SAMPLE_COLS = _VALIDATION_COLS
+
+
+@register(
+    "status_samples",
+    " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {', '.join(_VALIDATION_COLS)} FROM validation WHERE validation_status = '{s}' "
+        f"ORDER BY experiment_id, unit_id LIMIT 50)"
+        for s in ("variant_mismatch", "pre_assignment_exposure")
+    ),
+)
+def _status_samples(d: ExperimentDAG) -> DataFrame:
+    return R.status_samples(d.validation.select(*_VALIDATION_COLS))
+
+
+@register(
+    "delay_histogram",
+    f"""SELECT CASE WHEN exposure_delay_seconds IS NULL THEN NULL
+                    WHEN exposure_delay_seconds < 0 THEN 0
+                    WHEN exposure_delay_seconds >= 86400 THEN 25
+                    ELSE CAST(floor(exposure_delay_seconds / 3600.0) AS BIGINT) + 1 END AS delay_bucket,
+               count(*) AS n
+        FROM validation WHERE experiment_id = '{REPORT_EXPERIMENT}' AND has_any_exposure = true GROUP BY 1""",
+)
+def _delay_hist(d: ExperimentDAG) -> DataFrame:
+    return R.delay_histogram(d.validation, REPORT_EXPERIMENT)
+
+
+@register(
+    "recent_results",
+    f"""SELECT experiment_id, metric_id, variant_id, n_users, round(conversion_rate, 9) AS conversion_rate,
+               round(uplift_abs, 9) AS uplift_abs, round(p_value_two_sided, 9) AS p_value_two_sided
+        FROM results WHERE experiment_id = '{REPORT_EXPERIMENT}' ORDER BY metric_id, variant_id LIMIT 50""",
+)
+def _recent(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.recent_results(d.results, REPORT_EXPERIMENT))
+
+
+@register(
+    "exposure_vs_results",
+    f"""SELECT e.experiment_id, round(e.avg_exposure_rate_7d, 9) AS avg_exposure_rate_7d, r.result_rows
+        FROM (SELECT experiment_id, avg(exposure_rate) AS avg_exposure_rate_7d FROM quality_daily_post
+              WHERE date_day >= DATE '{AS_OF}' - INTERVAL 7 DAY GROUP BY 1) e
+        LEFT JOIN (SELECT experiment_id, count(*) AS result_rows FROM results GROUP BY 1) r
+          ON e.experiment_id = r.experiment_id""",
+)
+def _exp_vs_results(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.exposure_vs_results(d.quality_daily_post, d.results, AS_OF))
+
+
+@register(
+    "significant_uplift",
+    """SELECT experiment_id, metric_id, variant_id, round(uplift_abs, 9) AS uplift_abs,
+              round(p_value_two_sided, 9) AS p_value_two_sided, round(ci_low, 9) AS ci_low, round(ci_high, 9) AS ci_high
+       FROM results WHERE p_value_two_sided < 0.05 AND abs(uplift_abs) > 0.01
+       ORDER BY p_value_two_sided, experiment_id, metric_id, variant_id LIMIT 50""",
+)
+def _significant(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.significant_uplift(d.results))
+
+
+@register(
+    "mismatch_gate",
+    f"""SELECT m.experiment_id, round(m.avg_mismatch_rate_7d, 9) AS avg_mismatch_rate_7d, r.result_rows
+        FROM (SELECT experiment_id, avg(variant_mismatch_rate) AS avg_mismatch_rate_7d FROM quality_daily_post
+              WHERE date_day >= DATE '{AS_OF}' - INTERVAL 7 DAY GROUP BY 1 HAVING avg(variant_mismatch_rate) > 0.02) m
+        JOIN (SELECT experiment_id, count(*) AS result_rows FROM results GROUP BY 1) r
+          ON m.experiment_id = r.experiment_id""",
+)
+def _mismatch_gate(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.mismatch_gate(d.quality_daily_post, d.results, AS_OF))
+
+
+@register(
+    "exposure_health_report",
+    f"""SELECT experiment_id, date_day, round(exposure_rate, 9) AS exposure_rate,
+               round(valid_exposure_rate, 9) AS valid_exposure_rate, round(mismatch_rate, 9) AS mismatch_rate
+        FROM quality_daily WHERE experiment_id = '{REPORT_EXPERIMENT}' ORDER BY date_day""",
+)
+def _health_report(d: ExperimentDAG) -> DataFrame:
+    return _r9(R.exposure_health_report(d.quality_daily, REPORT_EXPERIMENT))
+
+
+# ---- 2.11 guardrails -------------------------------------------------------------------------
+@register("unit_outcomes", O.round9(["revenue"], "unit_outcomes", [
+    "experiment_id", "unit_id", "variant_id", "anchor_at", "anchor_type", "window_days", "converted", "converted_at",
+    "conversion_events"]))
+def _unit_outcomes(d: ExperimentDAG) -> DataFrame:
+    return _r9(d.unit_outcomes)
+
+
+@register(
+    "guard_assignment_unique",
+    "SELECT experiment_id, raw_rows, unique_units, assignment_duplicates_count, assignment_unique_passed FROM g_assign",
+)
+def _g_assign(d: ExperimentDAG) -> DataFrame:
+    return GR.guard_assignment_unique(d.raw_assignments)
+
+
+@register(
+    "guard_srm",
+    """SELECT experiment_id, n_arms, total_units, round(chi_square, 9) AS chi_square,
+              round(variant_allocation_deviation_pct, 9) AS variant_allocation_deviation_pct, chi_square_df,
+              round(chi_square_p_value, 9) AS chi_square_p_value, srm_passed FROM srm""",
+)
+def _g_srm(d: ExperimentDAG) -> DataFrame:
+    return _r9(GR.guard_srm(d.canonical, d.dim_variant, d.cfg))
+
+
+@register(
+    "guard_exposure_order",
+    "SELECT experiment_id, exposure_before_assignment_count, exposure_order_passed FROM g_exposure_order",
+)
+def _g_exposure_order(d: ExperimentDAG) -> DataFrame:
+    return GR.guard_exposure_order(d.validation)
+
+
+@register(
+    "guard_outcome_order",
+    "SELECT experiment_id, outcomes_before_analysis_start_count, outcome_order_passed FROM g_outcome_order",
+)
+def _g_outcome_order(d: ExperimentDAG) -> DataFrame:
+    return GR.guard_outcome_order(d.outcomes_itt_with_start)
+
+
+@register(
+    "guard_outcome_grain",
+    "SELECT experiment_id, duplicate_outcome_rows_count, outcome_grain_passed FROM g_outcome_grain",
+)
+def _g_outcome_grain(d: ExperimentDAG) -> DataFrame:
+    return GR.guard_outcome_grain(d.unit_outcomes)
+
+
+@register(
+    "guard_min_sample",
+    "SELECT experiment_id, min_users_per_variant, max_users_per_variant, min_sample_warning FROM g_min_sample",
+)
+def _g_min_sample(d: ExperimentDAG) -> DataFrame:
+    return GR.guard_min_sample(d.canonical, d.dim_variant, d.cfg)
+
+
+@register("experiment_quality_report", "SELECT * FROM quality_report")
+def _quality_report(d: ExperimentDAG) -> DataFrame:
+    return _r9(d.quality_report(AS_OF))
+
+
+@register(
+    "gated_results",
+    O.round9(_RES_D, "results", [c for c in _RES if c not in _RES_D])
+    + " WHERE experiment_id IN (SELECT experiment_id FROM quality_report WHERE is_valid_for_analysis)",
+)
+def _gated(d: ExperimentDAG) -> DataFrame:
+    return _r9(GR.gated_results(d.results.select(*_RES), d.quality_report(AS_OF)))
+
+
+# ---- 2.8 governance --------------------------------------------------------------------------
+@register("query_log_assets", "SELECT query_id, unnest(referenced_assets) AS asset_name FROM qrefs")
+def _qlog_assets(d: ExperimentDAG) -> DataFrame:
+    return G.query_log_assets(d.query_log)
+
+
+@register("query_log_audit", "SELECT query_id, referenced_assets, violations, ok FROM qaudit")
+def _qlog_audit(d: ExperimentDAG) -> DataFrame:
+    return G.query_log_audit(d.query_log, G.allowed_assets(d.spark))
+
+
+# ---- 2.10 assignment helpers and feeds ---------------------------------------------------------
+@register("assign_variants", "SELECT experiment_id, unit_id, variant_id, bucket FROM assigned_variants")
+def _assign_variants(d: ExperimentDAG) -> DataFrame:
+    return assign.assign_variants(d.canonical.select("experiment_id", "unit_id"), d.dim_variant)
+
+
+@register(
+    "experiment_variants",
+    "SELECT experiment_id, variant_id, variant_name, allocation_pct, is_control FROM dim_variant",
+)
+def _experiment_variants(d: ExperimentDAG) -> DataFrame:
+    return d.dim_variant
+
+
+@register(
+    "union_event_feeds",
+    """SELECT event_id, experiment_id, unit_id, variant_id, exposed_at, exposure_event_type, dt FROM raw_exposures
+       UNION ALL BY NAME
+       SELECT event_id, unit_id, occurred_at, revenue FROM conversions""",
+)
+def _union_feeds(d: ExperimentDAG) -> DataFrame:
+    from abx.sources import lens as L
+
+    return X.union_event_feeds(d.raw_exposures, L.conversions(d.events))
+
+
+# ---- 2.12 extensions -------------------------------------------------------------------------
+def _r6(df: DataFrame) -> DataFrame:
+    return round_doubles(df, 6)
+
+
+_WELCH = ["experiment_id", "variant_id", "n_control", "mean_control", "var_control", "n_treatment", "mean_treatment",
+          "var_treatment", "diff", "se", "t_stat", "welch_df", "p_value_normal_approx", "ci_low", "ci_high"]
+_WELCH_D = [c for c in _WELCH if c not in ("experiment_id", "variant_id", "n_control", "n_treatment")]
+
+
+@register("metric_mean_welch", "SELECT " + ", ".join(
+    [c if c not in _WELCH_D else f"round({c}, 6) AS {c}" for c in _WELCH]) + " FROM welch")
+def _welch(d: ExperimentDAG) -> DataFrame:
+    return _r6(X.metric_mean_welch(d.unit_outcomes, d.cfg))
+
+
+_QDV = _QD_COUNTS[:2] + ["assigned_variant_id"] + _QD_COUNTS[2:] + _QD_RATES
+
+
+@register("quality_daily_by_variant", _sql_r9("quality_daily_by_variant", _QDV, ["avg_exposure_delay_seconds"] + _QD_RATES))
+def _qd_by_variant(d: ExperimentDAG) -> DataFrame:
+    return _r9(Q.quality_daily_by_variant(d.validation_any))
+
+
+_ANOM = ["experiment_id", "date_day", "rate", "prev_rate", "trailing_avg_rate", "day_over_day_change",
+         "change_vs_trailing", "is_anomaly"]
+
+
+@register("quality_anomalies", _sql_r9("anomalies", _ANOM, _ANOM[2:7]))
+def _anomalies(d: ExperimentDAG) -> DataFrame:
+    return _r9(Q.quality_anomalies(d.quality_daily_post))
+
+
+_SPINE = ["experiment_id", "unit_id", "variant_id", "metric_id", "event_name", "kind", "anchor", "window_days",
+          "anchor_at", "is_eligible", "window_start_at", "window_end_at"]
+
+
+@register("metric_spine", f"SELECT {', '.join(_SPINE)} FROM spine")
+def _spine(d: ExperimentDAG) -> DataFrame:
+    return X.metric_spine(d.cohort)
+
+
+_MDE = ["experiment_id", "metric_id", "variant_id", "n_control", "n_treatment", "baseline_rate", "mde_abs", "mde_rel"]
+_ZSUM = X.NormalDist().inv_cdf(1.0 - DEFAULT.alpha / 2.0) + X.NormalDist().inv_cdf(0.8)
+
+
+@register(
+    "power_mde",
+    f"""SELECT experiment_id, metric_id, variant_id, n_control, n_treatment, round(baseline_rate, 9) AS baseline_rate,
+               round(mde, 9) AS mde_abs, round(mde / NULLIF(baseline_rate, 0), 9) AS mde_rel
+        FROM (SELECT t.experiment_id, t.metric_id, t.variant_id, c.n_users AS n_control, t.n_users AS n_treatment,
+                     c.conversion_rate AS baseline_rate,
+                     CAST('{_ZSUM!r}' AS DOUBLE) * sqrt(c.conversion_rate * (1.0 - c.conversion_rate)
+                       * (1.0 / CAST(c.n_users AS DOUBLE) + 1.0 / CAST(t.n_users AS DOUBLE))) AS mde
+              FROM (SELECT * FROM mbv WHERE variant_id != 'control') t
+              JOIN (SELECT * FROM mbv WHERE variant_id = 'control') c
+                ON t.experiment_id = c.experiment_id AND t.metric_id = c.metric_id)""",
+)
+def _power(d: ExperimentDAG) -> DataFrame:
+    return _r9(X.power_mde(d.metric_by_variant, d.cfg))
+
+
+@register(
+    "p_adjusted",
+    "SELECT experiment_id, metric_id, variant_id, round(p_value, 9) AS p_value, p_rank, n_tests, "
+    "round(p_value_bh, 9) AS p_value_bh FROM bh",
+)
+def _p_adjusted(d: ExperimentDAG) -> DataFrame:
+    return _r9(X.p_adjusted(d.results))
+
+
+_CUPED = ["experiment_id", "variant_id", "n_units", "mean_pre", "mean_post", "theta", "mean_post_adjusted", "var_post",
+          "var_post_adjusted"]
+
+
+@register("cuped", "SELECT " + ", ".join(
+    [c if c in ("experiment_id", "variant_id", "n_units") else f"round({c}, 6) AS {c}" for c in _CUPED]) + " FROM cuped")
+def _cuped(d: ExperimentDAG) -> DataFrame:
+    return _r6(X.cuped(d.cuped_units, d.cfg))

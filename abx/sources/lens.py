@@ -171,10 +171,10 @@ def dim_experiment(events: DataFrame) -> DataFrame:
 
 
 def dim_variant(events: DataFrame) -> DataFrame:
-    """Variant dimension with the designed 50/50 split (a literal two-row template crossed in)."""
-    from abx.operators.assign import experiment_variants, variant_template
+    """Variant dimension with the designed 50/50 split (the fixed two-arm template per experiment)."""
+    from abx.operators.assign import experiment_variants
 
-    return experiment_variants(dim_experiment(events), variant_template(events.sparkSession))
+    return experiment_variants(dim_experiment(events))
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
