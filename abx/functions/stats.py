@@ -36,7 +36,8 @@ def normal_two_sided_p(z, cap: bool = True) -> Column:
     b1, b2, b3, b4, b5 = (F.lit(b) for b in AS_B)
     poly = t * (b1 + t * (b2 + t * (b3 + t * (b4 + t * b5))))
     p = F.lit(2.0) * normal_pdf(za) * poly
-    return F.least(p, F.lit(1.0)) if cap else p
+    # least() skips nulls, so a null z must stay null explicitly.
+    return F.when(za.isNotNull(), F.least(p, F.lit(1.0))) if cap else p
 
 
 def normal_upper_tail(z) -> Column:

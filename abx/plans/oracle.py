@@ -31,7 +31,7 @@ def _p_two_sided(z: str, cap: bool) -> str:
     )
     pdf = f"(exp(-0.5 * {za} * {za}) / sqrt(2 * pi()))"
     p = f"(2.0 * {pdf} * {poly})"
-    return f"LEAST({p}, 1.0)" if cap else p
+    return f"CASE WHEN {z} IS NULL THEN NULL ELSE LEAST({p}, 1.0) END" if cap else p
 
 
 CTES: dict[str, str] = dict(LENS_CTES)
