@@ -32,18 +32,26 @@ def read_seed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
 
 
-def write_day(df: DataFrame, base: str, table: str, partition_cols: Iterable[str] = ("dt",)) -> None:
+def write_day(
+    df: DataFrame,
+    base: str,
+    table: str,
+    partition_cols: Iterable[str] = ("dt",),
+    max_records_per_file: int = 5_000_000,
+) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite, idempotent).
 
-    Rows are clustered by the partition columns first so each day is written by few tasks
-    (no small-file explosion), while AQE coalesces tiny partitions.
+    No repartition by the partition column: a run usually covers one day, and hashing by ``dt``
+    would send the whole day to one task. Every upstream task writes its own file into the day's
+    folder instead (AQE has already coalesced small tasks), and ``maxRecordsPerFile`` bounds file
+    size. The partition column lives in the path only, so reading back cannot clash with it.
     """
     cols = list(partition_cols)
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (
-        df.repartition(*[F.col(c) for c in cols])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
+        .option("maxRecordsPerFile", int(max_records_per_file))
         .partitionBy(*cols)
         .parquet(f"{base.rstrip('/')}/{table}")
     )
