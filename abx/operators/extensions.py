@@ -33,15 +33,18 @@ def metric_mean_welch(units: DataFrame, cfg: ExperimentConfig = DEFAULT, value_c
     column name).
     """
     m = _arm_moments(units, value_col)
-    c = m.filter(F.col("variant_id") == F.lit(cfg.control_variant_id)).select(
-        "experiment_id", F.col("n").alias("n_control"), F.col("mean").alias("mean_control"),
-        F.col("var").alias("var_control"),
+    w = Window.partitionBy("experiment_id")
+    is_c = F.col("variant_id") == F.lit(cfg.control_variant_id)
+    m = m.select(
+        "*",
+        *[F.max(F.when(is_c, F.col(c))).over(w).alias(f"{c}_c") for c in ("n", "mean", "var")],
+        F.max(F.when(is_c, F.lit(1))).over(w).alias("_has_control"),
     )
-    t = m.filter(F.col("variant_id") != F.lit(cfg.control_variant_id)).select(
-        "experiment_id", "variant_id", F.col("n").alias("n_treatment"), F.col("mean").alias("mean_treatment"),
+    j = m.filter(~is_c & (F.col("_has_control") == 1)).select(
+        "experiment_id", "variant_id", F.col("n_c").alias("n_control"), F.col("mean_c").alias("mean_control"),
+        F.col("var_c").alias("var_control"), F.col("n").alias("n_treatment"), F.col("mean").alias("mean_treatment"),
         F.col("var").alias("var_treatment"),
     )
-    j = t.join(c, "experiment_id", "inner")
     a = F.try_divide(F.col("var_treatment"), F.col("n_treatment").cast("double"))
     b = F.try_divide(F.col("var_control"), F.col("n_control").cast("double"))
     j = j.select("*", (F.col("mean_treatment") - F.col("mean_control")).alias("diff"), F.sqrt(a + b).alias("se"))
@@ -64,8 +67,10 @@ def cuped(units: DataFrame, cfg: ExperimentConfig = DEFAULT, x_col: str = "pre_r
     """CUPED by arm: theta = cov(x, y) / var(x) pooled over the experiment's units.
 
     Per arm the adjusted mean is mean_y - theta (mean_x_arm - mean_x_all) and the adjusted
-    variance var_y + theta^2 var_x - 2 theta cov_xy. Two aggregations over the unit table (per arm
-    and per experiment) and a join of their small results; unit rows are never re-joined.
+    variance var_y + theta^2 var_x - 2 theta cov_xy. One aggregation over the unit rows gives each
+    arm's moments; the experiment-level co-moments are combined from them exactly (parallel
+    variance formula: M2 = sum M2_i + sum n_i (mean_i - mean)^2) by windows over the arm table, so
+    the unit rows are read once.
     """
     x = F.coalesce(F.col(x_col).cast("double"), F.lit(0.0))
     y = F.coalesce(F.col(y_col).cast("double"), F.lit(0.0))
@@ -78,13 +83,20 @@ def cuped(units: DataFrame, cfg: ExperimentConfig = DEFAULT, x_col: str = "pre_r
         F.var_samp("_y").alias("var_post"),
         F.covar_samp("_x", "_y").alias("_cxy"),
     )
-    exp = u.groupBy("experiment_id").agg(
-        F.try_divide(F.covar_samp("_x", "_y"), F.nullif(F.var_samp("_x"), F.lit(0.0))).alias("theta"),
-        F.avg("_x").alias("_mx_all"),
+    w = Window.partitionBy("experiment_id")  # the arms of one experiment: a handful of rows
+    n = F.col("n_units").cast("double")
+    arm = arm.select(
+        "*",
+        (F.sum(n * F.col("mean_pre")).over(w) / F.sum(n).over(w)).alias("_mx_all"),
+        (F.sum(n * F.col("mean_post")).over(w) / F.sum(n).over(w)).alias("_my_all"),
     )
-    j = arm.join(exp, "experiment_id")
+    dx = F.col("mean_pre") - F.col("_mx_all")
+    dy = F.col("mean_post") - F.col("_my_all")
+    m2x = F.sum(F.coalesce(F.col("_vx"), F.lit(0.0)) * (n - 1) + n * dx * dx).over(w)
+    cxy = F.sum(F.coalesce(F.col("_cxy"), F.lit(0.0)) * (n - 1) + n * dx * dy).over(w)
+    arm = arm.withColumn("theta", F.try_divide(cxy, F.nullif(m2x, F.lit(0.0))))
     th = F.coalesce(F.col("theta"), F.lit(0.0))
-    return j.select(
+    return arm.select(
         "experiment_id", "variant_id", "n_units", "mean_pre", "mean_post", "theta",
         (F.col("mean_post") - th * (F.col("mean_pre") - F.col("_mx_all"))).alias("mean_post_adjusted"),
         "var_post",
@@ -123,14 +135,17 @@ def power_mde(mbv: DataFrame, cfg: ExperimentConfig = DEFAULT, alpha: float | No
     """
     a = cfg.alpha if alpha is None else alpha
     zsum = NormalDist().inv_cdf(1.0 - a / 2.0) + NormalDist().inv_cdf(power)
-    c = mbv.filter(F.col("variant_id") == F.lit(cfg.control_variant_id)).select(
-        "experiment_id", "metric_id", F.col("n_users").alias("n_control"),
-        F.col("conversion_rate").alias("baseline_rate"),
+    w = Window.partitionBy("experiment_id", "metric_id")
+    is_c = F.col("variant_id") == F.lit(cfg.control_variant_id)
+    m = mbv.select(
+        "*",
+        F.max(F.when(is_c, F.col("n_users"))).over(w).alias("n_control"),
+        F.max(F.when(is_c, F.col("conversion_rate"))).over(w).alias("baseline_rate"),
+        F.max(F.when(is_c, F.lit(1))).over(w).alias("_has_control"),
     )
-    t = mbv.filter(F.col("variant_id") != F.lit(cfg.control_variant_id)).select(
-        "experiment_id", "metric_id", "variant_id", F.col("n_users").alias("n_treatment")
+    j = m.filter(~is_c & (F.col("_has_control") == 1)).select(
+        "experiment_id", "metric_id", "variant_id", "n_control", F.col("n_users").alias("n_treatment"), "baseline_rate"
     )
-    j = t.join(c, ["experiment_id", "metric_id"], "inner")
     p = F.col("baseline_rate")
     se0 = F.sqrt(p * (F.lit(1.0) - p) * (F.try_divide(F.lit(1.0), F.col("n_control").cast("double"))
                                          + F.try_divide(F.lit(1.0), F.col("n_treatment").cast("double"))))

@@ -6,7 +6,7 @@ any shuffle) and only then join, so the report joins a handful of experiment-gra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
@@ -35,10 +35,10 @@ def srm_arms(assignments: DataFrame, variants: DataFrame) -> DataFrame:
         obs, ["experiment_id", "variant_id"], "left"
     )
     arms = arms.withColumn("observed", F.coalesce(F.col("observed"), F.lit(0)).cast("long"))
-    tot = arms.groupBy("experiment_id").agg(
-        F.sum("observed").alias("total_units"), F.sum("allocation_pct").alias("total_alloc")
+    w = Window.partitionBy("experiment_id")  # arms of one experiment: a handful of rows
+    a = arms.select(
+        "*", F.sum("observed").over(w).alias("total_units"), F.sum("allocation_pct").over(w).alias("total_alloc")
     )
-    a = arms.join(tot, "experiment_id")
     exp_share = F.try_divide(F.col("allocation_pct"), F.col("total_alloc"))
     return a.select(
         "experiment_id",

@@ -1,12 +1,13 @@
 """Metric aggregation by variant and the two-proportion z-test against control.
 
-All joins here are between post-aggregation tables (experiments x metrics x variants), which are
-tiny; no hint is given, AQE picks a broadcast from runtime sizes.
+Control statistics reach the other arms through a window over (experiment, metric) on the
+post-aggregate table (experiments x metrics x variants rows, a handful per partition) instead of a
+self-join, which would plan the whole upstream DAG twice.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
@@ -38,21 +39,34 @@ def metric_by_variant_rounded(outcomes: DataFrame, digits: int = 4) -> DataFrame
     return d.select("*", F.round(ratio("n_converted", "n_users"), digits).alias("conversion_rate"))
 
 
+def _control_cols(df: DataFrame, keys: list[str], cols: dict[str, str], control: str) -> list:
+    """Columns of the control row broadcast to every row of its group, by a window over the
+    small post-aggregate table (no self-join, so the upstream plan runs once)."""
+    w = Window.partitionBy(*keys)
+    is_c = F.col("variant_id") == F.lit(control)
+    return [F.max(F.when(is_c, F.col(src))).over(w).alias(dst) for src, dst in cols.items()]
+
+
 def results(mbv: DataFrame, cfg: ExperimentConfig = DEFAULT, with_computed_at: bool = False) -> DataFrame:
-    """Every variant (control too) left-joined to its experiment's control arm.
+    """Every variant (control too) against its experiment's control arm (left-join semantics).
 
     Pooled z, two-sided p (normal tail polynomial, capped at 1), unpooled 95 % CI. A control
     row gets uplift 0 and p = 1 unless se = 0 (then z, p null). A missing control gives nulls.
     """
     b = mbv.select("experiment_id", "metric_id", "variant_id", "n_users", "conversions", "conversion_rate")
-    c = mbv.filter(F.col("variant_id") == F.lit(cfg.control_variant_id)).select(
-        "experiment_id",
-        "metric_id",
-        F.col("n_users").alias("control_n_users"),
-        F.col("conversions").alias("control_conversions"),
-        F.col("conversion_rate").alias("control_conversion_rate"),
+    j = b.select(
+        "*",
+        *_control_cols(
+            b,
+            ["experiment_id", "metric_id"],
+            {
+                "n_users": "control_n_users",
+                "conversions": "control_conversions",
+                "conversion_rate": "control_conversion_rate",
+            },
+            cfg.control_variant_id,
+        ),
     )
-    j = b.join(c, ["experiment_id", "metric_id"], "left")
     diff = F.col("conversion_rate") - F.col("control_conversion_rate")
     se = pooled_se("n_users", "conversions", "control_n_users", "control_conversions")
     se_u = unpooled_se("conversion_rate", "n_users", "control_conversion_rate", "control_n_users")
@@ -80,29 +94,38 @@ def results(mbv: DataFrame, cfg: ExperimentConfig = DEFAULT, with_computed_at: b
 
 
 def results_pairwise(mbv_rounded: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
-    """Each non-control variant inner-joined to control: one wide row per treatment arm.
+    """Each non-control variant against control (inner-join semantics: arms of experiments
+    without a control row are dropped): one wide row per treatment arm.
 
     Local-model parity: rates are the 4-dp rounded ones; pooled se for both z and CI; the p value
     is the uncapped polynomial. ``variant_id`` (the treatment arm) is kept.
     """
     ctl = cfg.control_variant_id
-    c = mbv_rounded.filter(F.col("variant_id") == F.lit(ctl)).select(
-        "experiment_id",
-        F.col("n_users").alias("n_control"),
-        F.col("n_converted").alias("conv_control"),
-        F.col("conversion_rate").alias("cr_control"),
+    m = mbv_rounded.select(
+        "*",
+        *_control_cols(
+            mbv_rounded,
+            ["experiment_id"],
+            {"n_users": "n_control", "n_converted": "conv_control", "conversion_rate": "cr_control"},
+            ctl,
+        ),
+        F.max(F.when(F.col("variant_id") == F.lit(ctl), F.lit(1))).over(Window.partitionBy("experiment_id")).alias(
+            "_has_control"
+        ),
     )
-    t = mbv_rounded.filter(F.col("variant_id") != F.lit(ctl)).select(
+    t = m.filter((F.col("variant_id") != F.lit(ctl)) & (F.col("_has_control") == 1)).select(
         "experiment_id",
         "variant_id",
+        "n_control",
+        "conv_control",
+        "cr_control",
         F.col("n_users").alias("n_treatment"),
         F.col("n_converted").alias("conv_treatment"),
         F.col("conversion_rate").alias("cr_treatment"),
     )
-    j = t.join(c, "experiment_id", "inner")
     uplift = F.col("cr_treatment") - F.col("cr_control")
     se = pooled_se("n_control", "conv_control", "n_treatment", "conv_treatment")
-    j = j.select("*", uplift.alias("uplift_abs"), se.alias("se"))
+    j = t.select("*", uplift.alias("uplift_abs"), se.alias("se"))
     j = j.withColumn("z_score", safe_z(F.col("uplift_abs"), F.col("se")))
     return j.select(
         "experiment_id",
