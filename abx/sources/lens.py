@@ -37,8 +37,15 @@ MISMATCH_MIN_K = 84
 EXPOSURE_EVENT_NAME = "experiment_exposed"
 
 
+# A props string that is exactly one flat integer field, e.g. {"k": 69}. For that shape the
+# JSON value is unambiguous, so an anchored regex reads it ~4x cheaper than a JSON parse; any
+# other shape falls back to the JSON parser (CASE evaluates it only for those rows).
+_FLAT_K = r'^\{\s*"k"\s*:\s*(-?[0-9]{1,9})\s*\}$'
+
+
 def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
+    fast = F.regexp_extract(F.col("props"), _FLAT_K, 1)
+    return F.when(fast != F.lit(""), fast).otherwise(F.get_json_object(F.col("props"), "$.k")).cast("int")
 
 
 def _experiment_id(k: Column) -> Column:
