@@ -17,7 +17,16 @@ def canonical_assignments(raw: DataFrame, keys=KEY, time_col: str = "assigned_at
     ``row_number() ... = 1`` lets Catalyst plan a partial ``WindowGroupLimit`` before the
     shuffle, so a hot key is cut to one row per map task before it is exchanged.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(time_col).asc_nulls_last(), F.col("variant_id").asc_nulls_last())
+    order = [F.col(time_col).asc_nulls_last(), F.col("variant_id").asc_nulls_last()]
+    # Remaining orderable columns close the order, so a recomputed task (executor loss) picks the
+    # same row even among rows equal on time and variant.
+    rest = [
+        F.col(f.name).asc_nulls_last()
+        for f in sorted(raw.schema.fields, key=lambda f: f.name)
+        if f.name not in (*keys, time_col, "variant_id")
+        and f.dataType.typeName() not in ("map", "variant", "array", "struct", "binary")
+    ]
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
     return raw.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

@@ -39,7 +39,8 @@ CTES: dict[str, str] = dict(LENS_CTES)
 CTES["canonical"] = """
 SELECT experiment_id, unit_id, variant_id, assigned_at, assignment_source, dt FROM (
   SELECT *, row_number() OVER (PARTITION BY experiment_id, unit_id
-                               ORDER BY assigned_at ASC NULLS LAST, variant_id ASC NULLS LAST) AS rn
+                               ORDER BY assigned_at ASC NULLS LAST, variant_id ASC NULLS LAST,
+                                        assignment_source ASC NULLS LAST, dt ASC NULLS LAST) AS rn
   FROM raw_assignments) WHERE rn = 1"""
 
 CTES["event_feed"] = """

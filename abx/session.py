@@ -21,6 +21,31 @@ SQL_DEFAULTS = {
 }
 
 
+# Cluster settings applied only where the user has not set them (``apply_cluster_defaults``):
+# many shuffle partitions that AQE coalesces toward an advisory size, so one setting serves both
+# small days and 100 TB backfills; skew splitting on; file splits sized for large Parquet scans.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> None:
+    """Set each CLUSTER_DEFAULTS key unless the session already carries an explicit value."""
+    for k, v in CLUSTER_DEFAULTS.items():
+        if not spark.conf.isModifiable(k):
+            continue
+        explicit = spark.sparkContext.getConf().contains(k)
+        if not explicit:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "abx") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no server ports beyond Spark's own)."""
     builder = (
