@@ -227,3 +227,22 @@ def test_exposure_event_id_is_stable(spark):
 
     expect = hashlib.sha256(b"x||u||control||2024-01-01 00:00:01.500000||view").hexdigest()
     assert r.exposure_event_id == expect
+
+
+def test_bag_types_map_struct_variant(spark):
+    base = "event_id string, event_name string, occurred_at timestamp_ntz, experiment_id string"
+    m = spark.createDataFrame(
+        [("1", "experiment_exposed", ts(), None, {"user_id": "mu", "experiment_id": "mx", "variation_id": "mv"})],
+        base + ", properties map<string,string>",
+    )
+    (r,) = stage.stage_exposures(m).collect()
+    assert (r.unit_id, r.experiment_id, r.variant_id) == ("mu", "mx", "mv")
+    s = spark.createDataFrame([("2", "experiment_exposed", ts(), "sx", ("su",))],
+                              base + ", properties struct<user_id:string>")
+    (r,) = stage.stage_exposures(s).collect()
+    assert (r.unit_id, r.experiment_id, r.variant_id) == ("su", "sx", None)
+    v = spark.createDataFrame([("3", "experiment_exposed", ts(), None, '{"user_id": 7, "experiment_id": "vx"}')],
+                              base + ", props string")
+    v = v.withColumn("properties", F.parse_json("props")).drop("props")
+    (r,) = stage.stage_exposures(v).collect()
+    assert (r.unit_id, r.experiment_id) == ("7", "vx")

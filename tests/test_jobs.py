@@ -60,3 +60,23 @@ def test_read_seed_csv(spark, tmp_path):
     df = io.read_seed_csv(spark, str(p), T._parse_datatype_string(schema))
     rows = sorted(df.collect())
     assert rows[1].first_exposure_at is None and rows[0].first_exposure_at.minute == 2
+
+
+def test_cli_runs_both_jobs(spark):
+    from abx.plans import cli
+
+    root = tempfile.mkdtemp(prefix="abx-cli-")
+    raw, silver, gold = f"{root}/raw", f"{root}/silver", f"{root}/gold"
+    _raw_layer(spark, raw)
+    cli.main(["assignments", "--dt", DT, "--in", raw, "--out", silver], spark=spark)
+    cli.main(["exposure-validation", "--dt", DT, "--in", raw, "--silver", silver, "--gold", gold,
+              "--pre_assignment_grace_minutes", "5"], spark=spark)
+    assert io.read_day(spark, gold, "fct_experiment_quality_metrics_daily", DT).count() > 0
+    # cluster defaults never override what the session already set explicitly
+    assert spark.conf.get("spark.sql.shuffle.partitions") in ("4", "4000")
+
+
+def test_materialize_view(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    v = io.materialize(df, "abx_test_view")
+    assert spark.table("abx_test_view").count() == 1 and v.count() == 1
