@@ -21,6 +21,7 @@ from abx.functions.time import plus_days
 from abx.operators.skew import SALT, replicate_one_side, salt_many_side, salt_table
 
 ANCHOR_KEY = ("experiment_id", "unit_id")
+REVENUE_SUM_TYPE = "decimal(38,10)"
 
 
 def window_outcomes(
@@ -42,7 +43,9 @@ def window_outcomes(
     column is carried through. ``conversions`` holds unit_id, occurred_at, event_id and
     (optionally) revenue.
     """
-    rev = F.col("revenue") if "revenue" in conversions.columns else F.lit(None).cast("double")
+    # Revenue is summed as an exact decimal: the total does not depend on partitioning, salting
+    # or the order a recomputed task merges rows in (double sums can differ in the last bit).
+    rev = (F.col("revenue") if "revenue" in conversions.columns else F.lit(None)).cast(REVENUE_SUM_TYPE)
     conv = conversions.select(
         F.col("unit_id").alias("_cu"),
         F.col("occurred_at").alias("_ct"),
@@ -67,15 +70,15 @@ def window_outcomes(
         return j.groupBy(*carry).agg(
             F.min("_ct").alias("first_at"),
             F.count("_ct").alias("n_events"),
-            F.sum("_cr").alias("revenue"),
+            F.sum("_cr").cast("double").alias("revenue"),
         )
     in_win = F.col("_ct") >= plus_days(anchor, start_days)
     return j.groupBy(*carry).agg(
         F.min(F.when(in_win, F.col("_ct"))).alias("first_at"),
         F.count(F.when(in_win, F.col("_ct"))).alias("n_events"),
-        F.sum(F.when(in_win, F.col("_cr"))).alias("revenue"),
+        F.sum(F.when(in_win, F.col("_cr"))).cast("double").alias("revenue"),
         F.count(F.when(~in_win, F.col("_ct"))).alias("pre_events"),
-        F.sum(F.when(~in_win, F.col("_cr"))).alias("pre_revenue"),
+        F.sum(F.when(~in_win, F.col("_cr"))).cast("double").alias("pre_revenue"),
     )
 
 

@@ -7,6 +7,7 @@ Callers trigger exactly one action per output.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,28 @@ from abx.operators import assign, cohort, exposure, outcomes, quality, results,
 from abx.sources import lens as lens_mod
 
 
+# Session settings that override the skew thresholds of the configuration (cluster tuning
+# without code changes).
+SKEW_CONF = {
+    "spark.abx.skewRowsPerSplit": "skew_rows_per_split",
+    "spark.abx.skewMaxHotKeys": "skew_max_hot_keys",
+}
+
+
+def config_from_session(spark: SparkSession, cfg: ExperimentConfig = DEFAULT) -> ExperimentConfig:
+    overrides = {}
+    for key, field_name in SKEW_CONF.items():
+        v = spark.conf.get(key, None)
+        if v:
+            overrides[field_name] = int(v)
+    return replace(cfg, **overrides) if overrides else cfg
+
+
 class ExperimentDAG:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: ExperimentConfig = DEFAULT, salt: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cfg = cfg
+        self.cfg = config_from_session(spark, cfg)
         self.salt = salt
 
     # ---- sources -------------------------------------------------------------------------

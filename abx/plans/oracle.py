@@ -457,7 +457,7 @@ FROM (
          COALESCE(c.first_exposure_at, c.assigned_at) AS anchor_at,
          CASE WHEN c.first_exposure_at IS NOT NULL THEN 'exposure' ELSE 'assignment' END AS anchor_type,
          min(cv.occurred_at) AS converted_at, count(cv.occurred_at) AS conversion_events,
-         COALESCE(sum(cv.revenue), 0.0) AS revenue
+         COALESCE(CAST(sum(CAST(cv.revenue AS DECIMAL(38, 10))) AS DOUBLE), 0.0) AS revenue
   FROM cohort c LEFT JOIN conv cv ON c.unit_id = cv.unit_id
        AND cv.occurred_at >= COALESCE(c.first_exposure_at, c.assigned_at)
        AND cv.occurred_at < COALESCE(c.first_exposure_at, c.assigned_at) + {CONVDAYS}
@@ -581,8 +581,10 @@ FROM (SELECT *, diff / NULLIF(se, 0) AS t_stat,
 
 CTES["cuped_units"] = f"""
 SELECT c.experiment_id, c.unit_id, c.assigned_variant_id AS variant_id,
-       COALESCE(sum(CASE WHEN cv.occurred_at < c.assigned_at THEN cv.revenue END), 0.0) AS x,
-       COALESCE(sum(CASE WHEN cv.occurred_at >= c.assigned_at THEN cv.revenue END), 0.0) AS y
+       COALESCE(CAST(sum(CASE WHEN cv.occurred_at < c.assigned_at THEN CAST(cv.revenue AS DECIMAL(38, 10)) END)
+                     AS DOUBLE), 0.0) AS x,
+       COALESCE(CAST(sum(CASE WHEN cv.occurred_at >= c.assigned_at THEN CAST(cv.revenue AS DECIMAL(38, 10)) END)
+                     AS DOUBLE), 0.0) AS y
 FROM cohort c LEFT JOIN conv cv ON c.unit_id = cv.unit_id
      AND cv.occurred_at >= c.assigned_at - {CONVDAYS} AND cv.occurred_at < c.assigned_at + {CONVDAYS}
 GROUP BY 1, 2, 3"""
