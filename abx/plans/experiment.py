@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from abx.config import DEFAULT, ExperimentConfig
 from abx.operators import assign, cohort, exposure, outcomes, quality, results, stage
+from abx.session import cut_lineage
 from abx.sources import lens as lens_mod
 
 
@@ -35,11 +36,30 @@ def config_from_session(spark: SparkSession, cfg: ExperimentConfig = DEFAULT) ->
 
 
 class ExperimentDAG:
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: ExperimentConfig = DEFAULT, salt: bool = True):
+    """Lazy stages over one data folder.
+
+    ``checkpoint_stages=True`` cuts the lineage after the shared base stages (canonical
+    assignments, validations, cohort, conversions) with a reliable checkpoint into the cluster's
+    ``spark.checkpoint.dir``: many reports built from one DAG then reuse those stages instead of
+    recomputing them from ``events``, and a lost executor recomputes from the checkpoint only.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        cfg: ExperimentConfig = DEFAULT,
+        salt: bool = True,
+        checkpoint_stages: bool = False,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.cfg = config_from_session(spark, cfg)
         self.salt = salt
+        self.checkpoint_stages = checkpoint_stages
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        return cut_lineage(df) if self.checkpoint_stages else df
 
     # ---- sources -------------------------------------------------------------------------
     @cached_property
@@ -69,7 +89,7 @@ class ExperimentDAG:
     # ---- assignments ---------------------------------------------------------------------
     @cached_property
     def canonical(self) -> DataFrame:
-        return assign.canonical_assignments(self.raw_assignments)
+        return self._cut(assign.canonical_assignments(self.raw_assignments))
 
     # ---- exposures -----------------------------------------------------------------------
     @cached_property
@@ -78,7 +98,7 @@ class ExperimentDAG:
 
     @cached_property
     def conversions(self) -> DataFrame:
-        return stage.stage_conversions(self.event_feed, self.cfg)
+        return self._cut(stage.stage_conversions(self.event_feed, self.cfg))
 
     @cached_property
     def deduped(self) -> DataFrame:
@@ -86,7 +106,7 @@ class ExperimentDAG:
 
     @cached_property
     def validation(self) -> DataFrame:
-        return exposure.validate_exposures(self.canonical, self.deduped, self.cfg, mode="first_post")
+        return self._cut(exposure.validate_exposures(self.canonical, self.deduped, self.cfg, mode="first_post"))
 
     @cached_property
     def staged_strict(self) -> DataFrame:
@@ -98,7 +118,7 @@ class ExperimentDAG:
 
     @cached_property
     def validation_any(self) -> DataFrame:
-        return exposure.validate_exposures_any(self.canonical, self.deduped_strict, self.cfg)
+        return self._cut(exposure.validate_exposures_any(self.canonical, self.deduped_strict, self.cfg))
 
     # ---- quality -------------------------------------------------------------------------
     @cached_property
@@ -112,7 +132,7 @@ class ExperimentDAG:
     # ---- cohorts and outcomes ------------------------------------------------------------
     @cached_property
     def cohort(self) -> DataFrame:
-        return cohort.cohort(self.validation)
+        return self._cut(cohort.cohort(self.validation))
 
     @cached_property
     def outcomes_exposed(self) -> DataFrame:

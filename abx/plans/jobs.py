@@ -104,3 +104,20 @@ def run_day(
     build_assignments(spark, raw_base, silver_base, dt)
     build_exposure_validation(spark, raw_base, silver_base, gold_base, dt, cfg)
     build_results(spark, silver_base, gold_base, conversions, dt, cfg)
+
+
+def run_reports(spark: SparkSession, data_dir: str, out_base: str, names=None) -> list[str]:
+    """Write every registered report (or ``names``) from ONE DAG whose base stages are
+    checkpointed once into ``spark.checkpoint.dir``; returns the written names.
+
+    The loop runs over report names (configuration), never over data.
+    """
+    from abx.plans.experiment import ExperimentDAG
+    from abx.plans.registry import DAG_QUERIES
+
+    dag = ExperimentDAG(spark, data_dir, checkpoint_stages=True)
+    written = []
+    for name in names or list(DAG_QUERIES):
+        DAG_QUERIES[name](dag).write.mode("overwrite").parquet(f"{out_base.rstrip('/')}/{name}")
+        written.append(name)
+    return written

@@ -22,6 +22,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
+DAG_QUERIES: dict[str, Callable[[ExperimentDAG], DataFrame]] = {}
 
 
 def register(name: str, sql: str | None):
@@ -32,6 +33,7 @@ def register(name: str, sql: str | None):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        DAG_QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = O.build(sql)
         return fn

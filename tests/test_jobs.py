@@ -80,3 +80,15 @@ def test_materialize_view(spark):
     df = spark.createDataFrame([(1,)], "x int")
     v = io.materialize(df, "abx_test_view")
     assert spark.table("abx_test_view").count() == 1 and v.count() == 1
+
+
+def test_run_reports_with_checkpointed_stages(spark):
+    import __spark_entry__ as E
+
+    root = tempfile.mkdtemp(prefix="abx-reports-")
+    names = ["validate_exposures", "quality_daily_post", "results", "cohort_sizes"]
+    assert jobs.run_reports(spark, SF, root, names) == names
+    for n in names:
+        got = spark.read.parquet(f"{root}/{n}")
+        exp = E.queries()[n](spark, SF)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, exp.collect())), n
