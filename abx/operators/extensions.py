@@ -119,7 +119,7 @@ def p_adjusted(results: DataFrame, p_col: str = "p_value_two_sided", family=("ex
     wall = Window.partitionBy(*keys)
     r = r.select(
         "experiment_id", "metric_id", "variant_id", F.col(p_col).alias("p_value"),
-        F.row_number().over(w).alias("p_rank"), F.count(F.lit(1)).over(wall).alias("n_tests"),
+        F.row_number().over(w).cast("long").alias("p_rank"), F.count(F.lit(1)).over(wall).alias("n_tests"),
     )
     raw = F.col("p_value") * F.col("n_tests") / F.col("p_rank")
     wdesc = Window.partitionBy(*keys).orderBy(F.col("p_rank").desc()).rowsBetween(Window.unboundedPreceding, 0)
