@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
-from abx.functions.stats import Z_95, normal_two_sided_p, safe_z
+from abx.functions.stats import Z_95, normal_two_sided_p, safe_z, student_t_two_sided_p
 
 
 # ---- continuous metric: Welch t --------------------------------------------------------------
@@ -28,9 +28,9 @@ def _arm_moments(units: DataFrame, value_col: str) -> DataFrame:
 def metric_mean_welch(units: DataFrame, cfg: ExperimentConfig = DEFAULT, value_col: str = "revenue") -> DataFrame:
     """Each non-control arm against control on a per-unit continuous value.
 
-    Welch t, Welch-Satterthwaite df, SE and 95 % CI are exact; the p value uses the normal
-    approximation of the t tail (accurate for the large df of experiment arms; stated in the
-    column name).
+    Welch t, Welch-Satterthwaite df and SE are exact; ``p_value_t`` is the exact Student-t tail at
+    the Welch df (incomplete beta), ``p_value_normal_approx`` the normal tail; the 95 % CI uses
+    the normal quantile 1.96.
     """
     m = _arm_moments(units, value_col)
     w = Window.partitionBy("experiment_id")
@@ -52,11 +52,17 @@ def metric_mean_welch(units: DataFrame, cfg: ExperimentConfig = DEFAULT, value_c
         b * b, (F.col("n_control") - 1).cast("double")
     )
     j = j.withColumn("t_stat", safe_z(F.col("diff"), F.col("se")))
-    return j.select(
+    out = j.select(
         "experiment_id", "variant_id", "n_control", "mean_control", "var_control", "n_treatment",
         "mean_treatment", "var_treatment", "diff", "se", "t_stat",
         F.try_divide(F.pow(a + b, 2), F.nullif(den, F.lit(0.0))).alias("welch_df"),
         normal_two_sided_p(F.col("t_stat")).alias("p_value_normal_approx"),
+    ).select(
+        "*",
+        student_t_two_sided_p(F.col("t_stat"), F.col("welch_df")).alias("p_value_t"),
+    )
+    return out.select(
+        "*",
         (F.col("diff") - F.lit(Z_95) * F.col("se")).alias("ci_low"),
         (F.col("diff") + F.lit(Z_95) * F.col("se")).alias("ci_high"),
     )

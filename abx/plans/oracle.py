@@ -571,9 +571,20 @@ SELECT t.experiment_id, t.variant_id, c.n AS n_control, c.mean AS mean_control,
 FROM (SELECT * FROM welch_arms WHERE variant_id != 'control') t
 JOIN (SELECT * FROM welch_arms WHERE variant_id = 'control') c ON t.experiment_id = c.experiment_id"""
 
+# Student-t tail by numeric integration (independent of the continued fraction used in Spark):
+# p = 1 - 2 / B(1/2, a) * int_0^W (1 - w^2)^(a - 1) dw,  a = df / 2,  W = |t| / sqrt(df + t^2),
+# Simpson's rule with 4000 intervals on a smooth integrand.
+_T_TAIL = """CASE WHEN t_stat IS NULL OR welch_df IS NULL OR welch_df <= 0 THEN NULL
+  ELSE LEAST(GREATEST(1.0 - 2.0 * exp(lgamma(welch_df / 2.0 + 0.5) - lgamma(0.5) - lgamma(welch_df / 2.0))
+    * (SELECT sum(CASE WHEN i = 0 OR i = 4000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                  * pow(1.0 - pow(i * (abs(t_stat) / sqrt(welch_df + t_stat * t_stat)) / 4000.0, 2),
+                        welch_df / 2.0 - 1.0))
+       FROM range(0, 4001) r(i)) * (abs(t_stat) / sqrt(welch_df + t_stat * t_stat)) / 4000.0 / 3.0, 0.0), 1.0) END"""
+
 CTES["welch"] = f"""
 SELECT experiment_id, variant_id, n_control, mean_control, var_control, n_treatment, mean_treatment, var_treatment,
        diff, se, t_stat, welch_df, {_p_two_sided('t_stat', cap=True)} AS p_value_normal_approx,
+       {_T_TAIL} AS p_value_t,
        diff - 1.96 * se AS ci_low, diff + 1.96 * se AS ci_high
 FROM (SELECT *, diff / NULLIF(se, 0) AS t_stat,
              (a + b) * (a + b) / NULLIF(a * a / (n_treatment - 1) + b * b / (n_control - 1), 0) AS welch_df

@@ -790,7 +790,8 @@ def _r6(df: DataFrame) -> DataFrame:
 
 
 _WELCH = ["experiment_id", "variant_id", "n_control", "mean_control", "var_control", "n_treatment", "mean_treatment",
-          "var_treatment", "diff", "se", "t_stat", "welch_df", "p_value_normal_approx", "ci_low", "ci_high"]
+          "var_treatment", "diff", "se", "t_stat", "welch_df", "p_value_normal_approx", "p_value_t", "ci_low",
+          "ci_high"]
 _WELCH_D = [c for c in _WELCH if c not in ("experiment_id", "variant_id", "n_control", "n_treatment")]
 
 

@@ -95,3 +95,22 @@ def test_welch_and_cuped_against_numpy(spark):
         assert cu[v].mean_post_adjusted == pytest.approx(adj.mean())
         assert cu[v].var_post_adjusted == pytest.approx(adj.var(ddof=1))
         assert cu[v].var_post_adjusted < cu[v].var_post
+
+
+@pytest.mark.parametrize(
+    "t,df,p",
+    [(2.0, 10.0, 0.0733880), (2.228139, 10.0, 0.05), (1.0, 1.0, 0.5), (12.706205, 1.0, 0.05), (2.575829, 1e7, 0.01),
+     (0.0, 3.0, 1.0), (-3.5, 150.0, 0.000613)],
+)
+def test_student_t_tail(spark, t, df, p):
+    (r,) = spark.createDataFrame([(t, df)], "t double, df double").select(
+        stats.student_t_two_sided_p(F.col("t"), F.col("df")).alias("p")).collect()
+    assert r.p == pytest.approx(p, rel=2e-4, abs=1e-7)
+
+
+def test_log_gamma(spark):
+    xs = [0.5, 1.0, 2.5, 10.0, 123.4, 5e5]
+    got = [r.g for r in spark.createDataFrame([(x,) for x in xs], "x double").select(
+        stats.log_gamma(F.col("x")).alias("g")).collect()]
+    for x, g in zip(xs, got):
+        assert g == pytest.approx(math.lgamma(x), rel=1e-12, abs=1e-12)
