@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
-from abx.functions.stats import Z_95, normal_two_sided_p, pooled_p, pooled_se, safe_z, unpooled_se
+from abx.functions.stats import (
+    Z_95,
+    normal_two_sided_p,
+    normal_two_sided_p_exact,
+    pooled_p,
+    pooled_se,
+    safe_z,
+    unpooled_se,
+)
 from abx.functions.util import count_true, ratio
 
 
@@ -50,8 +58,9 @@ def _control_cols(df: DataFrame, keys: list[str], cols: dict[str, str], control:
 def results(mbv: DataFrame, cfg: ExperimentConfig = DEFAULT, with_computed_at: bool = False) -> DataFrame:
     """Every variant (control too) against its experiment's control arm (left-join semantics).
 
-    Pooled z, two-sided p (normal tail polynomial, capped at 1), unpooled 95 % CI. A control
-    row gets uplift 0 and p = 1 unless se = 0 (then z, p null). A missing control gives nulls.
+    Pooled z, exact two-sided normal p (erfc via the incomplete gamma), unpooled 95 % CI. A
+    control row gets uplift 0 and p = 1 unless se = 0 (then z, p null). A missing control gives
+    nulls.
     """
     b = mbv.select("experiment_id", "metric_id", "variant_id", "n_users", "conversions", "conversion_rate")
     j = b.select(
@@ -80,7 +89,7 @@ def results(mbv: DataFrame, cfg: ExperimentConfig = DEFAULT, with_computed_at: b
         se.alias("se"),
     )
     out = out.withColumn("z", safe_z(F.col("uplift_abs"), F.col("se")))
-    out = out.withColumn("p_value_two_sided", normal_two_sided_p(F.col("z")))
+    out = out.withColumn("p_value_two_sided", normal_two_sided_p_exact(F.col("z")))
     out = out.withColumn("se_unpooled", se_u)
     out = out.select(
         "*",

@@ -114,3 +114,11 @@ def test_log_gamma(spark):
         stats.log_gamma(F.col("x")).alias("g")).collect()]
     for x, g in zip(xs, got):
         assert g == pytest.approx(math.lgamma(x), rel=1e-12, abs=1e-12)
+
+
+def test_exact_normal_tail_against_erfc(spark):
+    zs = [0.0, 0.3, 1.0, 1.959964, 2.5, 4.0, 6.0, 9.0, -3.3]
+    got = [r.p for r in spark.createDataFrame([(z,) for z in zs], "z double").select(
+        stats.normal_two_sided_p_exact(F.col("z")).alias("p")).collect()]
+    for z, p in zip(zs, got):
+        assert p == pytest.approx(math.erfc(abs(z) / math.sqrt(2)), rel=1e-12, abs=1e-300)
