@@ -33,15 +33,20 @@ def window_outcomes(
     anchor_col: str = "anchor_at",
     salt: bool = True,
     pre_days: int = 0,
+    window_days_col: str | None = None,
+    match: tuple[tuple[str, str], ...] = (),
 ) -> DataFrame:
     """Per anchor row: ``first_at``, ``n_events``, ``revenue`` of conversions in the window
     ``[anchor + start_days, anchor + end_days)``.
 
     With ``pre_days > 0`` the same join also covers ``[anchor + start - pre_days, anchor + start)``
     and adds ``pre_events`` / ``pre_revenue`` (a pre-period covariate) without a second join.
-    ``anchors`` must be unique per experiment x unit and hold ``anchor_col``; every other anchor
-    column is carried through. ``conversions`` holds unit_id, occurred_at, event_id and
-    (optionally) revenue.
+    ``anchors`` must be unique per row key (experiment x unit, or x metric) and hold
+    ``anchor_col``; every anchor column is carried through. ``conversions`` holds unit_id,
+    occurred_at, event_id and (optionally) revenue.
+    ``window_days_col`` takes each anchor row's window length from a column (end = anchor + that
+    many days) instead of ``end_days``; ``match`` adds equi-keys (anchor column, conversion column),
+    e.g. a metric's event name.
     """
     # Revenue is summed as an exact decimal: the total does not depend on partitioning, salting
     # or the order a recomputed task merges rows in (double sums can differ in the last bit).
@@ -51,6 +56,7 @@ def window_outcomes(
         F.col("occurred_at").alias("_ct"),
         rev.alias("_cr"),
         F.col("event_id").alias("_ce"),
+        *[F.col(c_col).alias(f"_m{i}") for i, (_, c_col) in enumerate(match)],
     )
     carry = [c for c in anchors.columns]
     a = anchors
@@ -62,9 +68,16 @@ def window_outcomes(
         cond = (F.col("unit_id") == F.col("_cu")) & (F.col(SALT) == F.col("_cs"))
     else:
         cond = F.col("unit_id") == F.col("_cu")
+    for i, (a_col, _) in enumerate(match):
+        cond = cond & (F.col(a_col) == F.col(f"_m{i}"))
     anchor = F.col(anchor_col)
     lo = plus_days(anchor, start_days - pre_days)
-    cond = cond & (F.col("_ct") >= lo) & (F.col("_ct") < plus_days(anchor, end_days))
+    hi = (
+        anchor + F.make_dt_interval(days=F.col(window_days_col))
+        if window_days_col
+        else plus_days(anchor, end_days)
+    )
+    cond = cond & (F.col("_ct") >= lo) & (F.col("_ct") < hi)
     j = a.join(conv, cond, "left")
     if pre_days <= 0:
         return j.groupBy(*carry).agg(
@@ -158,3 +171,30 @@ def unit_outcomes(
         F.col("n_events").alias("conversion_events"),
         F.coalesce(F.col("revenue"), F.lit(0.0)).alias("revenue"),
     )
+
+
+def metric_outcomes(spine: DataFrame, conversions: DataFrame, cfg: ExperimentConfig = DEFAULT, salt: bool = True):
+    """Outcomes per unit x metric definition, driven by the metric spine.
+
+    Each spine row brings its anchor, window length and event name; conversions match on unit and
+    event name within ``[anchor, anchor + window_days)``. Ineligible rows (no anchor) get no match.
+    Output: experiment_id, unit_id, variant_id, metric_id, kind, is_eligible, did_convert,
+    converted_at, events, value (revenue sum, 0.0 when none).
+    """
+    base = spine.select(
+        *ANCHOR_KEY, "variant_id", "metric_id", "kind", "event_name", "window_days", "anchor_at", "is_eligible"
+    )
+    w = window_outcomes(
+        base, conversions, 0, 0, cfg, salt=salt, window_days_col="window_days", match=(("event_name", "event_name"),)
+    )
+    return w.select(
+        *ANCHOR_KEY,
+        "variant_id",
+        "metric_id",
+        "kind",
+        "is_eligible",
+        F.col("first_at").isNotNull().alias("did_convert"),
+        F.col("first_at").alias("converted_at"),
+        F.col("n_events").alias("events"),
+        F.coalesce(F.col("revenue"), F.lit(0.0)).alias("value"),
+    )

@@ -653,3 +653,13 @@ CROSS JOIN (VALUES ('conversion_7d', 'purchase', 7, 'exposure', 'binary'),
                    ('revenue_7d', 'purchase', 7, 'exposure', 'continuous'),
                    ('conversion_itt_7d', 'purchase', 7, 'assignment', 'binary'))
   AS m(metric_id, event_name, window_days, anchor, kind)"""
+
+CTES["metric_outcomes"] = """
+SELECT s.experiment_id, s.unit_id, s.variant_id, s.metric_id, s.kind, s.is_eligible,
+       min(cv.occurred_at) IS NOT NULL AS did_convert, min(cv.occurred_at) AS converted_at,
+       count(cv.occurred_at) AS events,
+       COALESCE(CAST(sum(CAST(cv.revenue AS DECIMAL(38, 10))) AS DOUBLE), 0.0) AS value
+FROM spine s LEFT JOIN conv cv
+  ON s.unit_id = cv.unit_id AND s.event_name = cv.event_name
+ AND cv.occurred_at >= s.anchor_at AND cv.occurred_at < s.anchor_at + to_days(s.window_days)
+GROUP BY s.experiment_id, s.unit_id, s.variant_id, s.metric_id, s.kind, s.is_eligible"""

@@ -864,3 +864,14 @@ _CUPED = ["experiment_id", "variant_id", "n_units", "mean_pre", "mean_post", "th
     [c if c in ("experiment_id", "variant_id", "n_units") else f"round({c}, 6) AS {c}" for c in _CUPED]) + " FROM cuped")
 def _cuped(d: ExperimentDAG) -> DataFrame:
     return _r6(X.cuped(d.cuped_units, d.cfg))
+
+
+_MO = ["experiment_id", "unit_id", "variant_id", "metric_id", "kind", "is_eligible", "did_convert", "converted_at",
+       "events"]
+
+
+@register("metric_outcomes", O.round9(["value"], "metric_outcomes", _MO))
+def _metric_outcomes(d: ExperimentDAG) -> DataFrame:
+    from abx.operators import outcomes as OUT
+
+    return _r9(OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, salt=d.salt))
