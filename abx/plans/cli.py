@@ -3,6 +3,8 @@
     python -m abx.plans.cli assignments --dt 2026-02-01 [--in data/raw] [--out data/silver]
     python -m abx.plans.cli exposure-validation --dt 2026-02-01 [--in data/raw] [--silver data/silver]
         [--gold data/gold] [--max_days_after_assignment 7] [--pre_assignment_grace_minutes 5]
+    python -m abx.plans.cli results --dt 2026-02-01 [--in data/raw] [--silver data/silver] [--gold data/gold]
+        [--anchor assignment|exposure] [--conversion_window_days 7]
 
 The session comes from the environment (``spark-submit`` / cluster config); cluster defaults are
 applied only where unset, and the checkpoint folder is read from ``spark.checkpoint.dir``.
@@ -33,6 +35,13 @@ def parse_args(argv=None) -> argparse.Namespace:
     e.add_argument("--gold", dest="gold_path", default="data/gold")
     e.add_argument("--max_days_after_assignment", type=int, default=7)
     e.add_argument("--pre_assignment_grace_minutes", type=int, default=5)
+    r = sub.add_parser("results", help="outcomes (gold unit outcomes) and results for one cohort day")
+    r.add_argument("--dt", required=True)
+    r.add_argument("--in", dest="in_path", default="data/raw", help="raw base holding fact_event")
+    r.add_argument("--silver", dest="silver_path", default="data/silver")
+    r.add_argument("--gold", dest="gold_path", default="data/gold")
+    r.add_argument("--anchor", choices=("assignment", "exposure"), default="assignment")
+    r.add_argument("--conversion_window_days", type=int, default=7)
     return p.parse_args(argv)
 
 
@@ -42,6 +51,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     apply_cluster_defaults(spark)
     if args.job == "assignments":
         jobs.build_assignments(spark, args.in_path.rstrip("/"), args.out_path.rstrip("/"), args.dt)
+    elif args.job == "results":
+        cfg = ExperimentConfig(conversion_window_days=args.conversion_window_days)
+        conv = jobs.read_conversions(spark, args.in_path, cfg)
+        jobs.build_results(spark, args.silver_path, args.gold_path, conv, args.dt, cfg, anchor=args.anchor)
     else:
         cfg = ExperimentConfig(
             max_days_after_assignment=args.max_days_after_assignment,

@@ -82,16 +82,44 @@ def build_results(
     cfg: ExperimentConfig = DEFAULT,
     anchor: str = "assignment",
 ) -> None:
-    """Outcomes for the day's cohort, then metrics and results (tiny tables) into gold."""
+    """Outcomes for the day's cohort, then metrics and results (tiny tables) into gold.
+
+    Only conversions that can fall in a window of this cohort are read: the cohort's anchor range
+    (one tiny aggregate, one row to the driver) becomes literal time predicates on the conversion
+    scan, which Parquet pushes down to row groups. The bound comes from the data, not from the
+    partition date, so late-arriving rows and exposures far past assignment stay exact.
+    """
     validation = read_day(spark, silver_base, "int_experiment_exposure_validation", dt)
     coh = cohort.cohort(validation)
-    out = outcomes.conversion_outcomes(coh, normalize(conversions), cfg, anchor=anchor)
+    anchor_col = "assigned_at" if anchor == "assignment" else "first_exposure_at"
+    conv = conversion_time_bound(normalize(conversions), coh, anchor_col, cfg)
+    out = outcomes.conversion_outcomes(coh, conv, cfg, anchor=anchor)
     write_day(_with_dt(out, dt), gold_base, "fct_experiment_unit_outcomes")
     out = read_day(spark, gold_base, "fct_experiment_unit_outcomes", dt)
     mbv = results.metric_by_variant(out)
     write_day(_with_dt(results.results(mbv, cfg), dt), gold_base, "fct_experiment_results")
 
 
+def conversion_time_bound(
+    conversions: DataFrame, cohort_df: DataFrame, anchor_col: str, cfg: ExperimentConfig = DEFAULT
+) -> DataFrame:
+    """Keep conversions in [min anchor, max anchor + conversion window) of the cohort."""
+    lo, hi = cohort_df.agg(F.min(anchor_col), F.max(anchor_col)).first()
+    if lo is None:
+        return conversions.filter(F.lit(False))
+    upper = F.lit(hi).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(int(cfg.conversion_window_days)))
+    return conversions.filter((F.col("occurred_at") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("occurred_at") < upper))
+
+
+def read_conversions(spark: SparkSession, raw_base: str, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
+    """Conversion events from the raw ``fact_event`` table (event type filter pushed to the scan;
+    the cohort's time bound is added by ``build_results``)."""
+    base = f"{raw_base.rstrip('/')}/fact_event"
+    ev = normalize(spark.read.option("basePath", base).parquet(base))
+    ev = ev.filter(F.col("event_type") == F.lit(cfg.conversion_event_name))
+    return ev.select("event_id", "unit_id", "occurred_at", "revenue")
+
+
 def run_day(
     spark: SparkSession,
     raw_base: str,
