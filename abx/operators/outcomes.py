@@ -35,6 +35,7 @@ def window_outcomes(
     pre_days: int = 0,
     window_days_col: str | None = None,
     match: tuple[tuple[str, str], ...] = (),
+    prefilter: bool = False,
 ) -> DataFrame:
     """Per anchor row: ``first_at``, ``n_events``, ``revenue`` of conversions in the window
     ``[anchor + start_days, anchor + end_days)``.
@@ -47,6 +48,11 @@ def window_outcomes(
     ``window_days_col`` takes each anchor row's window length from a column (end = anchor + that
     many days) instead of ``end_days``; ``match`` adds equi-keys (anchor column, conversion column),
     e.g. a metric's event name.
+    ``prefilter`` bounds the conversions by the anchors' overall time range: one uncorrelated
+    scalar subquery, evaluated once by Spark (no driver round-trip), filters rows right at the
+    scan, so a long event history shrinks to the cohort's period before any shuffle. Use it when
+    the anchors are materialized (checkpointed or read from a table): on a lazy plan the
+    subquery re-runs the whole anchor pipeline first (measured ~3x slower at sf0.1).
     """
     # Revenue is summed as an exact decimal: the total does not depend on partitioning, salting
     # or the order a recomputed task merges rows in (double sums can differ in the last bit).
@@ -58,6 +64,16 @@ def window_outcomes(
         F.col("event_id").alias("_ce"),
         *[F.col(c_col).alias(f"_m{i}") for i, (_, c_col) in enumerate(match)],
     )
+    anchor = F.col(anchor_col)
+    lo_expr = plus_days(anchor, start_days - pre_days)
+    hi_expr = (
+        anchor + F.make_dt_interval(days=F.col(window_days_col))
+        if window_days_col
+        else plus_days(anchor, end_days)
+    )
+    if prefilter:
+        rng = anchors.select(F.struct(F.min(lo_expr).alias("lo"), F.max(hi_expr).alias("hi"))).scalar()
+        conv = conv.filter((F.col("_ct") >= rng.getField("lo")) & (F.col("_ct") < rng.getField("hi")))
     carry = [c for c in anchors.columns]
     a = anchors
     if salt:
@@ -70,14 +86,7 @@ def window_outcomes(
         cond = F.col("unit_id") == F.col("_cu")
     for i, (a_col, _) in enumerate(match):
         cond = cond & (F.col(a_col) == F.col(f"_m{i}"))
-    anchor = F.col(anchor_col)
-    lo = plus_days(anchor, start_days - pre_days)
-    hi = (
-        anchor + F.make_dt_interval(days=F.col(window_days_col))
-        if window_days_col
-        else plus_days(anchor, end_days)
-    )
-    cond = cond & (F.col("_ct") >= lo) & (F.col("_ct") < hi)
+    cond = cond & (F.col("_ct") >= lo_expr) & (F.col("_ct") < hi_expr)
     j = a.join(conv, cond, "left")
     if pre_days <= 0:
         return j.groupBy(*carry).agg(
@@ -102,6 +111,7 @@ def conversion_outcomes(
     anchor: str = "exposure",
     salt: bool = True,
     carry: tuple[str, ...] = (),
+    prefilter: bool = False,
 ) -> DataFrame:
     """Did each unit convert within ``cfg.conversion_window_days`` of its anchor?
 
@@ -125,7 +135,7 @@ def conversion_outcomes(
     else:
         raise ValueError(f"anchor must be 'exposure' or 'assignment', got {anchor!r}")
     n = int(cfg.conversion_window_days)
-    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt)
+    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt, prefilter=prefilter)
     return w.select(
         *ANCHOR_KEY,
         "variant_id",
@@ -143,6 +153,7 @@ def unit_outcomes(
     conversions: DataFrame,
     cfg: ExperimentConfig = DEFAULT,
     salt: bool = True,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Exactly one row per experiment x unit with the standard outcomes.
 
@@ -159,7 +170,7 @@ def unit_outcomes(
         .otherwise(F.lit("assignment"))
         .alias("anchor_type"),
     )
-    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt)
+    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt, prefilter=prefilter)
     return w.select(
         *ANCHOR_KEY,
         "variant_id",
@@ -173,7 +184,9 @@ def unit_outcomes(
     )
 
 
-def metric_outcomes(spine: DataFrame, conversions: DataFrame, cfg: ExperimentConfig = DEFAULT, salt: bool = True):
+def metric_outcomes(
+    spine: DataFrame, conversions: DataFrame, cfg: ExperimentConfig = DEFAULT, salt: bool = True, prefilter: bool = False
+):
     """Outcomes per unit x metric definition, driven by the metric spine.
 
     Each spine row brings its anchor, window length and event name; conversions match on unit and
@@ -185,7 +198,15 @@ def metric_outcomes(spine: DataFrame, conversions: DataFrame, cfg: ExperimentCon
         *ANCHOR_KEY, "variant_id", "metric_id", "kind", "event_name", "window_days", "anchor_at", "is_eligible"
     )
     w = window_outcomes(
-        base, conversions, 0, 0, cfg, salt=salt, window_days_col="window_days", match=(("event_name", "event_name"),)
+        base,
+        conversions,
+        0,
+        0,
+        cfg,
+        salt=salt,
+        window_days_col="window_days",
+        match=(("event_name", "event_name"),),
+        prefilter=prefilter,
     )
     return w.select(
         *ANCHOR_KEY,

@@ -136,15 +136,21 @@ class ExperimentDAG:
 
     @cached_property
     def outcomes_exposed(self) -> DataFrame:
-        return outcomes.conversion_outcomes(self.cohort, self.conversions, self.cfg, "exposure", salt=self.salt)
+        return outcomes.conversion_outcomes(
+            self.cohort, self.conversions, self.cfg, "exposure", salt=self.salt, prefilter=self.checkpoint_stages
+        )
 
     @cached_property
     def outcomes_itt(self) -> DataFrame:
-        return outcomes.conversion_outcomes(self.cohort, self.conversions, self.cfg, "assignment", salt=self.salt)
+        return outcomes.conversion_outcomes(
+            self.cohort, self.conversions, self.cfg, "assignment", salt=self.salt, prefilter=self.checkpoint_stages
+        )
 
     @cached_property
     def unit_outcomes(self) -> DataFrame:
-        return outcomes.unit_outcomes(self.cohort, self.conversions, self.cfg, salt=self.salt)
+        return outcomes.unit_outcomes(
+            self.cohort, self.conversions, self.cfg, salt=self.salt, prefilter=self.checkpoint_stages
+        )
 
     # ---- results -------------------------------------------------------------------------
     @cached_property
@@ -176,7 +182,13 @@ class ExperimentDAG:
             "analysis_start_at", F.coalesce(F.col("first_exposure_at"), F.col("assigned_at"))
         )
         return outcomes.conversion_outcomes(
-            c, self.conversions, self.cfg, "assignment", salt=self.salt, carry=("analysis_start_at",)
+            c,
+            self.conversions,
+            self.cfg,
+            "assignment",
+            salt=self.salt,
+            carry=("analysis_start_at",),
+            prefilter=self.checkpoint_stages,
         )
 
     def guards(self) -> dict[str, DataFrame]:
@@ -218,7 +230,9 @@ class ExperimentDAG:
             F.col("assigned_variant_id").alias("variant_id"),
             F.col("assigned_at").alias("anchor_at"),
         )
-        return outcomes.window_outcomes(anchors, self.conversions, 0, n, self.cfg, salt=self.salt, pre_days=n)
+        return outcomes.window_outcomes(
+            anchors, self.conversions, 0, n, self.cfg, salt=self.salt, pre_days=n, prefilter=self.checkpoint_stages
+        )
 
     @cached_property
     def query_log(self) -> DataFrame:

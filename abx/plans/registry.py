@@ -874,4 +874,6 @@ _MO = ["experiment_id", "unit_id", "variant_id", "metric_id", "kind", "is_eligib
 def _metric_outcomes(d: ExperimentDAG) -> DataFrame:
     from abx.operators import outcomes as OUT
 
-    return _r9(OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, salt=d.salt))
+    return _r9(
+        OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, salt=d.salt, prefilter=d.checkpoint_stages)
+    )

@@ -246,3 +246,12 @@ def test_bag_types_map_struct_variant(spark):
     v = v.withColumn("properties", F.parse_json("props")).drop("props")
     (r,) = stage.stage_exposures(v).collect()
     assert (r.unit_id, r.experiment_id) == ("7", "vx")
+
+
+def test_prefilter_equals_plain(spark):
+    from abx.plans.experiment import ExperimentDAG
+
+    d = ExperimentDAG(spark, "/root/testdata/sf0.001")
+    a = outcomes.unit_outcomes(d.cohort, d.conversions, prefilter=True)
+    b = outcomes.unit_outcomes(d.cohort, d.conversions, prefilter=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
