@@ -21,15 +21,19 @@ SQL_DEFAULTS = {
 }
 
 
-# Cluster settings applied only where the user has not set them (``apply_cluster_defaults``):
-# many shuffle partitions that AQE coalesces toward an advisory size, so one setting serves both
-# small days and 100 TB backfills; skew splitting on; file splits sized for large Parquet scans.
+# Cluster settings applied only where the user has not set them (``apply_cluster_defaults``).
+# Sizing for ~100 TB of events: the largest shuffle (exposure dedupe) carries ~4e11 rows x ~60 B
+# ~ 24 TB before the map-side top-1 cuts it; at a 256 MB advisory size that needs ~100k reduce
+# partitions. AQE can merge partitions but not split them (except skewed joins), so the initial
+# count is sized for the largest shuffle and AQE coalesces every smaller one toward 256 MB.
+# Scans split at 512 MB (100 TB -> ~200k tasks, ~25 waves on 8,000 cores).
 CLUSTER_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.shuffle.partitions": "16384",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
