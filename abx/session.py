@@ -39,15 +39,21 @@ CLUSTER_DEFAULTS = {
 }
 
 
-def apply_cluster_defaults(spark: SparkSession) -> None:
-    """Set each CLUSTER_DEFAULTS key unless the session already carries an explicit value."""
+def apply_cluster_defaults(spark: SparkSession, force: bool = False) -> None:
+    """Set each CLUSTER_DEFAULTS key unless the session already carries an explicit value.
+
+    Local masters keep their own settings (100k shuffle partitions make no sense on one machine)
+    unless ``force`` is set.
+    """
+    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local") and not force:
+        return
     for k, v in CLUSTER_DEFAULTS.items():
         if not spark.conf.isModifiable(k):
             continue
         explicit = spark.sparkContext.getConf().contains(k)
         if not explicit:
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "abx") -> SparkSession:
