@@ -35,3 +35,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+@register("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
