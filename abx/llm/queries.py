@@ -42,3 +42,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op10_outliers")
+def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.outliers import judge
+
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2"]
+    return judge(table(spark, sf_dir, "documents")).select(*cols)
