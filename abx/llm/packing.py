@@ -18,6 +18,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,16 @@ from abx.llm.common import slices
 
 MAX_LEN = 1024
 END_ID = 0
-# Entries of the per-worker cache of encoded words; it is emptied when full.
-CACHE_WORDS = 400_000
-CACHE_WORD_CHARS = 64
+# The per-worker cache of encoded parts keeps this many recent ones, and as many from before them.
+CACHE_PARTS = 400_000
+CACHE_PART_CHARS = 64
 
-# Characters that no tokenizer takes for white space. A single space or newline between two of
-# them always starts a new pre-token, so the text can be cut there without changing its ids.
+# Characters that no tokenizer takes for white space, and the letters among them. A single space or
+# newline between two of them always starts a new pre-token, and so does what follows a run of
+# letters, so the text can be cut there without changing its ids.
 _SAFE = "!-~À-ɏ"
-_PIECES = re.compile(f"[ \n]?[{_SAFE}]+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PIECES = re.compile(f" ?[{_LETTERS}]+| ?[{_SAFE}]+|\n(?=[{_SAFE}])")
 _CUTS = re.compile(f"(?<=[{_SAFE}])(?=[ \n][{_SAFE}])")
 
 _encoders: dict[str, "Encoder"] = {}
@@ -50,7 +53,7 @@ def cut_words(text: str) -> list[str]:
 
 
 class Encoder:
-    """Text to little-endian 32-bit ids, with the ids of frequent words kept."""
+    """Text to little-endian 32-bit ids, with the ids of recent parts kept in two generations."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,21 +62,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+        ends = [0, *accumulate(4 * len(i) for i in ids)]
+        return [flat[a:b] for a, b in pairwise(ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [cut_words(t) for t in texts]
-        known = self.known
-        new = list({w for words in cut for w in words if w not in known})
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list({w for words in cut for w in words})
-        own = dict(
-            zip(new, (np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(new, add_special_tokens=False)), strict=True)
-        )
-        known.update(own)
+        parts = set(chain.from_iterable(cut))
+        if len(self.known) > CACHE_PARTS:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        missing = [w for w in parts if w not in known]
+        known.update({w: before[w] for w in missing if w in before})
+        missing = [w for w in missing if w not in before]
+        known.update(zip(missing, self._encode_parts(missing), strict=True))
         out = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for w in own:
-            if len(w) > CACHE_WORD_CHARS:
+        for w in missing:
+            if len(w) > CACHE_PART_CHARS:
                 del known[w]
         return out
 

@@ -25,6 +25,7 @@ def plain():
 ODD = [
     "", " ", "a", " a  b\n\nc ", "it's\tI'll  don't", "x y  z", "é à ü ñ", "你好 世界 !?",
     "<|endoftext|> end", "a\x1cb \x1fc", "12 345  6,7", "🙂 🙂🙂", "á b́", "\n\n\n", "w" * 5000, "a " * 3000,
+    "don't, we'll 's'tis '", "a,b.c;d! e?f", "x1y2 3z", "\nA\n B\n\nC", "é,ü.ñ'll×÷ ×a", "end\n", "(a) [b] \"c\"",
 ]
 
 
