@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from abx.llm.mixing import ORACLE as MIXING_ORACLE
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -50,3 +52,10 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance2"]
     return judge(table(spark, sf_dir, "documents")).select(*cols)
+
+
+@register("op5_mixing", MIXING_ORACLE)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
