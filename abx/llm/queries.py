@@ -59,3 +59,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents"))
+
+
+@register("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.pii import report
+
+    return report(table(spark, sf_dir, "documents"))
