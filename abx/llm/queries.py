@@ -66,3 +66,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.pii import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+@register("op2_ppm")
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.ppm import score
+
+    return score(table(spark, sf_dir, "documents"))
