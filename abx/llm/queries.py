@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from abx.llm.mixing import ORACLE as MIXING_ORACLE
 
@@ -73,3 +74,10 @@ def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.ppm import score
 
     return score(table(spark, sf_dir, "documents"))
+
+
+@register("op8_ann")
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
