@@ -81,3 +81,10 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.ann import search
 
     return search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
+
+
+@register("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.knn_quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
