@@ -88,3 +88,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.knn_quality import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op9_langid")
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.langid import fit, identify_pages
+
+    return identify_pages(table(spark, sf_dir, "pages"), fit(table(spark, sf_dir, "documents")))
