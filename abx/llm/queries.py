@@ -95,3 +95,12 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.langid import fit, identify_pages
 
     return identify_pages(table(spark, sf_dir, "pages"), fit(table(spark, sf_dir, "documents")))
+
+
+@register("op1_chat")
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.chat import format_chats
+    from abx.llm.common import id_mod
+
+    # A fifth of the transcripts is never learned from.
+    return format_chats(table(spark, sf_dir, "conversations"), learn_from=id_mod(F.col("conv_id"), 5) != 0)
