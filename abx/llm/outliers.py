@@ -7,7 +7,7 @@ statistic vector, and rows with a large Mahalanobis distance are rejected.
 The estimate is computed by Spark for all groups at once. A start from medians and quartile ranges
 is followed by concentration steps: distances under the present estimate are grouped into narrow
 logarithmic bins, the bins that hold the nearest H_SHARE of a group's rows are summed, and their
-mean and covariance are the next estimate. A step is one aggregation by (group, bin), so a group
+mean and covariance are the next estimate, kept while the determinant falls. A step is one aggregation by (group, bin), so a group
 that holds a third of all rows is combined in every task before it moves. Steps end when no group's
 determinant changes any more.
 
@@ -42,6 +42,8 @@ REJECT_QUANTILE = 1 - 1e-7
 # Bins of squared distances: width of a step in log space, and the largest distance told apart.
 BIN_WIDTH = 0.02
 MAX_BIN = 2000
+# A step that lowers no determinant's logarithm by more than this is the last.
+TOLERANCE = 1e-4
 # Groups up to this count are sent to every task; beyond, estimates are joined by shuffling.
 BROADCAST_GROUPS = 20_000
 
@@ -180,21 +182,21 @@ def _near(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner")
 
 
 def _inverse(floors: list[float]):
-    """Rows (level, n, s, ss) of sums to estimates (level, m, w, log_det)."""
+    """Rows (level, bin, n, s, ss) of sums to estimates (level, bin, m, w, log_det)."""
     p = len(floors)
     upper = [(i, j) for i in range(p) for j in range(i, p)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for depth, lang, source, n, s, ss in zip(pdf.depth, pdf.lang, pdf.source, pdf.n, pdf.s, pdf.ss, strict=True):
+            for depth, lang, source, at, n, s, ss in zip(pdf.depth, pdf.lang, pdf.source, pdf.bin, pdf.n, pdf.s, pdf.ss, strict=True):
                 m = np.asarray(s, float) / n
                 cov = np.zeros((p, p))
                 for (i, j), v in zip(upper, ss, strict=True):
                     cov[i, j] = cov[j, i] = v / n - m[i] * m[j]
                 cov += np.diag(np.square(floors))
-                out.append((depth, lang, source, m.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
-            yield pd.DataFrame(out, columns=["depth", "lang", "source", "m", "w", "log_det"])
+                out.append((depth, lang, source, at, m.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame(out, columns=["depth", "lang", "source", "bin", "new_m", "new_w", "new_log_det"])
 
     return run
 
@@ -226,27 +228,28 @@ def estimates(rows: DataFrame, h_share: float = H_SHARE, min_rows: int = MIN_ROW
     names = [f"s{i}" for i in range(p)], [f"ss{i}_{j}" for i in range(p) for j in range(i, p)]
     bin_of = F.least(F.floor(F.log1p("d2") / BIN_WIDTH), F.lit(MAX_BIN)).alias("bin")
     w = W.partitionBy(*level)
+    schema = "depth int, lang string, source string, bin bigint, new_m array<double>, new_w array<double>, new_log_det double"
     while True:
         scored = _near(flat, F.broadcast(now) if small else now, level).withColumn("d2", _distance(p))
-        bins = scored.select(*level, "x", bin_of, F.col("log_det")).groupBy(*level, "bin").agg(F.count("*").alias("n"), F.first("log_det").alias("old"), *sums)
-        bins = bins.withColumn("before", F.sum("n").over(w.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)))
+        bins = scored.select(*level, "x", bin_of).groupBy(*level, "bin").agg(F.count("*").alias("n"), *sums)
+        bins = bins.withColumn("before", F.coalesce(F.sum("n").over(w.orderBy("bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         bins = bins.withColumn("total", F.sum("n").over(w))
-        inner = F.coalesce("before", F.lit(0)) < F.lit(h_share) * F.col("total")
+        inner = F.col("before") < F.lit(h_share) * F.col("total")
         agg = [F.sum(F.when(inner, F.col(c))).alias(c) for c in ["n", *names[0], *names[1]]]
         # The bin that holds the median gives the scale of distances.
-        middle = F.max(F.when(F.coalesce("before", F.lit(0)) < F.col("total") / 2, F.col("bin"))).alias("bin")
-        summed = bins.groupBy(*level).agg(F.first("old").alias("old"), middle, *agg)
-        packed = summed.select(*level, "old", "bin", F.col("n").cast("double").alias("n"), F.array(*names[0]).alias("s"), F.array(*names[1]).alias("ss"))
-        packed = materialize(packed)
-        new = packed.drop("old", "bin").mapInPandas(_inverse(floors), "depth int, lang string, source string, m array<double>, w array<double>, log_det double")
-        new = materialize(new)
-        moved = _near(new, packed.select(*level, "old"), level).filter(F.col("log_det") < F.col("old") - 1e-6).count()
-        if not moved:
+        middle = F.max(F.when(F.col("before") < F.col("total") / 2, F.col("bin"))).alias("bin")
+        summed = bins.groupBy(*level).agg(middle, *agg)
+        packed = summed.select(*level, "bin", F.col("n").cast("double").alias("n"), F.array(*names[0]).alias("s"), F.array(*names[1]).alias("ss"))
+        # A level moves on while its determinant falls; one that no longer does keeps its best estimate.
+        better = F.col("new_log_det") < F.col("log_det") - TOLERANCE
+        pick = [F.when(better, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in ("m", "w", "log_det")]
+        stepped = materialize(_near(now, packed.mapInPandas(_inverse(floors), schema), level).select(*level, "bin", better.alias("better"), *pick))
+        if stepped.filter("better").isEmpty():
             break
-        now = new
-    # Distances are taken under the last estimate that the bins were counted with.
-    mid = packed.select(*level, F.expm1((F.col("bin") + 0.5) * BIN_WIDTH).alias("middle"))
-    return _near(now.drop("log_det"), mid, level).select(F.struct(*level).alias("level"), "m", "w", "middle")
+        now = stepped.drop("bin", "better")
+    # These distances were measured under the estimates that have been kept.
+    middle = F.expm1((F.col("bin") + 0.5) * BIN_WIDTH).alias("middle")
+    return stepped.select(F.struct(*level).alias("level"), "m", "w", middle)
 
 
 def judge(
