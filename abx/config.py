@@ -39,12 +39,6 @@ class ExperimentConfig:
             "invalid_other",
         )
     )
-    # Skew handling for range joins keyed by unit: a unit with more rows than this on the
-    # many side is split into ceil(rows / skew_rows_per_split) salted sub-keys.
-    skew_rows_per_split: int = 1_000_000
-    # Upper bound on the number of hot keys broadcast to the salting step; the threshold
-    # is raised so that at most this many keys qualify (pigeonhole bound on the broadcast).
-    skew_max_hot_keys: int = 100_000
 
 
 DEFAULT = ExperimentConfig()

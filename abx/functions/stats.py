@@ -1,4 +1,5 @@
-"""Statistical Column expressions (no UDFs: everything stays inside whole-stage codegen).
+"""Statistical Column expressions (no UDFs; loops are ``aggregate`` over a short sequence, which Spark
+interprets, the rest stays inside whole-stage codegen).
 
 Spark has no ``erf``. Two normal tails are provided: ``normal_two_sided_p`` is the Abramowitz &
 Stegun 26.2.17 polynomial (absolute error < 1.5e-7), the five-term form the reference's local
@@ -130,7 +131,23 @@ def log_gamma(x) -> Column:
     return F.lit(0.5 * math.log(2 * math.pi)) + (x + F.lit(0.5)) * F.log(t) - t + F.log(a)
 
 
+# From here on the difference of two log-gammas is taken from its expansion, as the terms cancel.
+RATIO_FROM = 1e4
+# Degrees of freedom from which Student's t is taken from the normal law.
+NORMAL_FROM = 1e6
+
+
+def log_gamma_ratio(a, b) -> Column:
+    """ln Gamma(a + b) - ln Gamma(a); the expansion's error is below b^4 / a^3 for large a."""
+    a, b = col_of(a).cast("double"), col_of(b).cast("double")
+    one = F.lit(1.0)
+    large = b * F.log(a) + b * (b - one) / (F.lit(2.0) * a) - b * (b - one) * (F.lit(2.0) * b - one) / (F.lit(12.0) * a * a)
+    return F.when((a >= F.lit(RATIO_FROM)) & (b <= F.lit(1.0)), large).otherwise(log_gamma(a + b) - log_gamma(a))
+
+
 _FPMIN = 1e-300
+# Lentz's method converges here in O(sqrt(max(a, b))) steps, and far sooner where x is small; against
+# 100 times as many steps the result was the same at df up to 1e11 (see the tests).
 _CF_STEPS = 2000
 
 
@@ -163,9 +180,9 @@ def incomplete_beta(a, b, x) -> Column:
     """Regularized incomplete beta I_x(a, b) for a, b >= 0.5 and x in [0, 1]."""
     a, b, x = (col_of(v).cast("double") for v in (a, b, x))
     inner = F.least(F.greatest(x, F.lit(1e-300)), F.lit(1.0 - 1e-16))
-    front = F.exp(
-        log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(inner) + b * F.log(F.lit(1.0) - inner)
-    )
+    # 1 / B(a, b) from the larger argument's side, where the log-gammas nearly cancel.
+    scale = F.when(b >= a, log_gamma_ratio(b, a) - log_gamma(a)).otherwise(log_gamma_ratio(a, b) - log_gamma(b))
+    front = F.exp(scale + a * F.log(inner) + b * F.log1p(-inner))
     direct = front * _betacf(a, b, inner) / a
     mirror = F.lit(1.0) - front * _betacf(b, a, F.lit(1.0) - inner) / b
     v = F.when(x < (a + F.lit(1.0)) / (a + b + F.lit(2.0)), direct).otherwise(mirror)
@@ -175,11 +192,15 @@ def incomplete_beta(a, b, x) -> Column:
 def student_t_two_sided_p(t, df) -> Column:
     """P(|T| > |t|) for Student's t with real ``df`` > 0: I_{df/(df+t^2)}(df/2, 1/2)."""
     t, df = col_of(t).cast("double"), col_of(df).cast("double")
-    x = df / (df + t * t)
-    p = incomplete_beta(df / F.lit(2.0), F.lit(0.5), x)
+    # The complement keeps the digits that df / (df + t^2) loses as df grows.
+    beta = F.lit(1.0) - incomplete_beta(F.lit(0.5), df / F.lit(2.0), t * t / (df + t * t))
+    # From here on the normal tail with its first correction is exact to (t / df)^2.
+    near = normal_two_sided_p_exact(t) + normal_pdf(t) * F.abs(t) * (t * t + F.lit(1.0)) / (F.lit(2.0) * df)
+    p = F.when(df >= F.lit(NORMAL_FROM), F.least(near, F.lit(1.0))).otherwise(beta)
     return F.when(t.isNull() | df.isNull() | (df <= 0), F.lit(None).cast("double")).otherwise(p)
 
 
+# At a = 1/2, the only use here, series and fraction reach double precision in under 100 steps.
 _GAMMA_STEPS = 300
 
 

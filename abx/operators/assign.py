@@ -84,44 +84,42 @@ def experiment_variants(experiments: DataFrame, rows=DEFAULT_TEMPLATE) -> DataFr
     return experiments.select("experiment_id", F.inline(arr))
 
 
-# Buckets per experiment for weighted assignment (basis points of allocation).
+# Buckets reported beside an assignment; shares themselves are compared at full hash resolution.
 ASSIGN_BUCKETS = 10_000
+HASH_RANGE = 1 << 32
 
 
-def assignment_bucket(experiment_id="experiment_id", unit_id="unit_id", salt: str | None = None):
-    """Deterministic bucket in [0, 10000): first 8 hex digits of md5(salt:experiment:unit)."""
+def assignment_share(experiment_id="experiment_id", unit_id="unit_id", salt: str | None = None):
+    """Deterministic number in [0, 1): first 8 hex digits of md5(salt:experiment:unit) over 2^32."""
     parts = ([F.lit(salt)] if salt else []) + [F.col(experiment_id), F.col(unit_id)]
     h = F.md5(F.concat_ws(":", *parts))
-    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % F.lit(ASSIGN_BUCKETS)).cast("int")
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(float(HASH_RANGE))
 
 
 def variant_bounds(variants: DataFrame) -> DataFrame:
-    """Per experiment, [bucket_lo, bucket_hi) of each variant from cumulative allocation_pct
-    (normalized to the experiment's total, ordered by variant_id)."""
-    w = Window.partitionBy("experiment_id").orderBy("variant_id")
-    wall = Window.partitionBy("experiment_id")
-    total = F.sum("allocation_pct").over(wall)
-    cum_hi = F.sum("allocation_pct").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hi = F.round(cum_hi / total * F.lit(ASSIGN_BUCKETS)).cast("int")
-    lo = F.round((cum_hi - F.col("allocation_pct")) / total * F.lit(ASSIGN_BUCKETS)).cast("int")
-    return variants.select("experiment_id", "variant_id", lo.alias("bucket_lo"), hi.alias("bucket_hi"))
+    """One row per experiment: ``arms``, its variants in order with the upper end of their share of
+    [0, 1) from cumulative allocation_pct. Arms without allocation are left out; the last ends at 1."""
+    arm = F.struct("variant_id", F.col("allocation_pct").cast("double").alias("pct"))
+    planned = variants.filter(F.col("allocation_pct") > 0)
+    arms = planned.groupBy("experiment_id").agg(F.array_sort(F.collect_list(arm)).alias("_a"))
+    total = F.aggregate("_a", F.lit(0.0), lambda s, x: s + x["pct"])
+    upto = F.transform("_a", lambda x, i: F.aggregate(F.slice("_a", F.lit(1), i + 1), F.lit(0.0), lambda s, y: s + y["pct"]))
+    ends = F.transform(upto, lambda u, i: F.when(i == F.size("_a") - 1, F.lit(1.0)).otherwise(u / total))
+    return arms.select(
+        "experiment_id",
+        F.zip_with("_a", ends, lambda x, e: F.struct(x["variant_id"].alias("variant_id"), e.alias("upto"))).alias("arms"),
+    )
 
 
 def assign_variants(units: DataFrame, variants: DataFrame, salt: str | None = None) -> DataFrame:
     """Deterministic weighted assignment of a unit table (experiment_id, unit_id).
 
-    Hash bucket against cumulative allocation. The variant bounds are expanded to one row per
-    (experiment, bucket) and joined on that equi-key, so a large experiment spreads over its
-    10,000 buckets (no single hot join key) and the join needs no range condition; AQE may
-    still broadcast the expanded side at runtime when it is small.
+    The hash share picks the first arm whose end lies above it. The arms of an experiment are one
+    array in one row, so the join is as small as the list of experiments (Spark sends it to the
+    tasks if its size allows, and splits a large experiment's units otherwise).
     """
-    bounds = variant_bounds(variants).filter(F.col("bucket_hi") > F.col("bucket_lo"))
-    expanded = bounds.select(
-        "experiment_id",
-        "variant_id",
-        F.explode(F.sequence(F.col("bucket_lo"), F.col("bucket_hi") - F.lit(1))).alias("bucket"),
-    )
-    u = units.select("experiment_id", "unit_id").withColumn("bucket", assignment_bucket(salt=salt))
-    return u.join(expanded, ["experiment_id", "bucket"], "inner").select(
-        "experiment_id", "unit_id", "variant_id", "bucket"
-    )
+    u = units.select("experiment_id", "unit_id").withColumn("_u", assignment_share(salt=salt))
+    j = u.join(variant_bounds(variants), "experiment_id")
+    arm = F.filter("arms", lambda a: F.col("_u") < a["upto"])[0]
+    bucket = F.floor(F.col("_u") * F.lit(ASSIGN_BUCKETS)).cast("int")
+    return j.select("experiment_id", "unit_id", arm["variant_id"].alias("variant_id"), bucket.alias("bucket"))

@@ -44,6 +44,18 @@ def dedupe_exposures(staged: DataFrame) -> DataFrame:
     return _top1(staged, DEDUPE_KEY, order)
 
 
+def dedupe_exposures_post_only(
+    staged: DataFrame, assignments: DataFrame, cfg: ExperimentConfig = DEFAULT
+) -> DataFrame:
+    """The same dedupe over events from the unit's assignment (less the grace) on: an early event does
+    not hide a later one that counts. Events of units without an assignment are left out."""
+    known = assignments.select(*UNIT_KEY, "assigned_at")
+    since = staged.join(known, list(UNIT_KEY)).filter(
+        F.col("exposed_at") >= minus_minutes("assigned_at", cfg.pre_assignment_grace_minutes)
+    )
+    return dedupe_exposures(since.select(*staged.columns))
+
+
 def dedupe_exposures_strict(staged_strict: DataFrame) -> DataFrame:
     """Batch-job dedupe: earliest per experiment x unit x variant by time, surrogate id."""
     order = [F.col("exposed_at").asc_nulls_last(), F.col("exposure_event_id").asc_nulls_last()]

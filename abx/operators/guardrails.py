@@ -28,13 +28,20 @@ def guard_assignment_unique(raw_assignments: DataFrame) -> DataFrame:
 
 
 def srm_arms(assignments: DataFrame, variants: DataFrame) -> DataFrame:
-    """Observed against expected units per arm; driven by the variant dimension, so an empty arm
-    counts with 0 observed. Output: experiment_id, variant_id, observed, expected, shares."""
+    """Observed against expected units per arm: a planned arm without units counts with 0 observed, an
+    arm with units that is not planned with an allocation of 0 (``is_planned`` false).
+    Output: experiment_id, variant_id, is_planned, observed, expected, shares."""
     obs = assignments.groupBy("experiment_id", "variant_id").agg(F.count(F.lit(1)).alias("observed"))
     arms = variants.select("experiment_id", "variant_id", "allocation_pct").join(
-        obs, ["experiment_id", "variant_id"], "left"
+        obs, ["experiment_id", "variant_id"], "full"
+    )
+    arms = arms.select(
+        "experiment_id",
+        "variant_id",
+        F.col("allocation_pct").isNotNull().alias("is_planned"),
+        F.coalesce(F.col("allocation_pct"), F.lit(0.0)).alias("allocation_pct"),
+        F.coalesce(F.col("observed"), F.lit(0)).cast("long").alias("observed"),
     )
-    arms = arms.withColumn("observed", F.coalesce(F.col("observed"), F.lit(0)).cast("long"))
     w = Window.partitionBy("experiment_id")  # arms of one experiment: a handful of rows
     a = arms.select(
         "*", F.sum("observed").over(w).alias("total_units"), F.sum("allocation_pct").over(w).alias("total_alloc")
@@ -43,6 +50,7 @@ def srm_arms(assignments: DataFrame, variants: DataFrame) -> DataFrame:
     return a.select(
         "experiment_id",
         "variant_id",
+        "is_planned",
         "observed",
         "total_units",
         exp_share.alias("expected_share"),
@@ -54,13 +62,17 @@ def srm_arms(assignments: DataFrame, variants: DataFrame) -> DataFrame:
 def guard_srm(assignments: DataFrame, variants: DataFrame, cfg: ExperimentConfig = DEFAULT) -> DataFrame:
     """Sample-ratio mismatch: chi-square over arms (df = arms - 1) and the largest share deviation.
 
-    Fails when the deviation exceeds ``cfg.srm_max_deviation_pct`` points or p < ``cfg.srm_min_p_value``.
+    Fails when the deviation exceeds ``cfg.srm_max_deviation_pct`` points, p < ``cfg.srm_min_p_value``,
+    or an arm that is not planned holds units (named in ``unplanned_arms``).
     """
     arms = srm_arms(assignments, variants)
     dev = F.col("observed") - F.col("expected")
     contrib = F.when(F.col("expected") > 0, dev * dev / F.col("expected"))
     g = arms.groupBy("experiment_id").agg(
-        F.count(F.lit(1)).alias("n_arms"),
+        F.count_if("is_planned").alias("n_arms"),
+        F.array_sort(F.collect_set(F.when(~F.col("is_planned") & (F.col("observed") > 0), F.col("variant_id")))).alias(
+            "unplanned_arms"
+        ),
         F.first("total_units").alias("total_units"),
         F.coalesce(F.sum(contrib), F.lit(0.0)).alias("chi_square"),
         (F.max(F.abs(F.col("observed_share") - F.col("expected_share"))) * F.lit(100.0)).alias(
@@ -72,7 +84,7 @@ def guard_srm(assignments: DataFrame, variants: DataFrame, cfg: ExperimentConfig
     passed = (F.coalesce(F.col("variant_allocation_deviation_pct"), F.lit(0.0)) <= F.lit(cfg.srm_max_deviation_pct)) & (
         F.coalesce(F.col("chi_square_p_value"), F.lit(1.0)) >= F.lit(cfg.srm_min_p_value)
     )
-    return g.withColumn("srm_passed", passed)
+    return g.withColumn("srm_passed", passed & (F.size("unplanned_arms") == 0))
 
 
 def guard_exposure_order(validation: DataFrame) -> DataFrame:
@@ -137,6 +149,7 @@ def experiment_quality_report(
             "variant_allocation_deviation_pct",
             "chi_square",
             "chi_square_p_value",
+            "unplanned_arms",
             "srm_passed",
         ),
         exposure_order.select("experiment_id", "exposure_before_assignment_count", "exposure_order_passed"),
@@ -166,6 +179,7 @@ def experiment_quality_report(
         "assignment_duplicates_count",
         "variant_allocation_deviation_pct",
         "chi_square_p_value",
+        "unplanned_arms",
         "exposure_before_assignment_count",
         "outcomes_before_analysis_start_count",
         "duplicate_outcome_rows_count",

@@ -5,10 +5,11 @@ anchor time) it finds the unit's conversions with ``anchor + start <= t < anchor
 returns first time, event count and revenue. A conversion joins on the unit alone, so one
 purchase counts in every experiment the unit is in (as the reference does).
 
-Plan: anchors LEFT JOIN conversions on (unit_id, _salt) with the time window as the join
-condition (sort-merge join with a residual predicate), then a partial + final aggregation per
-anchor. Hot units are split by the salt (``abx.operators.skew``); unsalted replicas that match
-nothing contribute only nulls, so the aggregation stays exact.
+Plan: every anchor is spread over the calendar days its window touches (window length + 1 rows),
+and conversions join it on (unit_id, day) with the time window as the residual condition. A unit
+that holds most conversions is thereby split by day, whatever its size, with no counting pass and
+no threshold. The matches are combined partially in every task, and the one row an anchor that
+remains joins back to the anchors, so anchors without a match keep their row.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
 from abx.functions.time import plus_days
-from abx.operators.skew import SALT, replicate_one_side, salt_many_side, salt_table
 
 ANCHOR_KEY = ("experiment_id", "unit_id")
 REVENUE_SUM_TYPE = "decimal(38,10)"
@@ -31,18 +31,18 @@ def window_outcomes(
     end_days: int,
     cfg: ExperimentConfig = DEFAULT,
     anchor_col: str = "anchor_at",
-    salt: bool = True,
     pre_days: int = 0,
     window_days_col: str | None = None,
     match: tuple[tuple[str, str], ...] = (),
     prefilter: bool = False,
+    key: tuple[str, ...] = ANCHOR_KEY,
 ) -> DataFrame:
     """Per anchor row: ``first_at``, ``n_events``, ``revenue`` of conversions in the window
     ``[anchor + start_days, anchor + end_days)``.
 
     With ``pre_days > 0`` the same join also covers ``[anchor + start - pre_days, anchor + start)``
     and adds ``pre_events`` / ``pre_revenue`` (a pre-period covariate) without a second join.
-    ``anchors`` must be unique per row key (experiment x unit, or x metric) and hold
+    ``anchors`` must be unique by ``key`` (experiment x unit, or x metric) and hold
     ``anchor_col``; every anchor column is carried through. ``conversions`` holds unit_id,
     occurred_at, event_id and (optionally) revenue.
     ``window_days_col`` takes each anchor row's window length from a column (end = anchor + that
@@ -54,7 +54,7 @@ def window_outcomes(
     the anchors are materialized (checkpointed or read from a table): on a lazy plan the
     subquery re-runs the whole anchor pipeline first (measured ~3x slower at sf0.1).
     """
-    # Revenue is summed as an exact decimal: the total does not depend on partitioning, salting
+    # Revenue is summed as an exact decimal: the total does not depend on partitioning
     # or the order a recomputed task merges rows in (double sums can differ in the last bit).
     rev = (F.col("revenue") if "revenue" in conversions.columns else F.lit(None)).cast(REVENUE_SUM_TYPE)
     conv = conversions.select(
@@ -74,34 +74,38 @@ def window_outcomes(
     if prefilter:
         rng = anchors.select(F.struct(F.min(lo_expr).alias("lo"), F.max(hi_expr).alias("hi"))).scalar()
         conv = conv.filter((F.col("_ct") >= rng.getField("lo")) & (F.col("_ct") < rng.getField("hi")))
-    carry = [c for c in anchors.columns]
-    a = anchors
-    if salt:
-        salts = salt_table(conv.select(F.col("_cu").alias("unit_id")), "unit_id", cfg)
-        conv = salt_many_side(conv.withColumnRenamed("_cu", "unit_id"), "unit_id", salts, ["_ce"])
-        conv = conv.withColumnRenamed("unit_id", "_cu").withColumnRenamed(SALT, "_cs")
-        a = replicate_one_side(anchors, "unit_id", salts)
-        cond = (F.col("unit_id") == F.col("_cu")) & (F.col(SALT) == F.col("_cs"))
-    else:
-        cond = F.col("unit_id") == F.col("_cu")
-    for i, (a_col, _) in enumerate(match):
-        cond = cond & (F.col(a_col) == F.col(f"_m{i}"))
-    cond = cond & (F.col("_ct") >= lo_expr) & (F.col("_ct") < hi_expr)
-    j = a.join(conv, cond, "left")
-    if pre_days <= 0:
-        return j.groupBy(*carry).agg(
-            F.min("_ct").alias("first_at"),
-            F.count("_ct").alias("n_events"),
-            F.sum("_cr").cast("double").alias("revenue"),
-        )
-    in_win = F.col("_ct") >= plus_days(anchor, start_days)
-    return j.groupBy(*carry).agg(
+    day = F.explode(F.sequence(F.to_date(lo_expr), F.to_date(hi_expr)))
+    names = [f"_k{i}" for i in range(len(key))]
+    a = anchors.select(
+        *[F.col(c).alias(n) for c, n in zip(key, names)],
+        F.col("unit_id").alias("_au"),
+        lo_expr.alias("_lo"),
+        hi_expr.alias("_hi"),
+        plus_days(anchor, start_days).alias("_start"),
+        *[F.col(a_col).alias(f"_a{i}") for i, (a_col, _) in enumerate(match)],
+        day.alias("_ad"),
+    )
+    cond = (F.col("_au") == F.col("_cu")) & (F.col("_ad") == F.col("_cd"))
+    for i in range(len(match)):
+        cond = cond & (F.col(f"_a{i}") == F.col(f"_m{i}"))
+    cond = cond & (F.col("_ct") >= F.col("_lo")) & (F.col("_ct") < F.col("_hi"))
+    j = a.join(conv.withColumn("_cd", F.to_date("_ct")), cond, "inner")
+    in_win = F.col("_ct") >= F.col("_start")
+    aggs = [
         F.min(F.when(in_win, F.col("_ct"))).alias("first_at"),
-        F.count(F.when(in_win, F.col("_ct"))).alias("n_events"),
+        F.count_if(in_win).alias("n_events"),
         F.sum(F.when(in_win, F.col("_cr"))).cast("double").alias("revenue"),
-        F.count(F.when(~in_win, F.col("_ct"))).alias("pre_events"),
-        F.sum(F.when(~in_win, F.col("_cr"))).cast("double").alias("pre_revenue"),
-    )
+    ]
+    if pre_days > 0:
+        aggs += [
+            F.count_if(~in_win).alias("pre_events"),
+            F.sum(F.when(~in_win, F.col("_cr"))).cast("double").alias("pre_revenue"),
+        ]
+    matched = j.groupBy(*names).agg(*aggs)
+    same = [F.col(c) == F.col(n) for c, n in zip(key, names)]
+    out = anchors.join(matched, same, "left").drop(*names)
+    counts = [c for c in ("n_events", "pre_events") if c in out.columns]
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in counts})
 
 
 def conversion_outcomes(
@@ -109,7 +113,6 @@ def conversion_outcomes(
     conversions: DataFrame,
     cfg: ExperimentConfig = DEFAULT,
     anchor: str = "exposure",
-    salt: bool = True,
     carry: tuple[str, ...] = (),
     prefilter: bool = False,
 ) -> DataFrame:
@@ -135,7 +138,7 @@ def conversion_outcomes(
     else:
         raise ValueError(f"anchor must be 'exposure' or 'assignment', got {anchor!r}")
     n = int(cfg.conversion_window_days)
-    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt, prefilter=prefilter)
+    w = window_outcomes(base, conversions, 0, n, cfg, prefilter=prefilter)
     return w.select(
         *ANCHOR_KEY,
         "variant_id",
@@ -152,7 +155,6 @@ def unit_outcomes(
     cohort_df: DataFrame,
     conversions: DataFrame,
     cfg: ExperimentConfig = DEFAULT,
-    salt: bool = True,
     prefilter: bool = False,
 ) -> DataFrame:
     """Exactly one row per experiment x unit with the standard outcomes.
@@ -170,7 +172,7 @@ def unit_outcomes(
         .otherwise(F.lit("assignment"))
         .alias("anchor_type"),
     )
-    w = window_outcomes(base, conversions, 0, n, cfg, salt=salt, prefilter=prefilter)
+    w = window_outcomes(base, conversions, 0, n, cfg, prefilter=prefilter)
     return w.select(
         *ANCHOR_KEY,
         "variant_id",
@@ -185,7 +187,7 @@ def unit_outcomes(
 
 
 def metric_outcomes(
-    spine: DataFrame, conversions: DataFrame, cfg: ExperimentConfig = DEFAULT, salt: bool = True, prefilter: bool = False
+    spine: DataFrame, conversions: DataFrame, cfg: ExperimentConfig = DEFAULT, prefilter: bool = False
 ):
     """Outcomes per unit x metric definition, driven by the metric spine.
 
@@ -203,10 +205,10 @@ def metric_outcomes(
         0,
         0,
         cfg,
-        salt=salt,
         window_days_col="window_days",
         match=(("event_name", "event_name"),),
         prefilter=prefilter,
+        key=(*ANCHOR_KEY, "metric_id"),
     )
     return w.select(
         *ANCHOR_KEY,

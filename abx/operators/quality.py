@@ -102,29 +102,29 @@ def quality_daily_by_variant(validation: DataFrame) -> DataFrame:
 
 def quality_anomalies(
     daily: DataFrame,
-    metric: str = "exposure_rate",
+    metrics: tuple[str, ...] = ("exposure_rate",),
     trailing_days: int = 7,
     threshold: float = 0.1,
 ) -> DataFrame:
-    """Day-over-day and trailing-mean change of a daily rate, flagged above ``threshold``.
+    """Day-over-day and trailing-mean change of daily rates by calendar day.
 
-    Runs on the small post-aggregate daily table (experiments x days), partitioned by experiment.
+    ``prev_rate`` is the rate of exactly one day earlier (null if that day has none) and the trailing
+    mean covers the days of the ``trailing_days`` before; either change above ``threshold`` is an
+    anomaly. One row per experiment, day and metric. Runs on the small post-aggregate daily table.
     """
-    w = Window.partitionBy("experiment_id").orderBy("date_day")
-    trail = F.avg(F.col(metric)).over(w.rowsBetween(-trailing_days, -1))
-    prev = F.lag(F.col(metric)).over(w)
-    out = daily.select(
-        "experiment_id",
-        "date_day",
-        F.col(metric).alias("rate"),
-        prev.alias("prev_rate"),
-        trail.alias("trailing_avg_rate"),
-    )
+    rates = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("rate")) for m in metrics])
+    long = daily.select("experiment_id", "date_day", F.inline(rates))
+    w = Window.partitionBy("experiment_id", "metric").orderBy(F.unix_date("date_day"))
     dod = F.col("rate") - F.col("prev_rate")
     vs_trail = F.col("rate") - F.col("trailing_avg_rate")
+    out = long.select(
+        "*",
+        F.max("rate").over(w.rangeBetween(-1, -1)).alias("prev_rate"),
+        F.avg("rate").over(w.rangeBetween(-trailing_days, -1)).alias("trailing_avg_rate"),
+    )
     return out.select(
         "*",
         dod.alias("day_over_day_change"),
         vs_trail.alias("change_vs_trailing"),
-        F.coalesce(F.abs(vs_trail) > F.lit(threshold), F.lit(False)).alias("is_anomaly"),
+        F.coalesce(F.greatest(F.abs(vs_trail), F.abs(dod)) > F.lit(threshold), F.lit(False)).alias("is_anomaly"),
     )

@@ -7,7 +7,6 @@ Callers trigger exactly one action per output.
 
 from __future__ import annotations
 
-from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,23 +17,6 @@ from abx.session import cut_lineage
 from abx.sources import lens as lens_mod
 
 
-# Session settings that override the skew thresholds of the configuration (cluster tuning
-# without code changes).
-SKEW_CONF = {
-    "spark.abx.skewRowsPerSplit": "skew_rows_per_split",
-    "spark.abx.skewMaxHotKeys": "skew_max_hot_keys",
-}
-
-
-def config_from_session(spark: SparkSession, cfg: ExperimentConfig = DEFAULT) -> ExperimentConfig:
-    overrides = {}
-    for key, field_name in SKEW_CONF.items():
-        v = spark.conf.get(key, None)
-        if v:
-            overrides[field_name] = int(v)
-    return replace(cfg, **overrides) if overrides else cfg
-
-
 class ExperimentDAG:
     """Lazy stages over one data folder.
 
@@ -49,14 +31,19 @@ class ExperimentDAG:
         spark: SparkSession,
         sf_dir: str,
         cfg: ExperimentConfig = DEFAULT,
-        salt: bool = True,
         checkpoint_stages: bool = False,
+        as_of: str | None = None,
     ):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.cfg = config_from_session(spark, cfg)
-        self.salt = salt
+        self.cfg = cfg
         self.checkpoint_stages = checkpoint_stages
+        # Last day (YYYY-MM-DD) whose events are seen; all if not given.
+        self.as_of = as_of
+
+    def at(self, dt: str) -> ExperimentDAG:
+        """The same stages over the events up to the end of day ``dt``."""
+        return ExperimentDAG(self.spark, self.sf_dir, self.cfg, self.checkpoint_stages, as_of=dt)
 
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint_stages else df
@@ -64,7 +51,13 @@ class ExperimentDAG:
     # ---- sources -------------------------------------------------------------------------
     @cached_property
     def events(self) -> DataFrame:
-        return lens_mod.load_events(self.spark, self.sf_dir)
+        from pyspark.sql import functions as F
+
+        ev = lens_mod.load_events(self.spark, self.sf_dir)
+        if self.as_of is None:
+            return ev
+        end = F.lit(self.as_of).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(1))
+        return ev.filter(F.col("ts") < end)
 
     @cached_property
     def raw_assignments(self) -> DataFrame:
@@ -137,19 +130,19 @@ class ExperimentDAG:
     @cached_property
     def outcomes_exposed(self) -> DataFrame:
         return outcomes.conversion_outcomes(
-            self.cohort, self.conversions, self.cfg, "exposure", salt=self.salt, prefilter=self.checkpoint_stages
+            self.cohort, self.conversions, self.cfg, "exposure", prefilter=self.checkpoint_stages
         )
 
     @cached_property
     def outcomes_itt(self) -> DataFrame:
         return outcomes.conversion_outcomes(
-            self.cohort, self.conversions, self.cfg, "assignment", salt=self.salt, prefilter=self.checkpoint_stages
+            self.cohort, self.conversions, self.cfg, "assignment", prefilter=self.checkpoint_stages
         )
 
     @cached_property
     def unit_outcomes(self) -> DataFrame:
         return outcomes.unit_outcomes(
-            self.cohort, self.conversions, self.cfg, salt=self.salt, prefilter=self.checkpoint_stages
+            self.cohort, self.conversions, self.cfg, prefilter=self.checkpoint_stages
         )
 
     # ---- results -------------------------------------------------------------------------
@@ -174,23 +167,6 @@ class ExperimentDAG:
         return results.governed_results(self.results_pairwise)
 
     # ---- guardrails (tier B) ---------------------------------------------------------------
-    @cached_property
-    def outcomes_itt_with_start(self) -> DataFrame:
-        from pyspark.sql import functions as F
-
-        c = self.cohort.withColumn(
-            "analysis_start_at", F.coalesce(F.col("first_exposure_at"), F.col("assigned_at"))
-        )
-        return outcomes.conversion_outcomes(
-            c,
-            self.conversions,
-            self.cfg,
-            "assignment",
-            salt=self.salt,
-            carry=("analysis_start_at",),
-            prefilter=self.checkpoint_stages,
-        )
-
     def guards(self) -> dict[str, DataFrame]:
         from abx.operators import guardrails as G
 
@@ -198,15 +174,50 @@ class ExperimentDAG:
             "assignment_unique": G.guard_assignment_unique(self.raw_assignments),
             "srm": G.guard_srm(self.canonical, self.dim_variant, self.cfg),
             "exposure_order": G.guard_exposure_order(self.validation),
-            "outcome_order": G.guard_outcome_order(self.outcomes_itt_with_start),
+            "outcome_order": G.guard_outcome_order(self.outcomes_exposed, "anchor_at"),
             "outcome_grain": G.guard_outcome_grain(self.unit_outcomes),
             "min_sample": G.guard_min_sample(self.canonical, self.dim_variant, self.cfg),
         }
 
-    def quality_report(self, dt: str) -> DataFrame:
+    # Results of the validly exposed units alone, and the same guards over what they are built on.
+    @cached_property
+    def valid_cohort(self) -> DataFrame:
+        return self.cohort.filter("is_in_valid_exposure_cohort AND validation_status = 'valid'")
+
+    @cached_property
+    def outcomes_valid(self) -> DataFrame:
+        return outcomes.conversion_outcomes(
+            self.valid_cohort, self.conversions, self.cfg, "exposure", prefilter=self.checkpoint_stages
+        )
+
+    @cached_property
+    def results_valid(self) -> DataFrame:
+        return results.results(results.metric_by_variant(self.outcomes_valid), self.cfg)
+
+    def guards_valid(self) -> dict[str, DataFrame]:
+        from pyspark.sql import functions as F
+
+        from abx.operators import guardrails as G
+
+        units = self.valid_cohort.select("experiment_id", "unit_id", F.col("assigned_variant_id").alias("variant_id"))
+        first = self.validation.filter("validation_status = 'valid'")
+        every = outcomes.unit_outcomes(self.valid_cohort, self.conversions, self.cfg, prefilter=self.checkpoint_stages)
+        return {
+            "assignment_unique": G.guard_assignment_unique(units),
+            "srm": G.guard_srm(units, self.dim_variant, self.cfg),
+            "exposure_order": G.guard_exposure_order(first),
+            "outcome_order": G.guard_outcome_order(self.outcomes_valid, "anchor_at"),
+            "outcome_grain": G.guard_outcome_grain(every),
+            "min_sample": G.guard_min_sample(units, self.dim_variant, self.cfg),
+        }
+
+    def quality_report(self, dt: str, valid_only: bool = False) -> DataFrame:
+        """One row per experiment from the guards over what was known by the end of day ``dt``."""
         from abx.operators import guardrails as G
 
-        g = self.guards()
+        if self.as_of != dt:
+            return self.at(dt).quality_report(dt, valid_only)
+        g = self.guards_valid() if valid_only else self.guards()
         return G.experiment_quality_report(
             self.dim_experiment,
             g["assignment_unique"],
@@ -231,7 +242,7 @@ class ExperimentDAG:
             F.col("assigned_at").alias("anchor_at"),
         )
         return outcomes.window_outcomes(
-            anchors, self.conversions, 0, n, self.cfg, salt=self.salt, pre_days=n, prefilter=self.checkpoint_stages
+            anchors, self.conversions, 0, n, self.cfg, pre_days=n, prefilter=self.checkpoint_stages
         )
 
     @cached_property

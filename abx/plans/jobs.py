@@ -14,13 +14,16 @@ Raw inputs may use the reference's column names (``user_id``, ``assignment_time_
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abx.config import DEFAULT, ExperimentConfig
 from abx.functions.util import require_columns
-from abx.operators import assign, cohort, exposure, outcomes, quality, results, stage
-from abx.sources.io import read_day, write_day
+from abx.operators import assign, cohort, exposure, guardrails, outcomes, quality, results, stage
+from abx.operators.contracts import unique_key_violations
+from abx.sources.io import read_day, read_days, write_day
 
 # Raw-layer column names of the reference and the names used here.
 RAW_RENAMES = {
@@ -40,15 +43,30 @@ def normalize(df: DataFrame) -> DataFrame:
     return out
 
 
-def _with_dt(df: DataFrame, dt: str) -> DataFrame:
-    return df.drop("dt").withColumn("dt", F.lit(dt))
+CANONICAL_COLUMNS = {"experiment_id", "unit_id", "variant_id", "assigned_at"}
+
+
+def has_day(spark: SparkSession, base: str, table: str, dt: str) -> bool:
+    """Whether the table has rows of the day (reads at most one)."""
+    return not read_day(spark, base, table, dt).isEmpty()
 
 
 def build_assignments(spark: SparkSession, raw_base: str, silver_base: str, dt: str) -> None:
+    """Canonical assignments of the day: units whose earliest assignment of all days falls on it.
+
+    Units known from earlier days leave by an anti join on their keys, so a unit assigned again
+    later keeps one row over all days. The written table must hold every key once.
+    """
     raw = normalize(read_day(spark, raw_base, "fact_assignment", dt))
-    require_columns(raw, {"experiment_id", "unit_id", "variant_id", "assigned_at", "dt"}, "raw assignments")
-    write_day(_with_dt(assign.canonical_assignments(raw), dt), silver_base, "fact_assignment_canonical")
-    write_day(_with_dt(assign.assignment_quality(raw), dt), silver_base, "metrics_assignment_quality")
+    require_columns(raw, {*CANONICAL_COLUMNS, "dt"}, "raw assignments")
+    earlier = normalize(read_days(spark, raw_base, "fact_assignment", None, dt)).filter(F.col("dt") < F.lit(dt))
+    new = raw.join(earlier.select(*assign.KEY).distinct(), list(assign.KEY), "left_anti")
+    write_day(assign.canonical_assignments(new), silver_base, "fact_assignment_canonical", dt=dt)
+    write_day(assign.assignment_quality(raw), silver_base, "metrics_assignment_quality", dt=dt)
+    written = read_day(spark, silver_base, "fact_assignment_canonical", dt)
+    repeated = unique_key_violations(written, assign.KEY).limit(5).collect()
+    if repeated:
+        raise ValueError(f"Canonical assignments of {dt} repeat keys, e.g. {[tuple(r) for r in repeated]}")
 
 
 def build_exposure_validation(
@@ -59,18 +77,37 @@ def build_exposure_validation(
     dt: str,
     cfg: ExperimentConfig = DEFAULT,
 ) -> None:
+    """Deduped exposures and both validations of the units assigned on the day.
+
+    Exposures are read from the day of the grace before until the last day of the window after, one
+    more for events past its end, so a unit exposed after midnight or too late is seen as such. The
+    day is therefore final once those days have arrived; a rerun replaces it.
+    """
     assignments = read_day(spark, silver_base, "fact_assignment_canonical", dt)
-    raw = normalize(read_day(spark, raw_base, "fact_exposure", dt))
+    require_columns(assignments, CANONICAL_COLUMNS, "canonical assignments")
+    day = date.fromisoformat(dt)
+    first = day - timedelta(days=-(-cfg.pre_assignment_grace_minutes // 1440))
+    last = day + timedelta(days=cfg.max_days_after_assignment + 1)
+    raw = normalize(read_days(spark, raw_base, "fact_exposure", first.isoformat(), last.isoformat()))
     require_columns(
         raw, {"experiment_id", "unit_id", "variant_id", "exposed_at", "exposure_event_type", "dt"}, "raw exposures"
     )
-    deduped = exposure.dedupe_exposures_strict(stage.stage_exposures_strict(raw))
-    write_day(_with_dt(deduped, dt), silver_base, "int_experiment_exposures_deduped")
+    own = stage.stage_exposures_strict(raw).join(assignments.select(*assign.KEY), list(assign.KEY), "left_semi")
+    deduped = exposure.dedupe_exposures_strict(own)
+    write_day(deduped, silver_base, "int_experiment_exposures_deduped", dt=dt)
     deduped = read_day(spark, silver_base, "int_experiment_exposures_deduped", dt)
     validation = exposure.validate_exposures_any(assignments, deduped, cfg)
-    write_day(_with_dt(validation, dt), silver_base, "int_experiment_exposure_validation")
+    write_day(validation, silver_base, "int_experiment_exposure_validation", dt=dt)
     validation = read_day(spark, silver_base, "int_experiment_exposure_validation", dt)
-    write_day(_with_dt(quality.quality_daily(validation), dt), gold_base, "fct_experiment_quality_metrics_daily")
+    write_day(quality.quality_daily(validation), gold_base, "fct_experiment_quality_metrics_daily", dt=dt)
+    # The warehouse model of the same day: the first exposure after assignment counts.
+    events = deduped.select(
+        F.col("exposure_event_id").alias("event_id"), *exposure.DEDUPE_KEY, "exposed_at", F.lit(None).cast("timestamp_ntz").alias("ingested_at")
+    )
+    post = exposure.validate_exposures(assignments, events, cfg, mode="first_post")
+    write_day(post, silver_base, "int_experiment_exposure_validation_post", dt=dt)
+    post = read_day(spark, silver_base, "int_experiment_exposure_validation_post", dt)
+    write_day(quality.quality_daily_post(post), gold_base, "fct_experiment_exposure_quality_daily", dt=dt)
 
 
 def build_results(
@@ -94,17 +131,52 @@ def build_results(
     anchor_col = "assigned_at" if anchor == "assignment" else "first_exposure_at"
     conv = conversion_time_bound(normalize(conversions), coh, anchor_col, cfg)
     out = outcomes.conversion_outcomes(coh, conv, cfg, anchor=anchor)
-    write_day(_with_dt(out, dt), gold_base, "fct_experiment_unit_outcomes")
-    out = read_day(spark, gold_base, "fct_experiment_unit_outcomes", dt)
+    write_day(out, gold_base, "int_experiment_metric_outcomes", dt=dt)
+    out = read_day(spark, gold_base, "int_experiment_metric_outcomes", dt)
+    units = outcomes.unit_outcomes(coh, conversion_time_bound(normalize(conversions), coh, None, cfg), cfg)
+    write_day(units, gold_base, "fct_experiment_unit_outcomes", dt=dt)
+    units = read_day(spark, gold_base, "fct_experiment_unit_outcomes", dt)
     mbv = results.metric_by_variant(out)
-    write_day(_with_dt(results.results(mbv, cfg), dt), gold_base, "fct_experiment_results")
+    write_day(results.results(mbv, cfg), gold_base, "fct_experiment_results", dt=dt)
+    report = quality_report(spark, silver_base, out, units, validation, dt, cfg)
+    write_day(report, gold_base, "fct_experiment_quality_report", dt=dt)
+    report = read_day(spark, gold_base, "fct_experiment_quality_report", dt)
+    table = read_day(spark, gold_base, "fct_experiment_results", dt).drop("dt")
+    write_day(guardrails.gated_results(table, report), gold_base, "fct_experiment_results_gated", dt=dt)
+
+
+def quality_report(
+    spark: SparkSession,
+    silver_base: str,
+    out: DataFrame,
+    units: DataFrame,
+    validation: DataFrame,
+    dt: str,
+    cfg: ExperimentConfig = DEFAULT,
+) -> DataFrame:
+    """Guards over the day's written tables; both anchors of an outcome are in ``out`` and ``units``."""
+    canonical = read_day(spark, silver_base, "fact_assignment_canonical", dt)
+    experiments = canonical.select("experiment_id").distinct()
+    arms = assign.experiment_variants(experiments)
+    return guardrails.experiment_quality_report(
+        experiments,
+        guardrails.guard_assignment_unique(canonical),
+        guardrails.guard_srm(canonical, arms, cfg),
+        guardrails.guard_exposure_order(validation),
+        guardrails.guard_outcome_order(out, "anchor_at"),
+        guardrails.guard_outcome_grain(units),
+        guardrails.guard_min_sample(canonical, arms, cfg),
+        dt,
+    ).drop("dt")
 
 
 def conversion_time_bound(
-    conversions: DataFrame, cohort_df: DataFrame, anchor_col: str, cfg: ExperimentConfig = DEFAULT
+    conversions: DataFrame, cohort_df: DataFrame, anchor_col: str | None, cfg: ExperimentConfig = DEFAULT
 ) -> DataFrame:
-    """Keep conversions in [min anchor, max anchor + conversion window) of the cohort."""
-    lo, hi = cohort_df.agg(F.min(anchor_col), F.max(anchor_col)).first()
+    """Keep conversions in [min anchor, max anchor + conversion window) of the cohort; without an
+    anchor column, the first exposure or else the assignment is the anchor."""
+    anchor = F.col(anchor_col) if anchor_col else F.coalesce(F.col("first_exposure_at"), F.col("assigned_at"))
+    lo, hi = cohort_df.agg(F.min(anchor), F.max(anchor)).first()
     if lo is None:
         return conversions.filter(F.lit(False))
     upper = F.lit(hi).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(int(cfg.conversion_window_days)))

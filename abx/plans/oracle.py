@@ -400,28 +400,33 @@ FROM dim_experiment e
 CROSS JOIN (VALUES ('control', 'Control', 50.0, true), ('treatment', 'Treatment', 50.0, false))
   AS t(variant_id, variant_name, allocation_pct, is_control)"""
 
+CTES["srm_obs"] = """
+SELECT COALESCE(d.experiment_id, o.experiment_id) AS experiment_id, COALESCE(d.variant_id, o.variant_id) AS variant_id,
+       d.variant_id IS NOT NULL AS is_planned, COALESCE(d.allocation_pct, 0.0) AS allocation_pct,
+       CAST(COALESCE(o.observed, 0) AS BIGINT) AS observed
+FROM dim_variant d
+FULL JOIN (SELECT experiment_id, variant_id, count(*) AS observed FROM canonical GROUP BY 1, 2) o
+  ON d.experiment_id = o.experiment_id AND d.variant_id = o.variant_id"""
+
 CTES["srm_arms"] = """
-SELECT a.experiment_id, a.variant_id, a.allocation_pct, a.observed, t.total_units, t.total_alloc, t.n_arms,
+SELECT a.*, t.total_units, t.n_arms, t.unplanned_arms,
        a.allocation_pct / NULLIF(t.total_alloc, 0) AS expected_share,
        CAST(a.observed AS DOUBLE) / NULLIF(CAST(t.total_units AS DOUBLE), 0) AS observed_share,
        CAST(t.total_units AS DOUBLE) * (a.allocation_pct / NULLIF(t.total_alloc, 0)) AS expected
-FROM (SELECT d.experiment_id, d.variant_id, d.allocation_pct, CAST(COALESCE(o.observed, 0) AS BIGINT) AS observed
-      FROM dim_variant d LEFT JOIN (SELECT experiment_id, variant_id, count(*) AS observed FROM canonical GROUP BY 1, 2) o
-        ON d.experiment_id = o.experiment_id AND d.variant_id = o.variant_id) a
+FROM srm_obs a
 JOIN (SELECT experiment_id, CAST(sum(observed) AS BIGINT) AS total_units, sum(allocation_pct) AS total_alloc,
-             count(*) AS n_arms
-      FROM (SELECT d.experiment_id, d.allocation_pct, COALESCE(o.observed, 0) AS observed
-            FROM dim_variant d LEFT JOIN (SELECT experiment_id, variant_id, count(*) AS observed FROM canonical GROUP BY 1, 2) o
-              ON d.experiment_id = o.experiment_id AND d.variant_id = o.variant_id) GROUP BY 1) t
+             CAST(count_if(is_planned) AS BIGINT) AS n_arms,
+             COALESCE(list_sort(list(DISTINCT variant_id) FILTER (NOT is_planned AND observed > 0)), []) AS unplanned_arms
+      FROM srm_obs GROUP BY 1) t
   ON a.experiment_id = t.experiment_id"""
 
 CTES["srm1"] = """
-SELECT experiment_id, n_arms, total_units,
+SELECT experiment_id, n_arms, total_units, unplanned_arms,
        COALESCE(sum(CASE WHEN expected > 0 THEN (observed - expected) * (observed - expected) / expected END), 0.0)
          AS chi_square,
        max(abs(observed_share - expected_share)) * 100.0 AS variant_allocation_deviation_pct,
        CAST(n_arms - 1 AS INTEGER) AS chi_square_df
-FROM srm_arms GROUP BY experiment_id, n_arms, total_units"""
+FROM srm_arms GROUP BY experiment_id, n_arms, total_units, unplanned_arms"""
 
 
 def _chi2_tail(x: str, df: str) -> str:
@@ -440,7 +445,7 @@ def _chi2_tail(x: str, df: str) -> str:
 
 CTES["srm"] = f"""
 SELECT *, COALESCE(variant_allocation_deviation_pct, 0.0) <= 3.0 AND COALESCE(chi_square_p_value, 1.0) >= 0.01
-         AS srm_passed
+         AND len(unplanned_arms) = 0 AS srm_passed
 FROM (SELECT *, {_chi2_tail('chi_square', 'chi_square_df')} AS chi_square_p_value FROM srm1)"""
 
 CTES["g_assign"] = """
@@ -455,11 +460,9 @@ SELECT experiment_id, {_sum_if('first_exposure_any_at < assigned_at')} AS exposu
 FROM validation GROUP BY 1"""
 
 CTES["g_outcome_order"] = f"""
-SELECT o.experiment_id,
-       {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')} AS outcomes_before_analysis_start_count,
-       {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')} = 0 AS outcome_order_passed
-FROM outcomes_itt o JOIN cohort c ON o.experiment_id = c.experiment_id AND o.unit_id = c.unit_id
-GROUP BY 1"""
+SELECT experiment_id, {_sum_if('converted_at < anchor_at')} AS outcomes_before_analysis_start_count,
+       {_sum_if('converted_at < anchor_at')} = 0 AS outcome_order_passed
+FROM outcomes_exposed GROUP BY 1"""
 
 CTES["unit_outcomes"] = f"""
 SELECT experiment_id, unit_id, variant_id, anchor_at, anchor_type, 7 AS window_days,
@@ -486,13 +489,13 @@ SELECT experiment_id, min(observed) AS min_users_per_variant, max(observed) AS m
 FROM srm_arms GROUP BY 1"""
 
 CTES["quality_report"] = """
-SELECT e.experiment_id, DATE '2024-01-31' AS dt,
+SELECT e.experiment_id, DATE '2024-01-24' AS dt,
   len(failed) = 0 AS is_valid_for_analysis, failed AS failed_guardrails, warnings,
   assignment_duplicates_count, round(variant_allocation_deviation_pct, 9) AS variant_allocation_deviation_pct,
-  round(chi_square_p_value, 9) AS chi_square_p_value, exposure_before_assignment_count,
+  round(chi_square_p_value, 9) AS chi_square_p_value, unplanned_arms, exposure_before_assignment_count,
   outcomes_before_analysis_start_count, duplicate_outcome_rows_count, min_users_per_variant
 FROM (
-  SELECT e.experiment_id, a.assignment_duplicates_count, s.variant_allocation_deviation_pct, s.chi_square_p_value,
+  SELECT e.experiment_id, a.assignment_duplicates_count, s.variant_allocation_deviation_pct, s.chi_square_p_value, s.unplanned_arms,
          x.exposure_before_assignment_count, o.outcomes_before_analysis_start_count, g.duplicate_outcome_rows_count,
          m.min_users_per_variant,
          list_filter([CASE WHEN NOT COALESCE(a.assignment_unique_passed, true) THEN 'assignment_unique' END,
@@ -511,6 +514,37 @@ FROM (
   LEFT JOIN g_outcome_grain g ON e.experiment_id = g.experiment_id
   LEFT JOIN g_min_sample m ON e.experiment_id = m.experiment_id) e"""
 
+# The same guards over validly exposed units: every stage of theirs gets a twin with suffix _valid.
+CTES["cohort_valid"] = "SELECT * FROM cohort WHERE is_in_valid_exposure_cohort AND validation_status = 'valid'"
+CTES["units_valid"] = "SELECT experiment_id, unit_id, assigned_variant_id AS variant_id FROM cohort_valid"
+CTES["validation_valid"] = "SELECT * FROM validation WHERE validation_status = 'valid'"
+_TWINS = {
+    "outcomes_exposed": {"cohort": "cohort_valid"},
+    "mbv": {"outcomes_exposed": "outcomes_exposed_valid"},
+    "results1": {"mbv": "mbv_valid"},
+    "results2": {"results1": "results1_valid"},
+    "results3": {"results2": "results2_valid"},
+    "results": {"results3": "results3_valid"},
+    "unit_outcomes": {"cohort": "cohort_valid"},
+    "g_assign": {"raw_assignments": "units_valid"},
+    "srm_obs": {"canonical": "units_valid"},
+    "srm_arms": {"srm_obs": "srm_obs_valid"},
+    "srm1": {"srm_arms": "srm_arms_valid"},
+    "srm": {"srm1": "srm1_valid"},
+    "g_exposure_order": {"validation": "validation_valid"},
+    "g_outcome_order": {"outcomes_exposed": "outcomes_exposed_valid"},
+    "g_outcome_grain": {"unit_outcomes": "unit_outcomes_valid"},
+    "g_min_sample": {"srm_arms": "srm_arms_valid"},
+    "quality_report": {
+        t: f"{t}_valid" for t in ("g_assign", "srm", "g_exposure_order", "g_outcome_order", "g_outcome_grain", "g_min_sample")
+    },
+}
+for _name, _renames in _TWINS.items():
+    _sql = CTES[_name]
+    for _old, _new in _renames.items():
+        _sql = re.sub(rf"\b(FROM|JOIN) {_old}\b", rf"\1 {_new}", _sql)
+    CTES[f"{_name}_valid"] = _sql
+
 # ---- governance ----------------------------------------------------------------------------
 from abx.operators import governance as _G  # noqa: E402
 
@@ -554,22 +588,23 @@ SELECT query_id, referenced_assets, violations, len(violations) = 0 AS ok FROM (
 
 # ---- assignment helpers, feeds ---------------------------------------------------------------
 CTES["av_bounds"] = """
-SELECT experiment_id, variant_id,
-       CAST(round((cum - allocation_pct) / total * 10000) AS INTEGER) AS bucket_lo,
-       CAST(round(cum / total * 10000) AS INTEGER) AS bucket_hi
+SELECT experiment_id, variant_id, (cum - allocation_pct) / total AS lo,
+       CASE WHEN rn = n THEN 1.0 ELSE cum / total END AS hi
 FROM (SELECT experiment_id, variant_id, allocation_pct,
+             row_number() OVER (PARTITION BY experiment_id ORDER BY variant_id) AS rn,
+             count(*) OVER (PARTITION BY experiment_id) AS n,
              sum(allocation_pct) OVER (PARTITION BY experiment_id ORDER BY variant_id
                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
              sum(allocation_pct) OVER (PARTITION BY experiment_id) AS total
-      FROM dim_variant)"""
+      FROM dim_variant WHERE allocation_pct > 0)"""
 
 CTES["assigned_variants"] = """
-SELECT u.experiment_id, u.unit_id, b.variant_id, u.bucket
+SELECT u.experiment_id, u.unit_id, b.variant_id, CAST(floor(u.share * 10000) AS INTEGER) AS bucket
 FROM (SELECT experiment_id, unit_id,
-             CAST(CAST(('0x' || substr(md5(experiment_id || ':' || unit_id), 1, 8)) AS BIGINT) % 10000 AS INTEGER)
-               AS bucket
+             CAST(CAST(('0x' || substr(md5(experiment_id || ':' || unit_id), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296.0
+               AS share
       FROM canonical) u
-JOIN av_bounds b ON u.experiment_id = b.experiment_id AND u.bucket >= b.bucket_lo AND u.bucket < b.bucket_hi"""
+JOIN av_bounds b ON u.experiment_id = b.experiment_id AND u.share >= b.lo AND u.share < b.hi"""
 
 # ---- extensions ------------------------------------------------------------------------------
 CTES["welch_arms"] = """
@@ -630,15 +665,25 @@ FROM (SELECT experiment_id, metric_id, variant_id, p_value_two_sided AS p_value,
              count(*) OVER (PARTITION BY experiment_id) AS n_tests
       FROM results WHERE variant_id != 'control' AND p_value_two_sided IS NOT NULL)"""
 
+CTES["daily_rates"] = """
+SELECT experiment_id, date_day, 'exposure_rate' AS metric, exposure_rate AS rate FROM quality_daily_post
+UNION ALL
+SELECT experiment_id, date_day, 'variant_mismatch_rate', variant_mismatch_rate FROM quality_daily_post"""
+
 CTES["anomalies"] = """
-SELECT experiment_id, date_day, rate, prev_rate, trailing_avg_rate, rate - prev_rate AS day_over_day_change,
-       rate - trailing_avg_rate AS change_vs_trailing,
-       COALESCE(abs(rate - trailing_avg_rate) > 0.1, false) AS is_anomaly
-FROM (SELECT experiment_id, date_day, exposure_rate AS rate,
-             lag(exposure_rate) OVER (PARTITION BY experiment_id ORDER BY date_day) AS prev_rate,
-             avg(exposure_rate) OVER (PARTITION BY experiment_id ORDER BY date_day
-                                      ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_avg_rate
-      FROM quality_daily_post)"""
+SELECT d.experiment_id, d.date_day, d.metric, d.rate, p.rate AS prev_rate, t.trailing_avg_rate,
+       d.rate - p.rate AS day_over_day_change, d.rate - t.trailing_avg_rate AS change_vs_trailing,
+       COALESCE(abs(d.rate - p.rate) > 0.1, false) OR COALESCE(abs(d.rate - t.trailing_avg_rate) > 0.1, false)
+         AS is_anomaly
+FROM daily_rates d
+LEFT JOIN daily_rates p ON p.experiment_id = d.experiment_id AND p.metric = d.metric
+                       AND p.date_day = d.date_day - INTERVAL 1 DAY
+LEFT JOIN (SELECT a.experiment_id, a.metric, a.date_day, avg(b.rate) AS trailing_avg_rate
+           FROM daily_rates a JOIN daily_rates b
+             ON b.experiment_id = a.experiment_id AND b.metric = a.metric
+            AND b.date_day < a.date_day AND b.date_day >= a.date_day - INTERVAL 7 DAY
+           GROUP BY 1, 2, 3) t
+  ON t.experiment_id = d.experiment_id AND t.metric = d.metric AND t.date_day = d.date_day"""
 
 CTES["spine"] = """
 SELECT c.experiment_id, c.unit_id, c.assigned_variant_id AS variant_id, m.metric_id, m.event_name, m.kind, m.anchor,

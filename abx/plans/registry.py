@@ -63,10 +63,25 @@ def _stage_conversions(d: ExperimentDAG) -> DataFrame:
 
 @register(
     "exposure_event_id",
-    "SELECT experiment_id, unit_id, variant_id, exposed_at, exposure_event_type, exposure_event_id FROM staged_strict",
+    """SELECT experiment_id, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_ids,
+              CAST(count_if(contents > 1) AS BIGINT) AS colliding_ids,
+              CAST(count_if(exposure_event_id IS NULL) AS BIGINT) AS null_ids
+       FROM (SELECT experiment_id, exposure_event_id, count(*) AS n,
+                    count(DISTINCT (unit_id, variant_id, exposed_at, exposure_event_type)) AS contents
+             FROM staged_strict GROUP BY 1, 2) GROUP BY 1""",
 )
 def _exposure_event_id(d: ExperimentDAG) -> DataFrame:
-    return d.staged_strict
+    """Surrogate ids by experiment: how many, how many stand for several events, how many are null."""
+    content = F.struct("unit_id", "variant_id", "exposed_at", "exposure_event_type")
+    per_id = d.staged_strict.groupBy("experiment_id", "exposure_event_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(content).alias("contents")
+    )
+    return per_id.groupBy("experiment_id").agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_ids"),
+        F.count_if(F.col("contents") > 1).alias("colliding_ids"),
+        F.count_if(F.col("exposure_event_id").isNull()).alias("null_ids"),
+    )
 
 
 @register(
@@ -105,6 +120,18 @@ def _dedupe(d: ExperimentDAG) -> DataFrame:
     return d.deduped
 
 
+@register(
+    "dedupe_exposures_post_only",
+    f"""SELECT event_id, experiment_id, unit_id, variant_id, exposed_at, ingested_at FROM (
+          SELECT s.*, row_number() OVER (PARTITION BY s.experiment_id, s.unit_id, s.variant_id
+                   ORDER BY s.exposed_at, s.ingested_at NULLS LAST, s.event_id) AS rn
+          FROM staged s JOIN canonical a ON s.experiment_id = a.experiment_id AND s.unit_id = a.unit_id
+          WHERE s.exposed_at >= a.assigned_at - {O.GRACE}) WHERE rn = 1""",
+)
+def _dedupe_post_only(d: ExperimentDAG) -> DataFrame:
+    return exposure.dedupe_exposures_post_only(d.staged, d.canonical, d.cfg)
+
+
 @register(
     "dedupe_exposures_strict",
     "SELECT experiment_id, unit_id, variant_id, exposed_at, exposure_event_type, exposure_event_id FROM deduped_strict",
@@ -469,9 +496,18 @@ from abx.operators import reports as R  # noqa: E402
 
 # Fixed report parameters for the registered runs (the testdata covers January 2024).
 AS_OF = "2024-01-31"
+# The quality report and what it gates are built as of a day inside the data.
+REPORT_DT = "2024-01-24"
 REPORT_EXPERIMENT = "exp_0"
 
 _NN_VALIDATION = ["experiment_id", "unit_id", "assigned_variant_id", "assigned_at", "validation_status"]
+_NN_MARTS = {
+    "cohort": ["experiment_id", "unit_id", "assigned_variant_id", "assigned_at", "is_in_itt_cohort"],
+    "mbv": ["experiment_id", "metric_id", "variant_id", "n_users", "conversions"],
+    "results": ["experiment_id", "metric_id", "variant_id", "n_users", "conversion_rate"],
+    "exposure_audit": ["experiment_id", "date_day", "assigned_units"],
+    "raw_assignments": ["experiment_id", "unit_id", "variant_id", "assigned_at"],
+}
 _NN_DEDUPED = ["event_id", "experiment_id", "unit_id", "variant_id", "exposed_at"]
 
 
@@ -484,13 +520,24 @@ def _nn_sql(table: str, prefix: str, cols: list[str]) -> str:
 
 @register(
     "contract_not_null",
-    _nn_sql("validation", "validation", _NN_VALIDATION) + " UNION ALL " + _nn_sql("deduped", "deduped", _NN_DEDUPED),
+    " UNION ALL ".join(
+        [_nn_sql("validation", "validation", _NN_VALIDATION), _nn_sql("deduped", "deduped", _NN_DEDUPED)]
+        + [_nn_sql(t, t, cols) for t, cols in _NN_MARTS.items()]
+    ),
 )
 def _contract_not_null(d: ExperimentDAG) -> DataFrame:
+    marts = {
+        "cohort": d.cohort,
+        "mbv": d.metric_by_variant,
+        "results": d.results,
+        "exposure_audit": Q.exposure_audit(d.validation, d.cfg),
+        "raw_assignments": d.raw_assignments,
+    }
     return C.union_checks(
         [
             C.contract_not_null(d.validation, _NN_VALIDATION, "validation"),
             C.contract_not_null(d.deduped, _NN_DEDUPED, "deduped"),
+            *[C.contract_not_null(df, _NN_MARTS[name], name) for name, df in marts.items()],
         ]
     )
 
@@ -532,6 +579,10 @@ _UNIQUE = [
     ("deduped", "deduped", ["experiment_id", "unit_id", "variant_id"]),
     ("quality_daily", "quality_daily", ["experiment_id", "date_day"]),
     ("outcomes_exposed", "outcomes_exposed", ["experiment_id", "unit_id", "metric_id"]),
+    ("cohort", "cohort", ["experiment_id", "unit_id"]),
+    ("exposure_audit", "exposure_audit", ["experiment_id", "date_day"]),
+    ("mbv", "mbv", ["experiment_id", "metric_id", "variant_id"]),
+    ("results", "results", ["experiment_id", "metric_id", "variant_id"]),
 ]
 
 
@@ -550,6 +601,10 @@ def _contract_unique(d: ExperimentDAG) -> DataFrame:
         "deduped": d.deduped,
         "quality_daily": d.quality_daily,
         "outcomes_exposed": d.outcomes_exposed,
+        "cohort": d.cohort,
+        "exposure_audit": Q.exposure_audit(d.validation, d.cfg),
+        "mbv": d.metric_by_variant,
+        "results": d.results,
     }
     return C.union_checks([C.contract_unique_key(tables[t], keys, name) for name, t, keys in _UNIQUE])
 
@@ -695,7 +750,7 @@ def _g_assign(d: ExperimentDAG) -> DataFrame:
     "guard_srm",
     """SELECT experiment_id, n_arms, total_units, round(chi_square, 9) AS chi_square,
               round(variant_allocation_deviation_pct, 9) AS variant_allocation_deviation_pct, chi_square_df,
-              round(chi_square_p_value, 9) AS chi_square_p_value, srm_passed FROM srm""",
+              round(chi_square_p_value, 9) AS chi_square_p_value, unplanned_arms, srm_passed FROM srm""",
 )
 def _g_srm(d: ExperimentDAG) -> DataFrame:
     return _r9(GR.guard_srm(d.canonical, d.dim_variant, d.cfg))
@@ -714,7 +769,7 @@ def _g_exposure_order(d: ExperimentDAG) -> DataFrame:
     "SELECT experiment_id, outcomes_before_analysis_start_count, outcome_order_passed FROM g_outcome_order",
 )
 def _g_outcome_order(d: ExperimentDAG) -> DataFrame:
-    return GR.guard_outcome_order(d.outcomes_itt_with_start)
+    return GR.guard_outcome_order(d.outcomes_exposed, "anchor_at")
 
 
 @register(
@@ -735,7 +790,13 @@ def _g_min_sample(d: ExperimentDAG) -> DataFrame:
 
 @register("experiment_quality_report", "SELECT * FROM quality_report")
 def _quality_report(d: ExperimentDAG) -> DataFrame:
-    return _r9(d.quality_report(AS_OF))
+    return _r9(d.quality_report(REPORT_DT))
+
+
+@register("experiment_quality_report_valid", "SELECT * FROM quality_report_valid")
+def _quality_report_valid(d: ExperimentDAG) -> DataFrame:
+    """The report over validly exposed units: canonical assignments, and outcomes of those units."""
+    return _r9(d.quality_report(REPORT_DT, valid_only=True))
 
 
 @register(
@@ -744,7 +805,28 @@ def _quality_report(d: ExperimentDAG) -> DataFrame:
     + " WHERE experiment_id IN (SELECT experiment_id FROM quality_report WHERE is_valid_for_analysis)",
 )
 def _gated(d: ExperimentDAG) -> DataFrame:
-    return _r9(GR.gated_results(d.results.select(*_RES), d.quality_report(AS_OF)))
+    now = d.at(REPORT_DT)
+    return _r9(GR.gated_results(now.results.select(*_RES), now.quality_report(REPORT_DT)))
+
+
+@register(
+    "gated_results_valid",
+    O.round9(_RES_D, "results_valid", [c for c in _RES if c not in _RES_D])
+    + " WHERE experiment_id IN (SELECT experiment_id FROM quality_report_valid WHERE is_valid_for_analysis)",
+)
+def _gated_valid(d: ExperimentDAG) -> DataFrame:
+    now = d.at(REPORT_DT)
+    return _r9(GR.gated_results(now.results_valid.select(*_RES), now.quality_report(REPORT_DT, valid_only=True)))
+
+
+def _as_of(name: str) -> None:
+    """Let the query's SQL see the events up to the end of the report day only."""
+    seen = f"FROM (SELECT * FROM events WHERE ts < TIMESTAMP '{REPORT_DT}' + INTERVAL 1 DAY) events"
+    ORACLES[name] = ORACLES[name].replace("FROM events", seen)
+
+
+for _name in ("experiment_quality_report", "experiment_quality_report_valid", "gated_results", "gated_results_valid"):
+    _as_of(_name)
 
 
 # ---- 2.8 governance --------------------------------------------------------------------------
@@ -809,13 +891,13 @@ def _qd_by_variant(d: ExperimentDAG) -> DataFrame:
     return _r9(Q.quality_daily_by_variant(d.validation_any))
 
 
-_ANOM = ["experiment_id", "date_day", "rate", "prev_rate", "trailing_avg_rate", "day_over_day_change",
+_ANOM = ["experiment_id", "date_day", "metric", "rate", "prev_rate", "trailing_avg_rate", "day_over_day_change",
          "change_vs_trailing", "is_anomaly"]
 
 
-@register("quality_anomalies", _sql_r9("anomalies", _ANOM, _ANOM[2:7]))
+@register("quality_anomalies", _sql_r9("anomalies", _ANOM, _ANOM[3:8]))
 def _anomalies(d: ExperimentDAG) -> DataFrame:
-    return _r9(Q.quality_anomalies(d.quality_daily_post))
+    return _r9(Q.quality_anomalies(d.quality_daily_post, ("exposure_rate", "variant_mismatch_rate")))
 
 
 _SPINE = ["experiment_id", "unit_id", "variant_id", "metric_id", "event_name", "kind", "anchor", "window_days",
@@ -875,5 +957,5 @@ def _metric_outcomes(d: ExperimentDAG) -> DataFrame:
     from abx.operators import outcomes as OUT
 
     return _r9(
-        OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, salt=d.salt, prefilter=d.checkpoint_stages)
+        OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, prefilter=d.checkpoint_stages)
     )

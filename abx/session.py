@@ -85,6 +85,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        # A folder of the driver's machine would be out of reach of the executors.
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     # Unset (local/test run only): a fresh scratch folder.
     local_dir = tempfile.mkdtemp(prefix="abx-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local_dir)

@@ -3,7 +3,7 @@
 - ``read_table``       one Parquet table of a data folder (columnar scan; pruning/pushdown by Catalyst)
 - ``read_day``         one ``dt=YYYY-MM-DD`` partition of a partitioned table (partition pruning)
 - ``read_seed_csv``    CSV seed with a declared schema (no inference)
-- ``write_day``        idempotent overwrite of the day partitions present in a DataFrame
+- ``write_day``        idempotent overwrite of one day (also by an empty result), or of the days present
 - ``materialize``      table or temp view
 """
 
@@ -28,6 +28,15 @@ def read_day(spark: SparkSession, base: str, table: str, dt: str, schema: Struct
     return df.where(F.col("dt") == F.lit(dt))
 
 
+def read_days(spark: SparkSession, base: str, table: str, first: str | None, last: str | None) -> DataFrame:
+    """The days from ``first`` to ``last`` (both included; open if None); other folders are pruned."""
+    path = f"{base.rstrip('/')}/{table}"
+    df = spark.read.option("basePath", path).parquet(path)
+    if first is not None:
+        df = df.where(F.col("dt") >= F.lit(first))
+    return df.where(F.col("dt") <= F.lit(last)) if last is not None else df
+
+
 def read_seed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
 
@@ -38,23 +47,23 @@ def write_day(
     table: str,
     partition_cols: Iterable[str] = ("dt",),
     max_records_per_file: int = 5_000_000,
+    dt: str | None = None,
 ) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite, idempotent).
+    """Overwrite the folder of day ``dt``, also if ``df`` is empty; without ``dt``, only the partitions
+    present in ``df`` (dynamic partition overwrite). Both are idempotent.
 
     No repartition by the partition column: a run usually covers one day, and hashing by ``dt``
     would send the whole day to one task. Every upstream task writes its own file into the day's
     folder instead (AQE has already coalesced small tasks), and ``maxRecordsPerFile`` bounds file
     size. The partition column lives in the path only, so reading back cannot clash with it.
     """
-    cols = list(partition_cols)
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (
-        df.write.mode("overwrite")
-        .option("maxRecordsPerFile", int(max_records_per_file))
-        .partitionBy(*cols)
-        .parquet(f"{base.rstrip('/')}/{table}")
-    )
+    path = f"{base.rstrip('/')}/{table}"
+    writer = df.drop("dt") if dt is not None else df
+    out = writer.write.mode("overwrite").option("maxRecordsPerFile", int(max_records_per_file))
+    if dt is not None:
+        out.parquet(f"{path}/dt={dt}")
+    else:
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path)
 
 
 def materialize(df: DataFrame, name: str, as_table: bool = False) -> DataFrame:

@@ -8,8 +8,8 @@ The testdata holds no experiment tables; they derive deterministically from ``ev
 - unit_id          ``user_id`` as string
 - own variant      first 8 hex digits of md5(experiment_id ':' unit_id) mod 100 < 50 -> control
 - assignments      ``signup`` events (repeats exercise canonicalization)
-- exposures        ``view``/``click`` events with ``(k div 3) mod 4 = 0``; the other variant if k >= 84
-- conversions      ``purchase`` events with value >= 80; revenue = value
+- exposures        every ``view``/``click`` event; the other variant if k >= 84
+- conversions      every ``purchase`` event; revenue = value
 
 Every table is a lazy projection + pushed-down filter of one ``events`` scan, so its work grows
 with ``events``. ``LENS_CTES`` is the same derivation in ANSI SQL for the DuckDB oracle.
@@ -32,7 +32,6 @@ TREATMENT = "treatment"
 ASSIGNMENT_EVENT = "signup"
 EXPOSURE_EVENTS = ("view", "click")
 CONVERSION_EVENT = "purchase"
-CONVERSION_MIN_VALUE = 80.0
 MISMATCH_MIN_K = 84
 EXPOSURE_EVENT_NAME = "experiment_exposed"
 
@@ -105,7 +104,6 @@ def raw_exposures(events: DataFrame) -> DataFrame:
 
 def _exposure_rows(events: DataFrame) -> DataFrame:
     ev = _with_keys(events.filter(F.col("event_type").isin(*EXPOSURE_EVENTS)))
-    ev = ev.filter((F.floor(F.col("k") / F.lit(3)) % F.lit(4)) == F.lit(0))
     own = _own_variant(F.col("experiment_id"), F.col("unit_id"))
     other = F.when(own == F.lit(CONTROL), F.lit(TREATMENT)).otherwise(F.lit(CONTROL))
     return ev.select(
@@ -126,9 +124,7 @@ def conversions(events: DataFrame) -> DataFrame:
 
 
 def _conversion_rows(events: DataFrame) -> DataFrame:
-    ev = events.filter(
-        (F.col("event_type") == F.lit(CONVERSION_EVENT)) & (F.col("value") >= F.lit(CONVERSION_MIN_VALUE))
-    )
+    ev = events.filter(F.col("event_type") == F.lit(CONVERSION_EVENT))
     return ev.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("unit_id"),
@@ -225,12 +221,12 @@ LENS_CTES = {
         f"CASE WHEN k >= 84 THEN (CASE WHEN {_OWN} = 'control' THEN 'treatment' ELSE 'control' END) "
         f"ELSE {_OWN} END AS variant_id, ts AS exposed_at, event_type AS exposure_event_type, "
         "CAST(ts AS DATE) AS dt, props "
-        "FROM lens_keyed WHERE event_type IN ('view', 'click') AND (k // 3) % 4 = 0"
+        "FROM lens_keyed WHERE event_type IN ('view', 'click')"
     ),
     "conversions": (
         "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS unit_id, "
         "ts AS occurred_at, value AS revenue, props FROM events "
-        "WHERE event_type = 'purchase' AND value >= 80"
+        "WHERE event_type = 'purchase'"
     ),
 }
 

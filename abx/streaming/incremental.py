@@ -1,9 +1,9 @@
 """Incremental exposure validation with Structured Streaming (beyond the reference, which is batch).
 
 The raw ``fact_exposure`` folder is watched as a file stream. Each micro-batch names the day
-partitions it touched; for those days only, the idempotent daily jobs re-run (canonical
-assignments, dedupe, validation, daily quality), so late files for an old day simply rebuild
-that day. The query offsets live in a checkpoint under the cluster's shared
+partitions it touched; the idempotent daily jobs (canonical assignments, dedupe, validation, daily
+quality) re-run for the assignment days whose exposure window holds one of them, so late files for
+an old day simply rebuild those days. The query offsets live in a checkpoint under the cluster's shared
 ``spark.checkpoint.dir``, so a restarted driver resumes where it stopped.
 
 ``dropDuplicatesWithinWatermark`` is deliberately not used for dedupe: it keeps the first row to
@@ -13,6 +13,8 @@ keeps the batch semantics exactly.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,6 +28,14 @@ def touched_days(batch: DataFrame) -> list[str]:
     return sorted(str(r["dt"]) for r in batch.select("dt").distinct().collect())
 
 
+def days_to_rebuild(days: list[str], cfg: ExperimentConfig = DEFAULT) -> list[str]:
+    """Assignment days whose exposure window holds one of ``days``, oldest first."""
+    back = cfg.max_days_after_assignment + 1
+    ahead = -(-cfg.pre_assignment_grace_minutes // 1440)
+    found = {date.fromisoformat(d) + timedelta(days=i) for d in days for i in range(-back, ahead + 1)}
+    return sorted(d.isoformat() for d in found)
+
+
 def start_incremental_validation(
     spark: SparkSession,
     raw_base: str,
@@ -42,9 +52,10 @@ def start_incremental_validation(
     ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/exposure_validation"
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        for d in touched_days(batch):
-            jobs.build_assignments(spark, raw_base, silver_base, d)
-            jobs.build_exposure_validation(spark, raw_base, silver_base, gold_base, d, cfg)
+        for d in days_to_rebuild(touched_days(batch), cfg):
+            if jobs.has_day(spark, raw_base, "fact_assignment", d):
+                jobs.build_assignments(spark, raw_base, silver_base, d)
+                jobs.build_exposure_validation(spark, raw_base, silver_base, gold_base, d, cfg)
 
     writer = stream.select("dt").writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

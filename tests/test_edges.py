@@ -175,8 +175,8 @@ def test_control_missing_and_zero_conversions(spark):
     assert [r.experiment_id for r in pw] == ["y"]  # pairwise drops arms without control
 
 
-def test_salted_range_join_equals_plain(spark):
-    """A unit holding most conversions is split into salts; results must be identical."""
+def test_hot_unit_is_split_by_day(spark):
+    """A unit holding most conversions meets its anchors day by day; counts and revenue are exact."""
     coh = cohort.cohort(
         _validation_rows(spark, [("x1", "hot", "control", ts()), ("x2", "hot", "treatment", ts(days=3)),
                                  ("x1", "cold", "treatment", ts())])
@@ -185,15 +185,14 @@ def test_salted_range_join_equals_plain(spark):
         [(f"h{i}", "hot", ts(seconds=3600 * i), float(i)) for i in range(300)] + [("c1", "cold", ts(days=1), 5.0)],
         CONVERSION_SCHEMA,
     )
-    cfg = ExperimentConfig(skew_rows_per_split=7, skew_max_hot_keys=10)
-    salted = outcomes.unit_outcomes(coh, conv, cfg, salt=True)
-    plain = outcomes.unit_outcomes(coh, conv, cfg, salt=False)
-    key = lambda r: (r.experiment_id, r.unit_id)
-    s = sorted(salted.collect(), key=key)
-    p = sorted(plain.collect(), key=key)
-    assert s == p
-    assert {(r.experiment_id, r.unit_id): r.conversion_events for r in s} == {
-        ("x1", "hot"): 168, ("x2", "hot"): 168, ("x1", "cold"): 1}
+    got = outcomes.unit_outcomes(coh, conv)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ad" in plan and "Limit" not in plan  # an equi-key per day, no counting pass
+    assert {(r.experiment_id, r.unit_id): (r.conversion_events, r.revenue) for r in got.collect()} == {
+        ("x1", "hot"): (168, float(sum(range(168)))),
+        ("x2", "hot"): (168, float(sum(range(72, 240)))),
+        ("x1", "cold"): (1, 5.0),
+    }
 
 
 def test_permutation_invariance(spark):

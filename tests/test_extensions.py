@@ -27,6 +27,14 @@ def test_assign_variants_weighted_and_deterministic(spark):
     assert salted.join(out, ["experiment_id", "unit_id", "variant_id"]).count() < 20000
 
 
+def test_tiny_arms_keep_their_share(spark):
+    variants = spark.createDataFrame([("x", "a", 99.999), ("x", "b", 0.001), ("x", "c", 0.0)],
+                                     "experiment_id string, variant_id string, allocation_pct double")
+    units = spark.range(1_000_000).select(F.lit("x").alias("experiment_id"), F.col("id").cast("string").alias("unit_id"))
+    got = {r.variant_id: r["count"] for r in assign.assign_variants(units, variants).groupBy("variant_id").count().collect()}
+    assert sum(got.values()) == 1_000_000 and 1 <= got["b"] <= 30 and "c" not in got
+
+
 def test_experiment_variants_template(spark):
     exps = spark.createDataFrame([("x",), ("y",)], "experiment_id string")
     rows = sorted(tuple(r) for r in assign.experiment_variants(exps).collect())
@@ -60,7 +68,21 @@ def test_quality_anomalies_trailing_mean(spark):
     got = {r.date_day.day: r for r in quality.quality_anomalies(daily).collect()}
     assert got[1].prev_rate is None and got[1].is_anomaly is False
     assert got[4].trailing_avg_rate == pytest.approx(0.9) and got[4].is_anomaly is True
-    assert got[5].day_over_day_change == pytest.approx(0.4)
+    assert got[5].day_over_day_change == pytest.approx(0.4) and got[5].is_anomaly is True
+
+
+def test_quality_anomalies_over_missing_days(spark):
+    """Days without rows are gaps: nothing is compared with a day that is not its neighbour."""
+    daily = spark.createDataFrame(
+        [("x", ts(days=d).date(), r, r / 10) for d, r in ((0, 0.9), (1, 0.9), (19, 0.2), (22, 0.9), (23, 0.9))],
+        "experiment_id string, date_day date, exposure_rate double, mismatch_rate double",
+    )
+    rows = quality.quality_anomalies(daily, ("exposure_rate", "mismatch_rate")).collect()
+    got = {r.date_day.day: r for r in rows if r.metric == "exposure_rate"}
+    assert len(rows) == 10
+    assert got[20].prev_rate is None and got[20].trailing_avg_rate is None and got[20].is_anomaly is False
+    assert got[23].prev_rate is None and got[23].trailing_avg_rate == pytest.approx(0.2) and got[23].is_anomaly is True
+    assert got[24].prev_rate == pytest.approx(0.9) and got[24].trailing_avg_rate == pytest.approx(0.55)
 
 
 def test_power_mde_formula(spark):

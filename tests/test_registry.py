@@ -39,15 +39,15 @@ def con():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert "did_treatment_win" in df.columns
-    assert df.count() >= 0
+    assert df.count() > 0
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(E.oracle_sql()))
+    missing = sorted(set(E.queries()) - set(E.oracle_sql()) - set(E.LLM_QUERIES))
     assert missing == []
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
@@ -57,3 +57,5 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _digest(srows, df.columns) == _digest(orows, ocols)
+    # Only the gate over raw assignments may let nothing pass: the feed repeats them on purpose.
+    assert srows or name == "gated_results"

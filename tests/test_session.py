@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from abx.session import cut_lineage, ensure_checkpoint_dir
 
 
@@ -11,6 +13,21 @@ def test_checkpoint_dir_comes_from_session(spark):
     assert ensure_checkpoint_dir(spark) == d  # stable: never replaced once set
 
 
+def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_cut_lineage_is_a_reliable_checkpoint(spark):
     df = spark.range(100).selectExpr("id", "id * 2 AS twice").filter("id % 3 = 0")
     cut = cut_lineage(df)
