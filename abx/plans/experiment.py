@@ -42,8 +42,9 @@ class ExperimentDAG:
         self.as_of = as_of
 
     def at(self, dt: str) -> ExperimentDAG:
-        """The same stages over the events up to the end of day ``dt``."""
-        return ExperimentDAG(self.spark, self.sf_dir, self.cfg, self.checkpoint_stages, as_of=dt)
+        """The same stages over the events up to the end of day ``dt``, the shared ones checkpointed: a
+        report folds many guards over them, and each is built once."""
+        return ExperimentDAG(self.spark, self.sf_dir, self.cfg, checkpoint_stages=True, as_of=dt)
 
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint_stages else df
@@ -129,8 +130,10 @@ class ExperimentDAG:
 
     @cached_property
     def outcomes_exposed(self) -> DataFrame:
-        return outcomes.conversion_outcomes(
-            self.cohort, self.conversions, self.cfg, "exposure", prefilter=self.checkpoint_stages
+        return self._cut(
+            outcomes.conversion_outcomes(
+                self.cohort, self.conversions, self.cfg, "exposure", prefilter=self.checkpoint_stages
+            )
         )
 
     @cached_property
