@@ -11,8 +11,9 @@ documents are ranked by the odds of a uniform number (from a hash of id and size
 divided by the odds of p, and taken in that order until the source's remaining words are reached;
 the last one is taken if that comes nearer. Only its rank (one row a source) goes back to the rows.
 
-Ranks are summed in RANK_BINS bins a source before any are sorted, so that a source with a third of
-all rows is never sorted in one task: only the bin in which its words run out is. Tables by source,
+Ranks are summed in bins before any are sorted, coarse ones first and then fine ones of the bin in
+which a source's words run out, so that a source with a third of all rows is never sorted in one
+task: only the fine bin that decides is. Tables by source,
 or by source and class, are aggregates; the one over all sources is as long as the list of sources.
 
 Defined results: a null text has size 0 and is taken as 0 words; null sources form one source; rows
@@ -32,7 +33,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_COPIES = 2
 SEED = "mix-1"
-RANK_BINS = 1 << 16
+RANK_BINS = (1 << 8, 1 << 16)
 # Plans up to this count of (source, class) rows are sent to every task; longer ones are joined by shuffling.
 BROADCAST_PLANS = 100_000
 
@@ -110,15 +111,13 @@ def plan(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tu
     sizes = classes.groupBy("source").agg(F.sum("words").alias("source_size"))
     expected = materialize(_expected(classes, targets(sizes, weights, share, max_copies), max_copies))
     ranked = _with_plan(rows, expected, ["source", "class"]).filter("p > 0 AND size > 0").withColumn("rank", _rank(F.col("u"), F.col("p")))
-    ranked = ranked.select("source", "id_text", "size", "rank", "left", F.floor(F.col("rank") * RANK_BINS).alias("bin"))
-    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
-    w = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("words").over(w), F.lit(0)))
-    # The bin in which the words run out; if they never do, the last.
-    edge = bins.filter(F.col("before") <= F.col("left")).groupBy("source").agg(F.max_by(F.struct("bin", "before"), "bin").alias("edge"))
-    edge = materialize(edge.select(F.col("source").alias("edge_source"), F.col("edge.bin").alias("edge_bin"), "edge.before"))
-    on = F.col("source").eqNullSafe(F.col("edge_source")) & (F.col("bin") == F.col("edge_bin"))
-    inside = ranked.join(bounded_broadcast(edge, BROADCAST_PLANS), on)
+    inside = ranked.select("source", "id_text", "size", "rank", "left", F.lit(0).cast("bigint").alias("before"))
+    for width in RANK_BINS:  # coarse bins of all ranks, then fine bins of the coarse one that decides
+        inside = inside.withColumn("bin", F.floor(F.col("rank") * width))
+        edge = materialize(_edge(inside))
+        on = F.col("source").eqNullSafe(F.col("edge_source")) & (F.col("bin") == F.col("edge_bin"))
+        inside = inside.drop("before").join(bounded_broadcast(edge, BROADCAST_PLANS), on)
+        inside = inside.select("source", "id_text", "size", "rank", "left", "before")
     run = W.partitionBy("source").orderBy("rank", "size", "id_text").rowsBetween(W.unboundedPreceding, -1)
     inside = inside.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0)))
     taken = inside.filter(F.col("before") + F.col("size") / 2 <= F.col("left"))
@@ -127,7 +126,7 @@ def plan(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tu
     stop = edge.join(last.withColumnRenamed("source", "last_source"), F.col("edge_source").eqNullSafe(F.col("last_source")), "left")
     stop = stop.select(
         "edge_source",
-        F.coalesce("last.rank", F.col("edge_bin") / RANK_BINS).alias("last_rank"),
+        F.coalesce("last.rank", F.col("edge_bin") / RANK_BINS[-1]).alias("last_rank"),
         F.coalesce("last.size", F.lit(-1)).alias("last_size"),
         F.coalesce("last.id_text", F.lit("")).alias("last_id"),
     )
@@ -135,6 +134,17 @@ def plan(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tu
     return rows, materialize(out)
 
 
+def _edge(ranked: DataFrame) -> DataFrame:
+    """(edge_source, edge_bin, before): the bin in which a source's words run out (the last if they never
+    do), and the words taken before it."""
+    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("left").alias("left"), F.first("before").alias("start"))
+    w = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    bins = bins.withColumn("before", F.col("start") + F.coalesce(F.sum("words").over(w), F.lit(0)))
+    last = F.max_by(F.struct("bin", "before"), "bin").alias("edge")
+    edge = bins.filter(F.col("before") <= F.col("left")).groupBy("source").agg(last)
+    return edge.select(F.col("source").alias("edge_source"), F.col("edge.bin").alias("edge_bin"), "edge.before")
+
+
 def _with_plan(rows: DataFrame, plan: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the plan of their (source, class); ``keys`` are the rows' names of the two."""
     p = bounded_broadcast(plan, BROADCAST_PLANS).withColumnRenamed("source", "__llm_plan_source").withColumnRenamed("class", "__llm_plan_class")
