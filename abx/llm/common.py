@@ -6,6 +6,7 @@ columns that live next to user columns start with ``__llm_``.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ LOWER = UPPER.lower()
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 # Text handled at once inside a task; bounds the arrays a task holds next to its Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def lower_ascii(col: Column) -> Column:
@@ -39,8 +40,18 @@ def binary_texts(col: pa.Array) -> list[bytes]:
     return [b or b"" for b in col.cast(pa.binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on after a task, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of the batches with at most SLICE_BYTES of text (one longer text goes alone)."""
+    batch = texts = ends = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -52,6 +63,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Re
             b = max(a + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
             yield batch.slice(a, b - a), texts[a:b]
             a = b
+    del batch, texts, ends
+    give_back()
 
 
 

@@ -30,7 +30,7 @@ from abx.llm.common import slices
 MAX_LEN = 1024
 END_ID = 0
 # The per-worker cache of encoded parts keeps this many recent ones, and as many from before them.
-CACHE_PARTS = 400_000
+CACHE_PARTS = 300_000
 CACHE_PART_CHARS = 64
 
 # Characters that no tokenizer takes for white space, and the letters among them. A single space or
