@@ -170,8 +170,13 @@ def classify(
     features = materialize(_features(df, id_col, text_col))
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)").distinct()
     train = features.filter(~F.col("held_out")).join(known, "id")
-    # At most ``labelled`` rows reach the driver.
-    sample = train.select("f", "label", F.xxhash64("id").alias("h"), "id").orderBy("h", "id", "label").limit(labelled).select("f", "label").collect()
+    # At most ``labelled`` rows reach the driver. Rows with larger hashes leave in their tasks, so
+    # that the tasks together send little more than those that are kept.
+    n = train.count()
+    least = -(1 << 63)
+    limit = least + int((1 << 64) * min(1.0, (1.5 * labelled + 1000) / max(n, 1)))
+    hashed = train.select("f", "label", F.xxhash64("id").alias("h"), "id").filter(F.col("h") <= F.lit(min(limit, -least - 1)))
+    sample = hashed.orderBy("h", "id", "label").limit(labelled).select("f", "label").collect()
     space = latent_space(features, features.count(), rank)
     vectors = project(_unpack([r.f for r in sample]), space) if sample else np.zeros((0, rank), np.float32)
     shared = df.sparkSession.sparkContext.broadcast((space, vectors, np.asarray([r.label for r in sample], float)))
