@@ -7,11 +7,15 @@ IC(c) = -log p(c), and the share of it that the term t discloses is PMI(c; t) /
 t occurs only beside c and 0 if the two are independent. In every document that holds c, terms that
 disclose ``generalise_at`` or more of it are replaced by their kind, and from ``remove_at`` by a
 blank mark. A pair counts if it is found in ``min_support`` different texts at least; copies of one
-text say nothing new about which words go together.
+text say nothing new about which words go together. Most entities stand in fewer texts than that, so
+what entities share (mail domain, first half of an IP address, first six digits of a card or phone
+number) is counted like an entity of its own: terms that disclose it are replaced wherever one of
+its entities is found, be it in a single text.
 
 All positions are code points. Positions of consecutive matches come from one anchored pattern of
-gap and match, whose lengths add up, so the work is linear in the text. Entities of few texts leave
-before any word is looked at, and words meet entities of their own text only, by position bucket.
+gap and match, whose lengths add up, so the work is linear in the text. Entities of few texts whose
+pool has few texts too leave before any word is looked at, and words meet entities of their own text
+only, by position bucket.
 
 Defined results: null texts have no spans and stay null when sanitised; repeated rows each get
 their spans; a null id passes through; an empty table gives an empty result; other columns are
@@ -133,6 +137,23 @@ def _entity(span: Column) -> Column:
     return F.when(span["kind"] >= 2, F.regexp_replace(value, "[^0-9]", "")).otherwise(value)
 
 
+def _pool(kind: Column, entity: Column) -> Column:
+    """What the entity shares with others of its kind; never equal to an entity."""
+    domain = F.concat(F.lit("@"), F.substring_index(entity, "@", -1))
+    network = F.concat(F.substring_index(entity, ".", 2), F.lit("."))
+    return F.when(kind == 0, domain).when(kind == 1, network).otherwise(F.substring(entity, 1, 6))
+
+
+def _found(texts: DataFrame, pooled: bool) -> DataFrame:
+    """(key, copies, kind, entity, s, e) of every base span, with ``pooled`` once more under its pool."""
+    spans = texts.select("key", "copies", F.explode("base").alias("x"))
+    found = spans.select("key", "copies", F.col("x.kind").alias("kind"), _entity(F.col("x")).alias("entity"), "x.s", "x.e")
+    if not pooled:
+        return found
+    both = F.explode(F.array("entity", _pool(F.col("kind"), F.col("entity"))))
+    return found.select("key", "copies", "kind", both.alias("entity"), "s", "e")
+
+
 def _words(text: Column) -> Column:
     """Terms of a text with positions: array of (term, s, e)."""
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"), F.lit(0))
@@ -170,10 +191,11 @@ def disclosing_terms(
     reach: int = REACH,
     min_support: int = MIN_SUPPORT,
     generalise_at: float = GENERALISE_AT,
+    pooled: bool = False,
 ) -> DataFrame:
-    """(kind, entity, term, disclosed) for every pair at or over ``generalise_at``; counts cover all rows of ``df``."""
-    spans = texts.select("key", "copies", F.explode("base").alias("x"))
-    found = spans.select("key", "copies", F.col("x.kind").alias("kind"), _entity(F.col("x")).alias("entity"), "x.s", "x.e")
+    """(kind, entity, term, disclosed) for every pair at or over ``generalise_at``; counts cover all rows of ``df``.
+    With ``pooled``, pools are listed among the entities."""
+    found = _found(texts, pooled)
     per_text = found.select("kind", "entity", "key", "copies").distinct()
     known = per_text.groupBy("kind", "entity").agg(F.count("*").alias("support"), F.sum("copies").alias("n_entity"))
     known = materialize(known.filter(F.col("support") >= min_support).drop("support"))
@@ -201,7 +223,7 @@ def disclosing_terms(
 def _hits(texts: DataFrame, disclosing: DataFrame, remove_at: float) -> DataFrame:
     """(__llm_hit, __llm_removed, __llm_listed): the disclosing terms of each text that holds their entity, by text key."""
     listed = disclosing.groupBy("kind", "entity").agg(F.collect_list(F.struct("term", (F.col("disclosed") >= remove_at).alias("removed"))).alias("terms"))
-    held = texts.select("key", F.explode("base").alias("x")).select("key", F.col("x.kind").alias("kind"), _entity(F.col("x")).alias("entity")).distinct()
+    held = _found(texts, True).select("key", "kind", "entity").distinct()
     grouped = held.join(listed, ["kind", "entity"]).groupBy(F.col("key").alias("__llm_hit")).agg(F.flatten(F.collect_list("terms")).alias("all"))
     gone = F.transform(F.filter("all", lambda t: t["removed"]), lambda t: t["term"])
     every = F.transform("all", lambda t: t["term"])
@@ -218,7 +240,7 @@ def find_spans(
 ) -> DataFrame:
     """``df`` with __llm_base (base spans) and __llm_terms (spans (s, e, removed) of disclosing terms, by start)."""
     texts = _texts(df, text_col)
-    hits = materialize(_hits(texts, disclosing_terms(df, texts, text_col, reach, min_support, generalise_at), remove_at))
+    hits = materialize(_hits(texts, disclosing_terms(df, texts, text_col, reach, min_support, generalise_at, pooled=True), remove_at))
     text = F.col(text_col).cast("string")
     marked = find_base(df, text_col, "__llm_base")
     none = F.array().cast("array<struct<s:int,e:int,removed:boolean>>")

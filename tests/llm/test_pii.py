@@ -143,6 +143,22 @@ def test_spans_and_sanitised_text(spark):
     assert any("generalised" in s for s in spans.values())
 
 
+def test_entities_of_one_text_share_what_discloses_their_pool(spark):
+    """Each entity stands in one text; the term beside them tells their domain, network or number block."""
+    told = [f"Write to Acmecorp, clerk person{i}@acme.example in office {i}" for i in range(4)]
+    told += [f"node {i} of Zentrix at 10.77.{i}.9 is up" for i in range(4)]
+    told += [f"dial Kelborough +44 7700 9001{i}2 now {i}" for i in range(4)]
+    once = ["ask Quagmire of nowhere x@once.example"]
+    texts = [f"plain words to ask at node of office {i}, write or dial now" for i in range(60)] + told + once
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    clean = {r.doc_id: r.text for r in P.sanitise(df).collect()}
+    for i, t in enumerate(texts):
+        if t in told:
+            assert not {"acmecorp", "zentrix", "kelborough"} & {w for w, _, _ in terms_of(clean[i])}
+            assert clean[i].count("[...]") >= 1
+    assert clean[len(texts) - 1] == "ask Quagmire of nowhere [EMAIL]"
+
+
 def test_overlaps_become_one(spark):
     t = "see 4111 1111 1111 1111@mail.example, +4111 1111 1111 1111 end"
     df = spark.createDataFrame([(1, t)], "doc_id long, text string")
