@@ -2,14 +2,16 @@
 
 Vectors are turned by fast Hadamard pseudo-rotations (three rounds of random signs and transform);
 a unit vector's bucket is the signed axis nearest to it. To search for the largest inner product,
-vectors are first scaled by the largest norm and lifted onto the unit sphere by one more component.
-A query looks into the ``probes`` buckets of each table whose axes are nearest to it; what it meets
-there is ranked by exact inner products in double precision on the original vectors.
+vectors are parted into ranges of norms, scaled by the largest norm of their range and lifted onto the
+unit sphere by one more component. A query looks into the ``probes`` buckets of each table and range
+whose axes are nearest to it; what it meets there is ranked by exact inner products in double
+precision on the original vectors. Ranges of at most EXACT_ROWS vectors are compared in full, and a
+query that meets fewer vectors than it asks for is compared with all.
 
 Equal vectors are one class: it is hashed and compared once and stands for its smallest ids, as no
 search can need more. Buckets meet queries in blocks of at most about BLOCK rows on either side, so
 neither a hot bucket nor many queries in one bucket make a large group, and a block hands on no more
-than the best of each query. No candidate is left out.
+than the best of each query. No candidate that a query meets is left out.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part; rows of different lengths meet as if padded with zeros; a null id takes no part; repeated rows
@@ -35,6 +37,10 @@ PROBES = 16
 AXES = 64
 SEED = 7
 BLOCK = 4096
+# Norms of a range differ by at most this factor.
+RANGE = 2**0.25
+# Hashing needs many vectors a bucket to find the nearest ones; smaller ranges are compared in full.
+EXACT_ROWS = 4096
 # More candidates than asked for are kept while scores still come from blocked products.
 SPARE = 4
 
@@ -53,10 +59,10 @@ def _rotate(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
 
 
 class CrossPolytope:
-    """The hash functions of all tables for vectors of up to ``dim`` components and norms up to ``norm``."""
+    """The hash functions of all tables for vectors of up to ``dim`` components."""
 
-    def __init__(self, dim: int, norm: float, tables: int = TABLES, axes: int = AXES, seed: int = SEED):
-        self.dim, self.norm = dim, norm
+    def __init__(self, dim: int, tables: int = TABLES, axes: int = AXES, seed: int = SEED):
+        self.dim = dim
         self.width = 1 << max(1, int(dim).bit_length())  # room for the lift
         self.axes = min(axes, self.width)
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, self.width))
@@ -67,9 +73,9 @@ class CrossPolytope:
         wide[:, self.dim] = lift
         return _rotate(wide, self.signs[table])[:, : self.axes]
 
-    def buckets(self, x: np.ndarray, table: int) -> np.ndarray:
-        """The bucket of each vector: twice the axis, plus one if its sign is negative."""
-        x = x / self.norm
+    def buckets(self, x: np.ndarray, norms: np.ndarray, table: int) -> np.ndarray:
+        """The bucket of each vector, scaled by the norm beside it: twice the axis, plus one if its sign is negative."""
+        x = x / norms[:, None]
         y = self._turned(x, np.sqrt(np.maximum(0.0, 1 - np.square(x).sum(1))), table)
         axis = np.abs(y).argmax(1)
         return 2 * axis + (y[np.arange(len(y)), axis] < 0)
@@ -95,7 +101,9 @@ def _usable(v: Column) -> Column:
 
 
 def _hashed(rows: DataFrame, hashes: CrossPolytope, probes: int | None) -> DataFrame:
-    """(t, bucket, cid, v): each vector in its bucket of every table, or in its probed ones."""
+    """(t, bucket, cid, v): each vector in its bucket of every table, or in its probed ones; the former
+    need the largest norm of their range as ``top`` and keep their ``range``."""
+    ranged = ", range int" * (probes is None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -103,11 +111,35 @@ def _hashed(rows: DataFrame, hashes: CrossPolytope, probes: int | None) -> DataF
                 part = pdf.iloc[at : at + BLOCK]
                 x = _matrix(part.v, hashes.dim)
                 for t in range(len(hashes.signs)):
-                    b = hashes.buckets(x, t)[:, None] if probes is None else hashes.probes(x, t, probes)
+                    b = hashes.buckets(x, part.top.to_numpy(), t)[:, None] if probes is None else hashes.probes(x, t, probes)
                     i = np.repeat(np.arange(len(part)), b.shape[1])
-                    yield pd.DataFrame({"t": np.int32(t), "bucket": b.ravel().astype(np.int32), "cid": part.cid.to_numpy()[i], "v": part.v.to_numpy()[i]})
+                    out = {"t": np.int32(t), "bucket": b.ravel().astype(np.int32), "cid": part.cid.to_numpy()[i], "v": part.v.to_numpy()[i]}
+                    yield pd.DataFrame(out | ({"range": part.range.to_numpy()[i]} if probes is None else {}))
 
-    return rows.mapInPandas(run, f"t int, bucket int, cid bigint, v {rows.schema['v'].dataType.simpleString()}")
+    return rows.mapInPandas(run, f"t int, bucket int, cid bigint, v {rows.schema['v'].dataType.simpleString()}{ranged}")
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """(t, bucket, cid, v): all rows in one bucket of a table of its own."""
+    return rows.select(F.lit(-1).alias("t"), F.lit(0).alias("bucket"), F.col("cid").alias("cid"), F.col("v").alias("v"))
+
+
+def _meet(cand: DataFrame, query: DataFrame, dim: int, k: int) -> DataFrame:
+    """(qid, cid, score): the k best candidates of each query in its buckets; ``cand`` has the range too."""
+    # Blocks a bucket on either side; the table has at most ranges * tables * 2 * axes rows.
+    parts = lambda side, name, *keys: side.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    c_parts = parts(cand, "c_parts", "t", "range", "bucket")
+    blocks = F.broadcast(materialize(c_parts.join(parts(query, "q_parts", "t", "bucket"), ["t", "bucket"])))
+    own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cand = cand.join(blocks, ["t", "range", "bucket"]).withColumn("c", own("c_parts")).withColumn("q", all_of("q_parts"))
+    query = query.join(blocks, ["t", "bucket"]).withColumn("q", own("q_parts")).withColumn("c", all_of("c_parts"))
+    keys = ["t", "range", "bucket", "c", "q"]
+    met = cand.select(*keys, "cid", "v").groupBy(*keys).cogroup(query.select(*keys, "cid", "v").groupBy(*keys))
+    found = met.applyInPandas(_best(dim, k), "qid bigint, cid bigint, score double")
+    found = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
+    by_class = W.partitionBy("qid").orderBy(F.col("score").desc(), "cid")
+    return found.withColumn("n", F.row_number().over(by_class)).filter(F.col("n") <= k).drop("n")
 
 
 def _best(dim: int, k: int):
@@ -154,7 +186,7 @@ def search(
     dim, norm = rows.agg(F.max(F.size("v")), F.max(F.sqrt(norm2))).first()
     if dim is None:
         return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    hashes = CrossPolytope(dim, norm, tables, axes)
+    hashes = CrossPolytope(dim, tables, axes)
     # A class needs its k + 1 smallest ids; the limit on the rank works before the shuffle.
     first = F.row_number().over(W.partitionBy("v").orderBy("id"))
     members = rows.select("id", "v").withColumn("n", first).filter(F.col("n") <= k + 1).dropDuplicates(["v", "id"])
@@ -163,21 +195,21 @@ def search(
     classes = materialize(classes)
     wanted = materialize(rows.filter("asked").select("id", "v").distinct().join(classes.select("v", "cid"), "v").select(F.col("id").alias("query_id"), F.col("cid").alias("qid")))
 
-    cand = _hashed(classes.select("cid", "v"), hashes, None)
-    query = _hashed(classes.filter("asked").select("cid", "v"), hashes, probes)
-    # Blocks a bucket on either side; the table has at most tables * 2 * axes rows.
-    parts = lambda side, name: side.groupBy("t", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    blocks = F.broadcast(materialize(parts(cand, "c_parts").join(parts(query, "q_parts"), ["t", "bucket"])))
-    own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cand = cand.join(blocks, ["t", "bucket"]).withColumn("c", own("c_parts")).withColumn("q", all_of("q_parts"))
-    query = query.join(blocks, ["t", "bucket"]).withColumn("q", own("q_parts")).withColumn("c", all_of("c_parts"))
-    keys, cols = ["t", "bucket", "c", "q"], ["t", "bucket", "c", "q", "cid", "v"]
-    met = cand.select(*cols).groupBy(*keys).cogroup(query.select(*cols).groupBy(*keys))
-    found = met.applyInPandas(_best(dim, k + 1), "qid bigint, cid bigint, score double")
-    found = found.groupBy("qid", "cid").agg(F.max("score").alias("score"))
-    by_class = W.partitionBy("qid").orderBy(F.col("score").desc(), "cid")
-    found = found.withColumn("n", F.row_number().over(by_class)).filter(F.col("n") <= k + 1).drop("n")
+    nth = F.floor(F.log(F.lit(norm) / F.sqrt(norm2)) / float(np.log(RANGE))).cast("int")
+    ranged = classes.select("cid", "v", nth.alias("range"))
+    sizes = F.broadcast(materialize(ranged.groupBy("range").agg((F.count("*") > EXACT_ROWS).alias("large"))))
+    ranged = ranged.join(sizes, "range").withColumn("top", F.lit(norm) * F.pow(F.lit(RANGE), -F.col("range")))
+    asking = classes.filter("asked").select("cid", "v")
+    cand = _hashed(ranged.filter("large").select("cid", "v", "range", "top"), hashes, None)
+    cand = cand.unionByName(_whole(ranged.filter(~F.col("large"))).withColumn("range", F.lit(0)))
+    query = _hashed(asking, hashes, probes).unionByName(_whole(asking))
+    found = materialize(_meet(cand, query, dim, k + 1))
+    # A class may stand for one id alone, so a query needs k + 1 classes, or all there are.
+    enough = found.groupBy(F.col("qid").alias("cid")).count().filter(F.col("count") >= min(k + 1, classes.count()))
+    short = materialize(asking.join(enough, "cid", "left_anti"))
+    if not short.isEmpty():
+        rest = _meet(_whole(classes).withColumn("range", F.lit(0)), _whole(short), dim, k + 1)
+        found = found.join(short.select(F.col("cid").alias("qid")), "qid", "left_anti").unionByName(rest)
     by_id = W.partitionBy("qid").orderBy(F.col("score").desc(), "id")
     near = found.join(members, "cid").withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1).select("qid", "id", "score")
     pairs = wanted.join(near, "qid").filter("query_id <> id")

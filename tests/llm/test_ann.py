@@ -73,6 +73,36 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
     assert sorted(map(tuple, A.search(df, is_query=ask).collect())) == want
 
 
+def test_small_tables_are_exact(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=64).astype(np.float32).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for n in (10, 40, 60):
+        got = A.search(df.filter(F.col("vec_id") < n)).collect()
+        want = brute(rows[:n], lambda i: True)
+        assert recall(got, want) == 1 and len(got) == n * min(20, n - 1)
+
+
+@pytest.mark.parametrize("norms", ["one long", "lognormal"])
+def test_recall_with_skewed_norms(spark, norms):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(12_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.where(np.arange(len(x)) == 7, 100, 1)[:, None] if norms == "one long" else rng.lognormal(0, 0.25, len(x))[:, None]
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    got = A.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), is_query=F.col("vec_id") % 100 == 0).collect()
+    want = brute(rows, lambda i: i % 100 == 0)
+    assert recall(got, want) >= 0.9 and len(got) == 20 * len(want)
+
+
+def test_short_queries_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(A, "EXACT_ROWS", 0)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(30)]
+    got = A.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), tables=1, probes=1).collect()
+    assert len(got) == 20 * 30 and recall(got, brute(rows, lambda i: True)) == 1
+
+
 def test_few_or_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in A.search(df, is_query=F.col("vec_id") == 0).collect()] == [(0, 1, 1, 4.0)]
