@@ -31,7 +31,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,8 +39,10 @@ from abx.llm.common import LOWER_BYTES, bounded_broadcast, lower_ascii, material
 
 HASH_BITS = 12
 SIZE = 1 << HASH_BITS
-# A language has at least this share of the labelled texts, so there are at most as many as its inverse.
-MIN_SHARE = 1 / 64
+# A task sums the trigrams of this many languages at once, and hands them on before it takes others.
+HELD = 256
+# Sums over up to this many languages have a column each.
+WIDE = 64
 TEXT_EVIDENCE = 60.0
 SMOOTH_TRIGRAM = 0.5
 SMOOTH_LEVEL = 5.0
@@ -51,7 +52,6 @@ UNKNOWN = "und"
 UNKNOWN_PRIOR = 0.01
 MIN_POSTERIOR = 0.5
 BROADCAST_ROWS = 50_000
-SALTS = 32
 
 _MARKUP = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
 
@@ -93,37 +93,44 @@ class TextModel:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> TextModel:
-    """Trigram model of all languages with MIN_SHARE of the labelled rows, from all their texts."""
+    """Trigram model of all languages of the labelled rows, however rare, from all their texts."""
     lang = lower_ascii(F.trim(F.col(lang_col).cast("string")))
     rows = labelled.select(lang.alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang <> '' AND lang <> 'und'")
-    # Share first: no more than 1 / MIN_SHARE languages are counted and collected.
-    shares = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(r.lang for r in shares.filter(F.col("n") >= total * MIN_SHARE).select("lang").collect())
-    place = {x: i for i, x in enumerate(languages)}
+    names = sorted(r.lang for r in rows.select("lang").distinct().collect())
+    place = {x: i for i, x in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(place), SIZE), np.int64)
+        total, held = np.zeros((HELD, SIZE), np.int64), {}
+
+        def summed() -> pa.RecordBatch:
+            row, code = np.nonzero(total[: len(held)])
+            i = np.fromiter(held, np.int64, len(held))[row]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (i, code, total[row, code])], names=["i", "code", "n"])
+
         for batch, texts in slices(batches, "text"):
-            at = np.asarray([place[x] for x in batch.column("lang").to_pylist()])
-            for first, counts in _few(texts):
-                np.add.at(total, at[first : first + len(counts)], counts)
-        found = np.flatnonzero(total.sum(1))
-        salt = TaskContext.get().partitionId() % SALTS
-        cols = [pa.array(found), pa.array(np.full(len(found), salt)), pa.array([total[i].tobytes() for i in found], pa.binary())]
-        yield pa.RecordBatch.from_arrays(cols, names=["i", "salt", "v"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = np.sum([np.frombuffer(x, np.int64) for x in pdf.v], axis=0)
-        return pd.DataFrame({"i": pdf.i[:1], "salt": pdf.salt[:1], "v": [v.tobytes()]})
-
-    counts = np.zeros((len(languages), SIZE))
-    if languages:
-        schema = "i bigint, salt bigint, v binary"
-        summed = rows.filter(F.col("lang").isin(languages)).mapInArrow(run, schema).groupBy("i", "salt").applyInPandas(add, schema)
-        summed = summed.withColumn("salt", F.lit(0).cast("bigint")).groupBy("i").applyInPandas(add, schema)
-        for r in summed.collect():  # one row a language
-            counts[r.i] = np.frombuffer(r.v, np.int64)
+            at = [place[x] for x in batch.column("lang").to_pylist()]
+            for first, counts in _few(texts, min(HELD, 256)):
+                own = at[first : first + len(counts)]
+                if len(held.keys() | set(own)) > HELD:
+                    yield summed()
+                    total[:], held = 0, {}
+                for x in own:
+                    held.setdefault(x, len(held))
+                np.add.at(total, [held[x] for x in own], counts)
+        yield summed()
+
+    def together(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = np.zeros(SIZE, np.int64)
+        v[pdf.code] = pdf.n
+        return pd.DataFrame({"i": pdf.i[:1], "v": [v.tobytes()]})
+
+    found = {}
+    if names:
+        summed = rows.mapInArrow(run, "i bigint, code bigint, n bigint").groupBy("i", "code").agg(F.sum("n").alias("n"))
+        for r in summed.groupBy("i").applyInPandas(together, "i bigint, v binary").collect():  # one row a language
+            found[names[r.i]] = np.frombuffer(r.v, np.int64)
+    languages = sorted(found)  # those of blank texts alone have no model
+    counts = np.asarray([found[x] for x in languages], float).reshape(-1, SIZE)
     logp = np.log((counts + SMOOTH_TRIGRAM) / (counts.sum(1, keepdims=True) + SMOOTH_TRIGRAM * SIZE))
     return TextModel([*languages, UNKNOWN], np.vstack([logp, np.full((1, SIZE), -np.log(SIZE))]))
 
@@ -139,10 +146,18 @@ def address_levels(url: Column) -> list[tuple[str, Column]]:
     return [("suffix", F.substring_index(host, ".", -1)), ("domain", F.substring_index(host, ".", -2)), ("host", host)]
 
 
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
 def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    weights = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(weights, lambda w: w / F.aggregate(weights, F.lit(0.0), lambda s, x: s + x))
+    weights = _bound(F.array_max(logs), lambda top: F.transform(logs, lambda x: F.exp(x - top)))
+    return _bound(weights, lambda all_: _bound(_total(all_), lambda total: F.transform(all_, lambda w: w / total)))
 
 
 def _scored(df: DataFrame, model: TextModel, text: Column, declared: Column | None, levels: list[tuple[str, Column]], markup: bool, names: list[str]) -> DataFrame:
@@ -174,11 +189,15 @@ def _scored(df: DataFrame, model: TextModel, text: Column, declared: Column | No
 
 def _sums(df: DataFrame, keys: list[str], n: int, by: str, out: str) -> DataFrame:
     """Grouped sums of the array column ``by`` as the array ``out``."""
+    if n > WIDE:
+        one = df.select(*keys, F.posexplode(by).alias("i", "s")).groupBy(*keys, "i").agg(F.sum("s").alias("s"))
+        every = one.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("every"))
+        return every.select(*keys, F.transform("every", lambda x: x["s"]).alias(out))
     return df.groupBy(*keys).agg(*[F.sum(F.col(by)[i]).alias(f"s{i}") for i in range(n)]).select(*keys, F.array(*[f"s{i}" for i in range(n)]).alias(out))
 
 
-def _declared_logs(scored: DataFrame, languages: list[str]) -> Column:
-    """Map from declaration to log P(declaration | language), from sums over all rows."""
+def _declared_logs(scored: DataFrame, languages: list[str]) -> DataFrame:
+    """(__llm_said_of, __llm_said_logs): log P(declaration | language) by declaration, from sums over all rows."""
     n = len(languages)
     seen = np.zeros((n, n))
     for r in _sums(scored.filter("__llm_said <> ''"), ["__llm_said"], n, "__llm_text", "v").collect():  # one row a language
@@ -187,10 +206,8 @@ def _declared_logs(scored: DataFrame, languages: list[str]) -> Column:
     np.fill_diagonal(share, TRUST_DECLARED)
     share[:, -1] = 1 / max(n - 1, 1)
     p = (seen + SMOOTH_DECLARED * share) / (seen[:-1].sum(0) + SMOOTH_DECLARED)
-    entries: list[Column] = [F.lit(""), F.array(*[F.lit(0.0)] * n)]
-    for i, name in enumerate(languages[:-1]):
-        entries += [F.lit(name), F.array(*[F.lit(float(x)) for x in np.log(p[i])])]
-    return F.create_map(*entries)
+    entries = [("", [0.0] * n), *zip(languages[:-1], np.log(p[:-1]).tolist(), strict=True)]
+    return scored.sparkSession.createDataFrame(entries, "__llm_said_of string, __llm_said_logs array<double>")
 
 
 def identify(
@@ -240,7 +257,8 @@ def identify(
         out = out.withColumn(f"__llm_prior{depth}", _smoothed(left, prior))
         prior = F.col(f"__llm_prior{depth}")
     logs = F.zip_with("__llm_ll", prior, lambda a, p: a + F.log(p))
-    logs = F.zip_with(logs, F.element_at(said, F.col("__llm_said")), lambda a, b: a + b)
+    out = out.join(F.broadcast(said), F.col("__llm_said") == F.col("__llm_said_of"))  # one row a language
+    logs = F.zip_with(logs, "__llm_said_logs", lambda a, b: a + b)
     out = out.withColumn("__llm_post", _softmax(logs))
     languages = F.array(*[F.lit(x) for x in model.languages])
     best = F.element_at(languages, F.array_position("__llm_post", F.array_max("__llm_post")).cast("int"))
@@ -251,8 +269,7 @@ def identify(
 
 
 def _smoothed(counts: str, above: Column) -> Column:
-    total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
-    return F.zip_with(counts, above, lambda c, p: (c + SMOOTH_LEVEL * p) / (total + SMOOTH_LEVEL))
+    return _bound(_total(F.col(counts)), lambda total: F.zip_with(counts, above, lambda c, p: (c + SMOOTH_LEVEL * p) / (total + SMOOTH_LEVEL)))
 
 
 def identify_pages(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

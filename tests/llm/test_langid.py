@@ -112,3 +112,22 @@ def test_edge_rows(spark, model):
     assert nothing.languages == ["und"] and L.keep_known(df, nothing).count() == 0
     assert L.identify(df, model, F.col("text")).count() == len(rows)
     assert L.identify_pages(spark.createDataFrame([], "page_id long, url string, html string"), model).count() == 0
+
+
+def test_rare_and_many_languages_stay(spark, monkeypatch):
+    """A hot language and 70 rare ones, each with under 1/64 of the rows; tasks hold few languages at once."""
+    monkeypatch.setattr(L, "HELD", 9)
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in range(71):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(25)]
+        for _ in range(400 if n == 0 else 4):
+            rows.append((len(rows), " ".join(rng.choice(words, 40)), f"l{n:02d}", f"s{n % 3}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    model = L.fit(df)
+    assert model.languages == [*(f"l{n:02d}" for n in range(71)), "und"]
+    total = sum(L.trigrams([t.encode()])[0] for _, t, x, _ in rows if x == "l05")
+    assert model.logp[5] == pytest.approx(np.log((total + 0.5) / (total.sum() + 0.5 * L.SIZE)))
+    assert L.keep_known(df, model).count() == len(rows)
+    got = L.identify(df, model, F.col("text"), F.col("lang"), [("host", F.col("source"))])
+    assert got.filter(F.col("lang") == F.col("__llm_lang")).count() == len(rows)
