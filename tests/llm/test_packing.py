@@ -80,3 +80,15 @@ def test_edge_rows(spark):
     assert pack(df.filter(F.lit(False)), PATH).count() == 0
     with pytest.raises(ValueError):
         pack(df, PATH, max_len=1000)
+
+
+def test_unmodified_tokenizer_gives_the_same_ids_without_added_tokens():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    for text in (x for x in ODD if "<|endoftext|>" not in x):
+        assert np.frombuffer(Encoder(PATH).encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    text = "a <|endoftext|> b"  # the stated departure: an added token in a text is ordinary text
+    ids = np.frombuffer(Encoder(PATH).encode([text])[0], "<u4").tolist()
+    assert 50256 in t.encode(text, add_special_tokens=False).ids and 50256 not in ids
+    assert t.decode(ids, skip_special_tokens=False) == text
