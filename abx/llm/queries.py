@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abx.llm.merkle import ORACLE as MERKLE_ORACLE
 from abx.llm.mixing import ORACLE as MIXING_ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,10 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # A fifth of the transcripts is never learned from.
     return format_chats(table(spark, sf_dir, "conversations"), learn_from=id_mod(F.col("conv_id"), 5) != 0)
+
+
+@register("op13_merkle", MERKLE_ORACLE)
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.merkle import report
+
+    return report(table(spark, sf_dir, "documents"))
