@@ -28,10 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @register("op6_packing")
@@ -112,3 +112,10 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.merkle import report
 
     return report(table(spark, sf_dir, "documents"))
+
+
+@register("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.align import align
+
+    return align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
