@@ -69,6 +69,12 @@ class Words:
     def ids(self, text: str) -> np.ndarray:
         return self.encoder.ids(" " + text)
 
+    def spell(self, text: str, ids: np.ndarray) -> bytes:
+        """Bytes of the text's ids. Merges of bytes alone, without a normaliser, keep every byte."""
+        if self.encoder.fast is not None:
+            return b" " + text.encode()
+        return b"".join(map(self.bytes.__getitem__, ids.tolist()))
+
 
 _sides: dict[tuple[str, str], tuple[Words, Pieces]] = {}
 
@@ -87,8 +93,8 @@ def encode_pair(words: Words, pieces: Pieces, data: bytes) -> tuple[np.ndarray,
         return none, none
     text, whole = data.decode("utf-8", "replace"), b" " + data
     a, b = words.ids(text), pieces.ids(text)
-    spelled = (b"".join(map(side.bytes.__getitem__, ids.tolist())) for side, ids in ((words, a), (pieces, b)))
-    return (a, b) if all(s == whole for s in spelled) else (none, none)
+    ok = words.spell(text, a) == whole and b"".join(map(pieces.bytes.__getitem__, b.tolist())) == whole
+    return (a, b) if ok else (none, none)
 
 
 @dataclass
@@ -119,18 +125,23 @@ def coalesce(a: np.ndarray, b: np.ndarray, len_a: np.ndarray, len_b: np.ndarray,
     group = np.cumsum(breaks) - 1
     # The first token of a group is one of A, as A sorts first and all groups start on both sides.
     doc_of_group = docs_a[order[breaks]]
-    by_side = np.lexsort((side[order], group))
-    order, group = order[by_side], group[by_side]
-    follows = np.full(len(order), 3, np.int8)
-    new_group = group[1:] != group[:-1]
-    follows[:-1] = np.where(new_group, 2, side[order][1:] != side[order][:-1])
-    follows[:-1][new_group & (doc_of_group[group[1:]] != doc_of_group[group[:-1]])] = 3
+    group_of = np.empty(len(order), np.int64)
+    group_of[order] = group
+    of_a, of_b = group_of[: len(a)], group_of[len(a) :]
+    upto_a, upto_b = (np.cumsum(np.bincount(g, minlength=len(doc_of_group))) for g in (of_a, of_b))
+    # A token's place among all: after the other side's tokens of earlier groups, for B also of its own.
+    place = np.concatenate([np.arange(len(a)) + np.append(0, upto_b)[of_a], np.arange(len(b)) + upto_a[of_b]])
+    ids, follows = np.empty(len(order), np.int64), np.zeros(len(order), np.int8)
+    ids[place] = np.concatenate([a, b])
+    follows[upto_a + np.append(0, upto_b)[:-1] - 1] = 1
+    last_in_doc = np.append(doc_of_group[1:] != doc_of_group[:-1], True)[: len(doc_of_group)]
+    follows[upto_a + upto_b - 1] = np.where(last_in_doc, 3, 2)
     # A token of B overlaps the A tokens from the first that ends after its start to the last that starts before its end.
     first = np.searchsorted(end_a, start_b, side="right")
     count = np.searchsorted(start_a, end_b, side="left") - first
     link_b = np.repeat(np.arange(len(b)), count)
     link_a = np.arange(len(link_b)) + np.repeat(first - (np.cumsum(count) - count), count)
-    return Alignment(doc_of_group, np.concatenate([a, b])[order], follows, link_a, link_b)
+    return Alignment(doc_of_group, ids, follows, link_a, link_b)
 
 
 class Slice:

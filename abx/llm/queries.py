@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abx.llm.main_text import ORACLE as MAIN_TEXT_ORACLE
 from abx.llm.merkle import ORACLE as MERKLE_ORACLE
 from abx.llm.mixing import ORACLE as MIXING_ORACLE
 
@@ -109,7 +110,8 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op13_merkle", MERKLE_ORACLE)
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from abx.llm.merkle import report
+    from abx.llm.main_text import ORACLE as MAIN_TEXT_ORACLE
+from abx.llm.merkle import report
 
     return report(table(spark, sf_dir, "documents"))
 
@@ -119,3 +121,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abx.llm.align import align
 
     return align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+@register("op12_main_text", MAIN_TEXT_ORACLE)
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abx.llm.main_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
