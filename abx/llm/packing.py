@@ -7,6 +7,9 @@ documents, none is padded, and a training batch takes sequences of one bucket (e
 Pieces of a document need nothing from other documents, so the operator is one pass without a
 shuffle; ``write_buckets`` lays the sequences out by length.
 
+Ids are those of the tokenizer's plain ``encode(text, add_special_tokens=False)``: an added token that stands
+in a text is its one id.
+
 Defined results: a null or empty text is the end id alone (one piece of length 1); a null id passes
 through; repeated rows are packed once each; an empty table gives an empty result; extra columns
 are ignored.
@@ -14,83 +17,19 @@ are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from abx.llm.bpe import byte_bpe
 from abx.llm.common import slices
 
 MAX_LEN = 1024
 END_ID = 0
-# The per-worker cache of encoded parts keeps this many recent ones, and as many from before them.
-CACHE_PARTS = 300_000
-CACHE_PART_CHARS = 64
-
-# Characters that no tokenizer takes for white space, and the letters among them. A single space or
-# newline between two of them always starts a new pre-token, and so does what follows a run of
-# letters, so the text can be cut there without changing its ids.
-_SAFE = "!-~À-ɏ"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-_PIECES = re.compile(f" ?[{_LETTERS}]+| ?[{_SAFE}]+|\n(?=[{_SAFE}])")
-_CUTS = re.compile(f"(?<=[{_SAFE}])(?=[ \n][{_SAFE}])")
-
-_encoders: dict[str, "Encoder"] = {}
-
-
-def cut_words(text: str) -> list[str]:
-    """Parts of the text that are encoded alone; joined they are the text."""
-    parts = _PIECES.findall(text)
-    if sum(map(len, parts)) != len(text):
-        parts = _CUTS.split(text) if text else []
-    return parts
-
-
-class Encoder:
-    """Text to little-endian 32-bit ids, with the ids of recent parts kept in two generations."""
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-        ends = [0, *accumulate(4 * len(i) for i in ids)]
-        return [flat[a:b] for a, b in pairwise(ends)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [cut_words(t) for t in texts]
-        parts = set(chain.from_iterable(cut))
-        if len(self.known) > CACHE_PARTS:
-            self.before, self.known = self.known, {}
-        known, before = self.known, self.before
-        missing = [w for w in parts if w not in known]
-        known.update({w: before[w] for w in missing if w in before})
-        missing = [w for w in missing if w not in before]
-        known.update(zip(missing, self._encode_parts(missing), strict=True))
-        out = [b"".join(map(known.__getitem__, words)) for words in cut]
-        for w in missing:
-            if len(w) > CACHE_PART_CHARS:
-                del known[w]
-        return out
-
-
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
 
 
 def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
@@ -114,11 +53,11 @@ def pack(
     end = np.asarray([END_ID], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        encoder = byte_bpe(tokenizer_path, plain_special=False)
         for batch, texts in slices(batches, "text"):
             rows, starts, lengths, crcs, totals, ids = [], [], [], [], [], []
-            for row, data in enumerate(enc.encode([t.decode("utf-8", "replace") for t in texts])):
-                data += end
+            for row, text in enumerate(texts):
+                data = encoder.ids(text.decode("utf-8", "replace")).astype("<u4").tobytes() + end
                 total, start = len(data) // 4, 0
                 for length in piece_lengths(total, max_len):
                     piece = data[4 * start : 4 * (start + length)]

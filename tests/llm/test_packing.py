@@ -7,7 +7,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from abx.llm.packing import Encoder, cut_words, pack, piece_lengths
+from abx.llm.bpe import ByteBpe
+from abx.llm.packing import pack, piece_lengths
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "/root/testdata/sf0.001/documents.parquet"
@@ -18,7 +19,6 @@ def plain():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text, add_special_tokens=False).ids
 
 
@@ -30,16 +30,14 @@ ODD = [
 
 
 @pytest.mark.parametrize("text", ODD)
-def test_cut_words_keep_ids(plain, text):
-    assert "".join(cut_words(text)) == text
-    assert np.frombuffer(Encoder(PATH).encode([text])[0], "<u4").tolist() == plain(text)
+def test_ids_equal_plain_encoding(plain, text):
+    assert ByteBpe(PATH, plain_special=False).ids(text).tolist() == plain(text)
 
 
 def test_ids_of_documents_equal_plain_encoding(spark, plain):
-    enc = Encoder(PATH)
-    texts = [r[0] for r in spark.read.parquet(DOCS).select("text").collect()]
-    for t, ids in zip(texts, enc.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == plain(t)
+    enc = ByteBpe(PATH, plain_special=False)
+    for (t,) in spark.read.parquet(DOCS).select("text").collect():
+        assert enc.ids(t).tolist() == plain(t)
 
 
 def test_piece_lengths():
@@ -82,13 +80,8 @@ def test_edge_rows(spark):
         pack(df, PATH, max_len=1000)
 
 
-def test_unmodified_tokenizer_gives_the_same_ids_without_added_tokens():
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(PATH)
-    for text in (x for x in ODD if "<|endoftext|>" not in x):
-        assert np.frombuffer(Encoder(PATH).encode([text])[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
-    text = "a <|endoftext|> b"  # the stated departure: an added token in a text is ordinary text
-    ids = np.frombuffer(Encoder(PATH).encode([text])[0], "<u4").tolist()
-    assert 50256 in t.encode(text, add_special_tokens=False).ids and 50256 not in ids
-    assert t.decode(ids, skip_special_tokens=False) == text
+def test_added_token_in_a_text_is_one_id(spark, plain):
+    text = "a <|endoftext|> b<|endoftext|>"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ids = [i for r in sorted(pack(df, PATH).collect(), key=lambda r: r.start) for i in r.ids]
+    assert ids == plain(text) + [0] and ids.count(50256) == 2
