@@ -248,6 +248,37 @@ class ExperimentDAG:
             anchors, self.conversions, 0, n, self.cfg, pre_days=n, prefilter=self.checkpoint_stages
         )
 
+    @cached_property
+    def itt_anchors(self) -> DataFrame:
+        """(experiment_id, unit_id, variant_id, anchor_at): every canonical assignment from its time on."""
+        from pyspark.sql import functions as F
+
+        return self.canonical.select("experiment_id", "unit_id", "variant_id", F.col("assigned_at").alias("anchor_at"))
+
+    @cached_property
+    def times_to_event(self) -> DataFrame:
+        """Steps from assignment to the first conversion, censored at the last event seen."""
+        from pyspark.sql import functions as F
+
+        from abx.operators import survival
+
+        until = self.events.select(F.max("ts")).scalar()
+        return survival.time_to_event(self.itt_anchors, self.conversions, until)
+
+    @cached_property
+    def sessions(self) -> DataFrame:
+        from abx.operators import sessions
+
+        types = ("view", "click", "purchase")
+        return sessions.sessions(self.events, unit="user_id", at="ts", type_col="event_type", types=types)
+
+    @cached_property
+    def stitched_ids(self) -> DataFrame:
+        from abx.operators import identity
+
+        units = self.events.selectExpr("CAST(user_id AS STRING) AS unit_id")
+        return identity.stitched_ids(units, lens_mod.identity_links(self.events), max_units=lens_mod.MAX_DEVICE_UNITS)
+
     @cached_property
     def query_log(self) -> DataFrame:
         """Logged texts to audit: every conversation turn, id = conv_id:turn (whole texts)."""

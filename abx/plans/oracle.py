@@ -708,3 +708,110 @@ FROM spine s LEFT JOIN conv cv
   ON s.unit_id = cv.unit_id AND s.event_name = cv.event_name
  AND cv.occurred_at >= s.anchor_at AND cv.occurred_at < s.anchor_at + to_days(s.window_days)
 GROUP BY s.experiment_id, s.unit_id, s.variant_id, s.metric_id, s.kind, s.is_eligible"""
+
+# ---- time to event, sessions, identity, rollups ---------------------------------------------------
+CTES["times"] = """
+SELECT experiment_id, unit_id, variant_id, is_event,
+       CAST(floor((epoch_us(CASE WHEN is_event THEN next_at ELSE until END) - epoch_us(assigned_at)) / 3600000000.0)
+            AS BIGINT) AS steps
+FROM (SELECT c.experiment_id, c.unit_id, c.variant_id, c.assigned_at, u.until, min(v.occurred_at) AS next_at,
+             COALESCE(min(v.occurred_at) <= u.until, false) AS is_event
+      FROM canonical c CROSS JOIN (SELECT max(ts) AS until FROM events) u
+      LEFT JOIN conv v ON v.unit_id = c.unit_id AND v.occurred_at >= c.assigned_at
+      WHERE c.assigned_at <= u.until GROUP BY 1, 2, 3, 4, 5)"""
+
+CTES["event_table"] = """
+SELECT *, CAST(sum(events + censored) OVER (PARTITION BY experiment_id, variant_id ORDER BY steps DESC) AS BIGINT) AS at_risk
+FROM (SELECT experiment_id, variant_id, steps, CAST(count_if(is_event) AS BIGINT) AS events,
+             CAST(count_if(NOT is_event) AS BIGINT) AS censored FROM times GROUP BY 1, 2, 3)"""
+
+CTES["km"] = """
+SELECT experiment_id, variant_id, steps, at_risk, events, censored, survival,
+       CASE WHEN NOT none_left THEN survival * sqrt(greenwood) END AS std_error, cumulative_hazard
+FROM (SELECT *, product(1.0 - CAST(events AS DOUBLE) / at_risk) OVER w AS survival,
+             sum(CAST(events AS DOUBLE) / at_risk) OVER w AS cumulative_hazard,
+             sum(CASE WHEN at_risk > events THEN CAST(events AS DOUBLE) / (CAST(at_risk AS DOUBLE) * (at_risk - events))
+                 ELSE 0.0 END) OVER w AS greenwood,
+             bool_or(events = at_risk) OVER w AS none_left
+      FROM event_table WINDOW w AS (PARTITION BY experiment_id, variant_id ORDER BY steps))"""
+
+# At every time of either arm: units of an arm that are still observed then, counted directly.
+CTES["logrank"] = """
+SELECT experiment_id, variant_id, CAST(sum(e1) AS BIGINT) AS observed, sum(r1 * e / r) AS expected,
+       sum(CASE WHEN r > 1 THEN r1 * (r - r1) * e * (r - e) / (r * r * (r - 1.0)) ELSE 0.0 END) AS variance,
+       CAST(sum(e) AS DOUBLE) AS e_both
+FROM (SELECT p.experiment_id, p.variant_id, p.steps,
+             count_if(t.is_event AND t.steps = p.steps AND t.variant_id = p.variant_id) AS e1,
+             CAST(count_if(t.is_event AND t.steps = p.steps) AS DOUBLE) AS e,
+             CAST(count_if(t.variant_id = p.variant_id) AS DOUBLE) AS r1, CAST(count(*) AS DOUBLE) AS r
+      FROM (SELECT DISTINCT a.experiment_id, a.variant_id, b.steps
+            FROM (SELECT DISTINCT experiment_id, variant_id FROM times WHERE variant_id <> 'control') a
+            JOIN times b ON b.experiment_id = a.experiment_id AND b.variant_id IN (a.variant_id, 'control')) p
+      JOIN times t ON t.experiment_id = p.experiment_id AND t.variant_id IN (p.variant_id, 'control') AND t.steps >= p.steps
+      GROUP BY 1, 2, 3)
+WHERE experiment_id IN (SELECT experiment_id FROM times WHERE variant_id = 'control')
+GROUP BY 1, 2"""
+
+CTES["session_rows"] = """
+SELECT unit_id, session_no, ts, event_type FROM (
+  SELECT *, sum(is_new) OVER (PARTITION BY unit_id ORDER BY ts, event_id) AS session_no FROM (
+    SELECT user_id AS unit_id, event_id, ts, event_type,
+           CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS is_new
+    FROM events))"""
+
+CTES["sessions"] = """
+SELECT unit_id, CAST(session_no AS BIGINT) AS session_no, min(ts) AS started_at, max(ts) AS ended_at,
+       (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS duration_seconds, count(*) AS n_events,
+       CAST(count_if(event_type = 'view') AS BIGINT) AS n_view, CAST(count_if(event_type = 'click') AS BIGINT) AS n_click,
+       CAST(count_if(event_type = 'purchase') AS BIGINT) AS n_purchase
+FROM session_rows GROUP BY 1, 2"""
+
+CTES["session_metrics"] = f"""
+SELECT experiment_id, variant_id, count(*) AS n_units, CAST(count_if(n > 0) AS BIGINT) AS active_units,
+       CAST(sum(n) AS BIGINT) AS n_sessions, CAST(sum(n) AS DOUBLE) / count(*) AS sessions_per_unit,
+       CAST(sum(e) AS DOUBLE) / count(*) AS events_per_unit, sum(d) / NULLIF(sum(n), 0) AS avg_duration_seconds
+FROM (SELECT a.experiment_id, a.variant_id, a.unit_id, count(s.started_at) AS n, COALESCE(sum(s.n_events), 0) AS e,
+             sum(s.duration_seconds) AS d
+      FROM canonical a LEFT JOIN sessions s ON CAST(s.unit_id AS VARCHAR) = a.unit_id
+       AND s.started_at >= a.assigned_at AND s.started_at < a.assigned_at + {CONVDAYS} GROUP BY 1, 2, 3)
+GROUP BY 1, 2"""
+
+# Every unit with all it reaches over devices that few units share. DuckDB's recursion needs its own WITH.
+CTES["reached"] = """
+WITH RECURSIVE own AS (
+  SELECT DISTINCT unit_id, identifier FROM identity_links
+  WHERE identifier IN (SELECT identifier FROM identity_links GROUP BY 1 HAVING count(DISTINCT unit_id) <= 10)),
+walk AS (
+  SELECT DISTINCT CAST(user_id AS VARCHAR) AS a, CAST(user_id AS VARCHAR) AS b FROM events
+  UNION
+  SELECT w.a, y.unit_id FROM walk w JOIN own x ON x.unit_id = w.b JOIN own y ON y.identifier = x.identifier)
+SELECT a, b FROM walk"""
+
+CTES["stitched"] = """
+SELECT a AS unit_id, min(b) AS person_id, count(*) AS n_units FROM reached GROUP BY 1"""
+
+CTES["stitched_assignments"] = """
+SELECT experiment_id, person_id, unit_id, variant_id, assigned_at, n_units, n_variants, n_variants > 1 AS is_conflicted
+FROM (SELECT c.experiment_id, i.person_id, c.unit_id, c.variant_id, c.assigned_at,
+             count(*) OVER p AS n_units, (SELECT count(DISTINCT d.variant_id) FROM canonical d JOIN stitched j
+               ON j.unit_id = d.unit_id WHERE d.experiment_id = c.experiment_id AND j.person_id = i.person_id) AS n_variants,
+             row_number() OVER (PARTITION BY c.experiment_id, i.person_id
+                                ORDER BY c.assigned_at NULLS LAST, c.variant_id, c.unit_id) AS rn
+      FROM canonical c JOIN stitched i ON i.unit_id = c.unit_id
+      WINDOW p AS (PARTITION BY c.experiment_id, i.person_id)) WHERE rn = 1"""
+
+CTES["quality_rollup"] = f"""
+SELECT experiment_id, date_day, assigned_variant_id, CAST(GROUPING_ID(experiment_id, date_day, assigned_variant_id) AS BIGINT)
+         AS grouping_level, count(*) AS assigned_units,
+  {_sum_if('has_any_exposure')} AS exposed_units, {_sum_if('has_valid_exposure')} AS valid_exposed_units,
+  {_sum_if('is_variant_mismatch')} AS variant_mismatch_units,
+  {_sum_if('has_multiple_variations_exposed')} AS multi_variation_units,
+  {_sum_if('is_pre_assignment_exposure')} AS pre_assignment_units,
+  {_sum_if('exposure_outside_window')} AS outside_window_units,
+  {_rate(_sum_if('has_any_exposure'), 'count(*)')} AS exposure_rate,
+  {_rate(_sum_if('has_valid_exposure'), 'count(*)')} AS valid_exposure_rate,
+  {_rate(_sum_if('is_variant_mismatch'), _sum_if('has_any_exposure'))} AS mismatch_rate
+FROM (SELECT *, CAST(assigned_at AS DATE) AS date_day FROM validation_any)
+GROUP BY GROUPING SETS ((experiment_id, date_day, assigned_variant_id), (experiment_id, date_day),
+                        (experiment_id, assigned_variant_id), (experiment_id), (date_day), ())"""
+

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from abx.config import DEFAULT
 from abx.functions.util import round_doubles
+from abx.operators import asof as AS
 from abx.operators import assign, cohort, exposure, results
+from abx.operators import identity as ID
+from abx.operators import rollups as RO
+from abx.operators import sessions as SE
+from abx.operators import survival as SV
 from abx.plans import oracle as O
 from abx.plans.experiment import ExperimentDAG
 
@@ -959,3 +964,115 @@ def _metric_outcomes(d: ExperimentDAG) -> DataFrame:
     return _r9(
         OUT.metric_outcomes(X.metric_spine(d.cohort), d.conversions, d.cfg, prefilter=d.checkpoint_stages)
     )
+
+
+# ---- time to event, sessions, identity, rollups ----------------------------------------------
+@register(
+    "first_match_after",
+    """SELECT c.experiment_id, c.unit_id, c.variant_id, c.assigned_at AS anchor_at, min(v.occurred_at) AS next_at
+       FROM canonical c LEFT JOIN conv v ON v.unit_id = c.unit_id AND v.occurred_at >= c.assigned_at GROUP BY ALL""",
+)
+def _first_match(d: ExperimentDAG) -> DataFrame:
+    """Each canonical assignment with the unit's next conversion, however late."""
+    return AS.first_match_after(d.itt_anchors, d.conversions)
+
+
+@register(
+    "window_outcomes_carry",
+    f"""SELECT c.experiment_id, c.unit_id, c.variant_id, c.assigned_at AS anchor_at, min(v.occurred_at) AS first_at,
+               count(v.occurred_at) AS n_events,
+               round(CAST(sum(CAST(v.revenue AS DECIMAL(38, 10))) AS DOUBLE), 9) AS revenue
+        FROM canonical c LEFT JOIN conv v ON v.unit_id = c.unit_id AND v.occurred_at >= c.assigned_at
+         AND v.occurred_at < c.assigned_at + {O.CONVDAYS} GROUP BY 1, 2, 3, 4""",
+)
+def _window_carry(d: ExperimentDAG) -> DataFrame:
+    """Windowed outcomes of every assignment without spreading anchors over days."""
+    return _r9(AS.window_outcomes(d.itt_anchors, d.conversions, 0, d.cfg.conversion_window_days, d.cfg))
+
+
+_KM = ["experiment_id", "variant_id", "steps", "at_risk", "events", "censored"]
+
+
+@register("survival_curve", O.round9(["survival", "std_error", "cumulative_hazard"], "km", _KM))
+def _survival_curve(d: ExperimentDAG) -> DataFrame:
+    return _r9(SV.survival_curve(d.times_to_event))
+
+
+@register(
+    "survival_summary",
+    """SELECT experiment_id, variant_id, max(at_risk) AS n_units, CAST(sum(events) AS BIGINT) AS n_events,
+              min(CASE WHEN survival <= 0.5 THEN steps END) AS median_steps, max(steps) AS last_steps,
+              round(min(survival), 9) AS last_survival FROM km GROUP BY 1, 2""",
+)
+def _survival_summary(d: ExperimentDAG) -> DataFrame:
+    return _r9(SV.survival_summary(d.times_to_event))
+
+
+_CHI = "(power(observed - expected, 2) / NULLIF(variance, 0))"
+
+
+@register(
+    "logrank_test",
+    f"""SELECT experiment_id, variant_id, observed, round(expected, 9) AS expected, round(variance, 9) AS variance,
+               round({_CHI}, 9) AS chi_square, round({O._p_exact(f"sqrt({_CHI})")}, 9) AS p_value,
+               round(observed * (e_both - expected) / NULLIF((e_both - observed) * expected, 0), 9) AS hazard_ratio FROM logrank""",
+)
+def _logrank(d: ExperimentDAG) -> DataFrame:
+    return _r9(SV.logrank_test(d.times_to_event, d.cfg))
+
+
+_SESSION = ["unit_id", "session_no", "started_at", "ended_at", "n_events", "n_view", "n_click", "n_purchase"]
+
+
+@register("sessions", O.round9(["duration_seconds"], "sessions", _SESSION))
+def _sessions(d: ExperimentDAG) -> DataFrame:
+    return _r9(d.sessions)
+
+
+_SM = ["experiment_id", "variant_id", "n_units", "active_units", "n_sessions"]
+
+
+@register(
+    "session_metrics", O.round9(["sessions_per_unit", "events_per_unit", "avg_duration_seconds"], "session_metrics", _SM)
+)
+def _session_metrics(d: ExperimentDAG) -> DataFrame:
+    own = d.sessions.withColumn("unit_id", F.col("unit_id").cast("string"))
+    return _r9(SE.session_metrics(d.canonical, own, d.cfg))
+
+
+@register("stitched_ids", "SELECT unit_id, person_id, n_units FROM stitched")
+def _stitched_ids(d: ExperimentDAG) -> DataFrame:
+    """The person of every unit, tied by devices that few units share."""
+    return d.stitched_ids
+
+
+@register(
+    "stitched_assignments",
+    "SELECT experiment_id, person_id, unit_id, variant_id, assigned_at, n_units, n_variants, is_conflicted "
+    "FROM stitched_assignments",
+)
+def _stitched_assignments(d: ExperimentDAG) -> DataFrame:
+    return ID.stitched_assignments(d.canonical, d.stitched_ids)
+
+
+_ROLL = ["experiment_id", "date_day", "assigned_variant_id", "grouping_level", "assigned_units", "exposed_units",
+         "valid_exposed_units", "variant_mismatch_units", "multi_variation_units", "pre_assignment_units",
+         "outside_window_units"]
+
+
+@register("quality_rollup", O.round9(["exposure_rate", "valid_exposure_rate", "mismatch_rate"], "quality_rollup", _ROLL))
+def _quality_rollup(d: ExperimentDAG) -> DataFrame:
+    return _r9(RO.quality_rollup(d.validation_any))
+
+
+@register(
+    "sketch_accuracy",
+    """SELECT experiment_id, count(DISTINCT unit_id) AS exact_units,
+              count(DISTINCT CASE WHEN NOT has_any_exposure THEN unit_id END) AS exact_unexposed,
+              count(CASE WHEN has_any_exposure THEN exposure_delay_seconds END) AS n_delays,
+              true AS units_within, true AS theta_within, true AS unexposed_within, true AS quantiles_within
+       FROM validation_any GROUP BY 1""",
+)
+def _sketch_accuracy(d: ExperimentDAG) -> DataFrame:
+    """Stored daily sketches merged over all days, beside exact counts."""
+    return RO.sketch_accuracy(d.validation_any, RO.daily_sketches(d.validation_any))

@@ -10,6 +10,7 @@ The testdata holds no experiment tables; they derive deterministically from ``ev
 - assignments      ``signup`` events (repeats exercise canonicalization)
 - exposures        every ``view``/``click`` event; the other variant if k >= 84
 - conversions      every ``purchase`` event; revenue = value
+- identity links   ``error`` events with k >= 75 name the device they happened on; k = 99 is a shared one
 
 Every table is a lazy projection + pushed-down filter of one ``events`` scan, so its work grows
 with ``events``. ``LENS_CTES`` is the same derivation in ANSI SQL for the DuckDB oracle.
@@ -34,6 +35,13 @@ EXPOSURE_EVENTS = ("view", "click")
 CONVERSION_EVENT = "purchase"
 MISMATCH_MIN_K = 84
 EXPOSURE_EVENT_NAME = "experiment_exposed"
+LINK_EVENT = "error"
+LINK_MIN_K = 75
+LINK_SHARED_K = 99
+LINK_BLOCK = 5
+LINK_DEVICES = 24
+# A device that more units use is shared and tells no one apart.
+MAX_DEVICE_UNITS = 10
 
 
 # A props string that is exactly one flat integer field, e.g. {"k": 69}. For that shape the
@@ -134,6 +142,16 @@ def _conversion_rows(events: DataFrame) -> DataFrame:
     )
 
 
+def identity_links(events: DataFrame) -> DataFrame:
+    """(unit_id, identifier): the device that a unit's error report names. Units of a block of five, and of two
+    neighbouring blocks, may share one of its devices; one device is open to all."""
+    ev = events.filter(F.col("event_type") == F.lit(LINK_EVENT)).select("user_id", _k().alias("k"))
+    block = F.floor((F.col("user_id") + F.col("k") % 2) / F.lit(LINK_BLOCK)).cast("string")
+    own = F.concat(F.lit("device_"), block, F.lit("_"), (F.col("k") % LINK_DEVICES).cast("string"))
+    device = F.when(F.col("k") == LINK_SHARED_K, F.lit("device_shared")).otherwise(own)
+    return ev.filter(F.col("k") >= LINK_MIN_K).select(F.col("user_id").cast("string").alias("unit_id"), device.alias("identifier"))
+
+
 def event_feed(events: DataFrame) -> DataFrame:
     """A warehouse-style event feed: exposure and conversion rows with an attribute bag.
 
@@ -228,6 +246,11 @@ LENS_CTES = {
         "ts AS occurred_at, value AS revenue, props FROM events "
         "WHERE event_type = 'purchase'"
     ),
+    "identity_links": (
+        "SELECT unit_id, CASE WHEN k = 99 THEN 'device_shared' ELSE 'device_' || "
+        "CAST((CAST(unit_id AS BIGINT) + k % 2) // 5 AS VARCHAR) || '_' || CAST(k % 24 AS VARCHAR) END AS identifier "
+        "FROM lens_keyed WHERE event_type = 'error' AND k >= 75"
+    ),
 }
 
 
