@@ -133,9 +133,12 @@ def experiment_quality_report(
     outcome_grain: DataFrame,
     min_sample: DataFrame,
     dt: str,
+    blocking: tuple[str, ...] = GUARDS,
 ) -> DataFrame:
     """One row per experiment x dt: is_valid_for_analysis, failed_guardrails, warnings, diagnostics.
 
+    Guards of ``blocking`` decide whether an experiment is valid; the others that fail are warnings.
+
     The guard outputs (one row per experiment each) are stacked by name and folded with one
     ``groupBy(experiment_id)``: a single small shuffle instead of a chain of joins. Rows cover the
     experiments of ``experiments`` and of any guard; a guard without a row for an experiment
@@ -166,15 +169,21 @@ def experiment_quality_report(
     def fail(name: str):
         return F.when(~F.coalesce(F.col(f"{name}_passed"), F.lit(True)), F.lit(name))
 
-    failed = F.array_compact(F.array(*[fail(g) for g in GUARDS]))
+    unknown = sorted(set(blocking) - set(GUARDS))
+    if unknown:
+        raise ValueError(f"Unknown guardrails: {unknown}")
+    failed = F.array_compact(F.array(*[fail(g) for g in GUARDS if g in blocking]))
     warnings = F.array_compact(
-        F.array(F.when(F.coalesce(F.col("min_sample_warning"), F.lit(False)), F.lit("min_sample")))
+        F.array(
+            *[fail(g) for g in GUARDS if g not in blocking],
+            F.when(F.coalesce(F.col("min_sample_warning"), F.lit(False)), F.lit("min_sample")),
+        )
     )
     return r.select(
         "experiment_id",
         F.to_date(F.lit(dt)).alias("dt"),
         (F.size(failed) == 0).alias("is_valid_for_analysis"),
-        failed.alias("failed_guardrails"),
+        failed.cast("array<string>").alias("failed_guardrails"),
         warnings.alias("warnings"),
         "assignment_duplicates_count",
         "variant_allocation_deviation_pct",

@@ -5,6 +5,7 @@
         [--gold data/gold] [--max_days_after_assignment 7] [--pre_assignment_grace_minutes 5]
     python -m abx.plans.cli results --dt 2026-02-01 [--in data/raw] [--silver data/silver] [--gold data/gold]
         [--anchor assignment|exposure] [--conversion_window_days 7]
+    python -m abx.plans.cli catch-up [--in data/raw] [--silver data/silver] [--gold data/gold]
 
 The session comes from the environment (``spark-submit`` / cluster config); cluster defaults are
 applied only where unset, and the checkpoint folder is read from ``spark.checkpoint.dir``.
@@ -17,7 +18,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from abx.config import ExperimentConfig
-from abx.plans import jobs
+from abx.plans import backfill, jobs
 from abx.session import apply_cluster_defaults
 
 
@@ -42,6 +43,10 @@ def parse_args(argv=None) -> argparse.Namespace:
     r.add_argument("--gold", dest="gold_path", default="data/gold")
     r.add_argument("--anchor", choices=("assignment", "exposure"), default="assignment")
     r.add_argument("--conversion_window_days", type=int, default=7)
+    c = sub.add_parser("catch-up", help="rebuild the days that late or corrected raw data changes")
+    c.add_argument("--in", dest="in_path", default="data/raw")
+    c.add_argument("--silver", dest="silver_path", default="data/silver")
+    c.add_argument("--gold", dest="gold_path", default="data/gold")
     return p.parse_args(argv)
 
 
@@ -54,7 +59,12 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif args.job == "results":
         cfg = ExperimentConfig(conversion_window_days=args.conversion_window_days)
         conv = jobs.read_conversions(spark, args.in_path, cfg)
-        jobs.build_results(spark, args.silver_path, args.gold_path, conv, args.dt, cfg, anchor=args.anchor)
+        jobs.build_results(
+            spark, args.silver_path, args.gold_path, conv, args.dt, cfg, anchor=args.anchor, raw_base=args.in_path
+        )
+    elif args.job == "catch-up":
+        for dt in backfill.catch_up(spark, args.in_path, args.silver_path, args.gold_path):
+            print(dt)
     else:
         cfg = ExperimentConfig(
             max_days_after_assignment=args.max_days_after_assignment,

@@ -46,6 +46,10 @@ class ExperimentDAG:
         report folds many guards over them, and each is built once."""
         return ExperimentDAG(self.spark, self.sf_dir, self.cfg, checkpoint_stages=True, as_of=dt)
 
+    def once(self) -> ExperimentDAG:
+        """The same stages with the shared ones checkpointed, for queries that read many of them."""
+        return ExperimentDAG(self.spark, self.sf_dir, self.cfg, checkpoint_stages=True, as_of=self.as_of)
+
     def _cut(self, df: DataFrame) -> DataFrame:
         return cut_lineage(df) if self.checkpoint_stages else df
 
@@ -96,7 +100,7 @@ class ExperimentDAG:
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return exposure.dedupe_exposures(self.staged)
+        return self._cut(exposure.dedupe_exposures(self.staged))
 
     @cached_property
     def validation(self) -> DataFrame:
@@ -142,6 +146,30 @@ class ExperimentDAG:
             self.cohort, self.conversions, self.cfg, "assignment", prefilter=self.checkpoint_stages
         )
 
+    @cached_property
+    def outcomes_from_start(self) -> DataFrame:
+        """Outcomes from the assignment on, with the analysis start: the first exposure, else the assignment. A unit
+        that converts before it is exposed breaks their order."""
+        from pyspark.sql import functions as F
+
+        itt = outcomes.conversion_outcomes(
+            self.cohort, self.conversions, self.cfg, "assignment", ("first_exposure_at",), prefilter=self.checkpoint_stages
+        )
+        return itt.withColumn("analysis_start_at", F.coalesce("first_exposure_at", "anchor_at"))
+
+    @cached_property
+    def outcomes_of_raw(self) -> DataFrame:
+        """Outcomes of every raw assignment, as a job without canonical assignments writes them: a unit assigned again
+        has a row each time."""
+        from pyspark.sql import functions as F
+
+        rows = self.raw_assignments.select(
+            "experiment_id", "unit_id", "variant_id", F.col("assigned_at").alias("anchor_at")
+        ).distinct()
+        key = ("experiment_id", "unit_id", "variant_id", "anchor_at")
+        n = int(self.cfg.conversion_window_days)
+        return outcomes.window_outcomes(rows, self.conversions, 0, n, self.cfg, key=key)
+
     @cached_property
     def unit_outcomes(self) -> DataFrame:
         return outcomes.unit_outcomes(
@@ -151,11 +179,11 @@ class ExperimentDAG:
     # ---- results -------------------------------------------------------------------------
     @cached_property
     def metric_by_variant(self) -> DataFrame:
-        return results.metric_by_variant(self.outcomes_exposed)
+        return self._cut(results.metric_by_variant(self.outcomes_exposed))
 
     @cached_property
     def results(self) -> DataFrame:
-        return results.results(self.metric_by_variant, self.cfg)
+        return self._cut(results.results(self.metric_by_variant, self.cfg))
 
     @cached_property
     def metric_by_variant_rounded(self) -> DataFrame:
@@ -177,8 +205,8 @@ class ExperimentDAG:
             "assignment_unique": G.guard_assignment_unique(self.raw_assignments),
             "srm": G.guard_srm(self.canonical, self.dim_variant, self.cfg),
             "exposure_order": G.guard_exposure_order(self.validation),
-            "outcome_order": G.guard_outcome_order(self.outcomes_exposed, "anchor_at"),
-            "outcome_grain": G.guard_outcome_grain(self.unit_outcomes),
+            "outcome_order": G.guard_outcome_order(self.outcomes_from_start),
+            "outcome_grain": G.guard_outcome_grain(self.outcomes_of_raw),
             "min_sample": G.guard_min_sample(self.canonical, self.dim_variant, self.cfg),
         }
 
@@ -214,12 +242,13 @@ class ExperimentDAG:
             "min_sample": G.guard_min_sample(units, self.dim_variant, self.cfg),
         }
 
-    def quality_report(self, dt: str, valid_only: bool = False) -> DataFrame:
-        """One row per experiment from the guards over what was known by the end of day ``dt``."""
+    def quality_report(self, dt: str, valid_only: bool = False, blocking: tuple[str, ...] | None = None) -> DataFrame:
+        """One row per experiment from the guards over what was known by the end of day ``dt``; ``blocking``
+        names those that stop an experiment (all if not given)."""
         from abx.operators import guardrails as G
 
         if self.as_of != dt:
-            return self.at(dt).quality_report(dt, valid_only)
+            return self.at(dt).quality_report(dt, valid_only, blocking)
         g = self.guards_valid() if valid_only else self.guards()
         return G.experiment_quality_report(
             self.dim_experiment,
@@ -230,6 +259,7 @@ class ExperimentDAG:
             g["outcome_grain"],
             g["min_sample"],
             dt,
+            G.GUARDS if blocking is None else blocking,
         )
 
     # ---- extensions --------------------------------------------------------------------------

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +119,7 @@ def build_results(
     dt: str,
     cfg: ExperimentConfig = DEFAULT,
     anchor: str = "assignment",
+    raw_base: str | None = None,
 ) -> None:
     """Outcomes for the day's cohort, then metrics and results (tiny tables) into gold.
 
@@ -138,32 +140,59 @@ def build_results(
     units = read_day(spark, gold_base, "fct_experiment_unit_outcomes", dt)
     mbv = results.metric_by_variant(out)
     write_day(results.results(mbv, cfg), gold_base, "fct_experiment_results", dt=dt)
-    report = quality_report(spark, silver_base, out, units, validation, dt, cfg)
+    report = quality_report(spark, silver_base, gold_base, dt, cfg, raw_base)
     write_day(report, gold_base, "fct_experiment_quality_report", dt=dt)
     report = read_day(spark, gold_base, "fct_experiment_quality_report", dt)
     table = read_day(spark, gold_base, "fct_experiment_results", dt).drop("dt")
     write_day(guardrails.gated_results(table, report), gold_base, "fct_experiment_results_gated", dt=dt)
 
 
+def planned_variants(spark: SparkSession, raw_base: str | None, experiments: DataFrame) -> DataFrame:
+    """The variant dimension of the raw layer (its last day of each arm), and the default two arms for experiments that it
+    does not know."""
+    default = assign.experiment_variants(experiments)
+    if raw_base is None:
+        return default
+    path = f"{raw_base.rstrip('/')}/dim_experiment_variant"
+    try:
+        dim = spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return default
+    day = F.col("dt") if "dt" in dim.columns else F.lit(None)
+    last = F.max(F.struct(day.cast("string").alias("dt"), F.col("allocation_pct").cast("double").alias("allocation_pct")))
+    plan = dim.groupBy("experiment_id", "variant_id").agg(last["allocation_pct"].alias("allocation_pct"))
+    rest = default.join(plan.select("experiment_id").distinct(), "experiment_id", "left_anti")
+    return plan.unionByName(rest.select("experiment_id", "variant_id", "allocation_pct"))
+
+
 def quality_report(
     spark: SparkSession,
     silver_base: str,
-    out: DataFrame,
-    units: DataFrame,
-    validation: DataFrame,
+    gold_base: str,
     dt: str,
     cfg: ExperimentConfig = DEFAULT,
+    raw_base: str | None = None,
 ) -> DataFrame:
-    """Guards over the day's written tables; both anchors of an outcome are in ``out`` and ``units``."""
-    canonical = read_day(spark, silver_base, "fact_assignment_canonical", dt)
+    """Guards over all cohorts up to day ``dt``, from the written tables: repeats in the raw assignments (in the
+    canonical ones where no raw layer is given), arms against the planned shares, first exposures and outcomes against the
+    analysis start (first exposure after assignment, else assignment), and repeated outcome rows over all days."""
+    canonical = read_days(spark, silver_base, "fact_assignment_canonical", None, dt)
+    validation = read_days(spark, silver_base, "int_experiment_exposure_validation", None, dt)
+    out = read_days(spark, gold_base, "int_experiment_metric_outcomes", None, dt)
+    units = read_days(spark, gold_base, "fct_experiment_unit_outcomes", None, dt)
+    raw = canonical if raw_base is None else normalize(read_days(spark, raw_base, "fact_assignment", None, dt))
     experiments = canonical.select("experiment_id").distinct()
-    arms = assign.experiment_variants(experiments)
+    arms = planned_variants(spark, raw_base, experiments)
+    # A unit has one start, so the outcome rows of a unit stay as many as they are.
+    start = units.groupBy(*assign.KEY).agg(F.min("anchor_at").alias("analysis_start_at"))
     return guardrails.experiment_quality_report(
         experiments,
-        guardrails.guard_assignment_unique(canonical),
+        guardrails.guard_assignment_unique(raw),
         guardrails.guard_srm(canonical, arms, cfg),
         guardrails.guard_exposure_order(validation),
-        guardrails.guard_outcome_order(out, "anchor_at"),
+        guardrails.guard_outcome_order(out.join(start, list(assign.KEY))),
         guardrails.guard_outcome_grain(units),
         guardrails.guard_min_sample(canonical, arms, cfg),
         dt,
@@ -203,7 +232,7 @@ def run_day(
 ) -> None:
     build_assignments(spark, raw_base, silver_base, dt)
     build_exposure_validation(spark, raw_base, silver_base, gold_base, dt, cfg)
-    build_results(spark, silver_base, gold_base, conversions, dt, cfg)
+    build_results(spark, silver_base, gold_base, conversions, dt, cfg, raw_base=raw_base)
 
 
 def run_reports(spark: SparkSession, data_dir: str, out_base: str, names=None) -> list[str]:

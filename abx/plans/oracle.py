@@ -460,9 +460,15 @@ SELECT experiment_id, {_sum_if('first_exposure_any_at < assigned_at')} AS exposu
 FROM validation GROUP BY 1"""
 
 CTES["g_outcome_order"] = f"""
+SELECT o.experiment_id, {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')}
+         AS outcomes_before_analysis_start_count,
+       {_sum_if('o.converted_at < COALESCE(c.first_exposure_at, c.assigned_at)')} = 0 AS outcome_order_passed
+FROM outcomes_itt o JOIN cohort c ON c.experiment_id = o.experiment_id AND c.unit_id = o.unit_id GROUP BY 1"""
+
+CTES["g_outcome_order_valid"] = f"""
 SELECT experiment_id, {_sum_if('converted_at < anchor_at')} AS outcomes_before_analysis_start_count,
        {_sum_if('converted_at < anchor_at')} = 0 AS outcome_order_passed
-FROM outcomes_exposed GROUP BY 1"""
+FROM outcomes_exposed_valid GROUP BY 1"""
 
 CTES["unit_outcomes"] = f"""
 SELECT experiment_id, unit_id, variant_id, anchor_at, anchor_type, 7 AS window_days,
@@ -478,10 +484,12 @@ FROM (
        AND cv.occurred_at < COALESCE(c.first_exposure_at, c.assigned_at) + {CONVDAYS}
   GROUP BY 1, 2, 3, 4, 5)"""
 
+CTES["raw_outcome_rows"] = "SELECT DISTINCT experiment_id, unit_id, variant_id, assigned_at FROM raw_assignments"
+
 CTES["g_outcome_grain"] = """
 SELECT experiment_id, CAST(COALESCE(sum(c - 1), 0) AS BIGINT) AS duplicate_outcome_rows_count,
        COALESCE(sum(c - 1), 0) = 0 AS outcome_grain_passed
-FROM (SELECT experiment_id, unit_id, count(*) AS c FROM unit_outcomes GROUP BY 1, 2) GROUP BY 1"""
+FROM (SELECT experiment_id, unit_id, count(*) AS c FROM raw_outcome_rows GROUP BY 1, 2) GROUP BY 1"""
 
 CTES["g_min_sample"] = """
 SELECT experiment_id, min(observed) AS min_users_per_variant, max(observed) AS max_users_per_variant,
@@ -532,8 +540,7 @@ _TWINS = {
     "srm1": {"srm_arms": "srm_arms_valid"},
     "srm": {"srm1": "srm1_valid"},
     "g_exposure_order": {"validation": "validation_valid"},
-    "g_outcome_order": {"outcomes_exposed": "outcomes_exposed_valid"},
-    "g_outcome_grain": {"unit_outcomes": "unit_outcomes_valid"},
+    "g_outcome_grain": {"raw_outcome_rows": "unit_outcomes_valid"},
     "g_min_sample": {"srm_arms": "srm_arms_valid"},
     "quality_report": {
         t: f"{t}_valid" for t in ("g_assign", "srm", "g_exposure_order", "g_outcome_order", "g_outcome_grain", "g_min_sample")

@@ -531,6 +531,7 @@ def _nn_sql(table: str, prefix: str, cols: list[str]) -> str:
     ),
 )
 def _contract_not_null(d: ExperimentDAG) -> DataFrame:
+    d = d.once()
     marts = {
         "cohort": d.cohort,
         "mbv": d.metric_by_variant,
@@ -600,6 +601,7 @@ _UNIQUE = [
     ),
 )
 def _contract_unique(d: ExperimentDAG) -> DataFrame:
+    d = d.once()
     tables = {
         "canonical": d.canonical,
         "validation": d.validation,
@@ -774,7 +776,8 @@ def _g_exposure_order(d: ExperimentDAG) -> DataFrame:
     "SELECT experiment_id, outcomes_before_analysis_start_count, outcome_order_passed FROM g_outcome_order",
 )
 def _g_outcome_order(d: ExperimentDAG) -> DataFrame:
-    return GR.guard_outcome_order(d.outcomes_exposed, "anchor_at")
+    """Conversions of the intent-to-treat window that come before the unit's first exposure."""
+    return GR.guard_outcome_order(d.outcomes_from_start)
 
 
 @register(
@@ -782,7 +785,8 @@ def _g_outcome_order(d: ExperimentDAG) -> DataFrame:
     "SELECT experiment_id, duplicate_outcome_rows_count, outcome_grain_passed FROM g_outcome_grain",
 )
 def _g_outcome_grain(d: ExperimentDAG) -> DataFrame:
-    return GR.guard_outcome_grain(d.unit_outcomes)
+    """Outcome rows beyond one a unit, over the outcomes of raw assignments."""
+    return GR.guard_outcome_grain(d.outcomes_of_raw)
 
 
 @register(
@@ -824,13 +828,25 @@ def _gated_valid(d: ExperimentDAG) -> DataFrame:
     return _r9(GR.gated_results(now.results_valid.select(*_RES), now.quality_report(REPORT_DT, valid_only=True)))
 
 
+@register(
+    "gated_results_srm",
+    O.round9(_RES_D, "results", [c for c in _RES if c not in _RES_D])
+    + " WHERE experiment_id IN (SELECT experiment_id FROM quality_report WHERE NOT list_contains(failed_guardrails, 'srm'))",
+)
+def _gated_srm(d: ExperimentDAG) -> DataFrame:
+    """The gate over the same unfiltered input where sample-ratio mismatch alone stops an experiment."""
+    now = d.at(REPORT_DT)
+    return _r9(GR.gated_results(now.results.select(*_RES), now.quality_report(REPORT_DT, blocking=("srm",))))
+
+
 def _as_of(name: str) -> None:
     """Let the query's SQL see the events up to the end of the report day only."""
     seen = f"FROM (SELECT * FROM events WHERE ts < TIMESTAMP '{REPORT_DT}' + INTERVAL 1 DAY) events"
     ORACLES[name] = ORACLES[name].replace("FROM events", seen)
 
 
-for _name in ("experiment_quality_report", "experiment_quality_report_valid", "gated_results", "gated_results_valid"):
+for _name in ("experiment_quality_report", "experiment_quality_report_valid", "gated_results", "gated_results_valid",
+              "gated_results_srm"):
     _as_of(_name)
 
 

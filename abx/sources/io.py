@@ -1,7 +1,7 @@
 """Readers and writers.
 
 - ``read_table``       one Parquet table of a data folder (columnar scan; pruning/pushdown by Catalyst)
-- ``read_day``         one ``dt=YYYY-MM-DD`` partition of a partitioned table (partition pruning)
+- ``read_day``         one ``dt=YYYY-MM-DD`` folder of a partitioned table
 - ``read_seed_csv``    CSV seed with a declared schema (no inference)
 - ``write_day``        idempotent overwrite of one day (also by an empty result), or of the days present
 - ``materialize``      table or temp view
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,10 +23,17 @@ def read_table(spark: SparkSession, base: str, name: str, schema: StructType | N
 
 
 def read_day(spark: SparkSession, base: str, table: str, dt: str, schema: StructType | None = None) -> DataFrame:
-    """Read a ``partitionBy("dt")`` table and keep one day; the predicate prunes directories."""
+    """One day of a ``partitionBy("dt")`` table: only its own folder is listed and opened. A day that has no
+    folder, or no file in it, is an empty table with the columns of the others."""
+    path = f"{base.rstrip('/')}/{table}"
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.option("basePath", path).parquet(f"{path}/dt={dt}")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.option("basePath", f"{base.rstrip('/')}/{table}").parquet(f"{base.rstrip('/')}/{table}")
-    return df.where(F.col("dt") == F.lit(dt))
+    return reader.option("basePath", path).parquet(path).where(F.col("dt") == F.lit(dt))
 
 
 def read_days(spark: SparkSession, base: str, table: str, first: str | None, last: str | None) -> DataFrame:

@@ -20,4 +20,4 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(d)
     assert d["unit"] == "sec" and set(d["queries"]) == {"experiment_variants", "canonical_assignments"}
-    assert d["exchanges"]["canonical_assignments"] >= 1
+    assert d["exchanges"]["canonical_assignments"] >= 1 and d["jobs"]["canonical_assignments"] >= 1
