@@ -144,7 +144,7 @@ def test_fast_ids_equal_the_library():
     tok.encode_special_tokens = True
     fast = ByteBpe(A, plain_special=True)
     assert fast.fast is not None
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    points = [c for c in range(0x32000) if not 0xD800 <= c < 0xE000]  # all planes with letters
     texts = ["".join(f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 .{chr(c)}. " for c in points[i : i + 512]) for i in range(0, len(points), 512)]
     texts += [t for t in TEXTS if t]
     want = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
