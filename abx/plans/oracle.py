@@ -822,3 +822,65 @@ FROM (SELECT *, CAST(assigned_at AS DATE) AS date_day FROM validation_any)
 GROUP BY GROUPING SETS ((experiment_id, date_day, assigned_variant_id), (experiment_id, date_day),
                         (experiment_id, assigned_variant_id), (experiment_id), (date_day), ())"""
 
+# ---- resampling, versions, attribute bags ---------------------------------------------------------
+CTES["poisson_cuts"] = """
+SELECT * FROM (SELECT round(65536 * sum(exp(-1) / factorial(CAST(k AS INTEGER))) OVER (ORDER BY k)) AS cut FROM range(0, 15) r(k)) WHERE cut < 65536"""
+
+CTES["boot_weights"] = """
+SELECT unit_id, b * 8 + i + 1 AS replicate,
+       (SELECT count(*) FROM poisson_cuts WHERE cut <= CAST('0x' || substr(md5(unit_id || '::' || b), i * 4 + 1, 4) AS INTEGER)) AS w
+FROM (SELECT DISTINCT unit_id FROM unit_outcomes), range(0, 25) x(b), range(0, 8) y(i)
+UNION ALL SELECT DISTINCT unit_id, 0, 1 FROM unit_outcomes"""
+
+CTES["boot_stats"] = """
+SELECT experiment_id, variant_id, replicate, unnest(['mean', 'ratio']) AS statistic,
+       unnest([v / NULLIF(n, 0), v / NULLIF(p, 0)]) AS stat
+FROM (SELECT u.experiment_id, u.variant_id, w.replicate, CAST(sum(w.w) AS DOUBLE) AS n, CAST(sum(w.w * u.conversion_events) AS DOUBLE) AS p,
+             CAST(sum(CAST(w.w AS DECIMAL(3, 0)) * CAST(u.revenue AS DECIMAL(28, 10))) AS DOUBLE) AS v
+      FROM unit_outcomes u JOIN boot_weights w ON w.unit_id = u.unit_id GROUP BY 1, 2, 3)"""
+
+CTES["boot"] = """
+SELECT experiment_id, variant_id, statistic, max(CASE WHEN replicate = 0 THEN c END) AS control,
+       max(CASE WHEN replicate = 0 THEN t END) AS treatment, max(CASE WHEN replicate = 0 THEN t - c END) AS diff,
+       stddev_samp(t - c) FILTER (replicate > 0) AS std_error, quantile_cont(t - c, 0.025) FILTER (replicate > 0) AS ci_low,
+       quantile_cont(t - c, 0.975) FILTER (replicate > 0) AS ci_high,
+       count(CASE WHEN replicate > 0 THEN t - c END) AS n_replicates
+FROM (SELECT a.experiment_id, a.variant_id, a.statistic, a.replicate, a.stat AS t, b.stat AS c
+      FROM boot_stats a LEFT JOIN boot_stats b ON b.experiment_id = a.experiment_id AND b.replicate = a.replicate
+       AND b.statistic = a.statistic AND b.variant_id = 'control' WHERE a.variant_id <> 'control')
+GROUP BY 1, 2, 3"""
+
+# Days of January 2024 that the two compared versions keep: the first until one day, the second from another on.
+VERSION_UNTIL = "2024-01-20"
+VERSION_FROM = "2024-01-06"
+
+
+def _kept(rule: str) -> str:
+    return f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY experiment_id, unit_id
+                               ORDER BY assigned_at NULLS LAST, variant_id NULLS LAST, assignment_source NULLS LAST) AS rn
+  FROM raw_assignments WHERE {rule}) WHERE rn = 1"""
+
+
+CTES["version_old"] = _kept(f"dt <= DATE '{VERSION_UNTIL}'")
+CTES["version_new"] = _kept(f"dt >= DATE '{VERSION_FROM}'")
+CTES["version_diff"] = """
+SELECT COALESCE(o.experiment_id, n.experiment_id) AS experiment_id, COALESCE(o.unit_id, n.unit_id) AS unit_id,
+       CASE WHEN o.unit_id IS NULL THEN 'added' WHEN n.unit_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       CAST(o.unit_id IS NOT NULL AS BIGINT) AS old_rows, CAST(n.unit_id IS NOT NULL AS BIGINT) AS new_rows
+FROM version_old o FULL JOIN version_new n ON n.experiment_id = o.experiment_id AND n.unit_id = o.unit_id
+WHERE (o.variant_id, o.assigned_at, o.assignment_source, o.dt) IS DISTINCT FROM (n.variant_id, n.assigned_at, n.assignment_source, n.dt)"""
+
+CTES["attribute_profile"] = """
+SELECT event_type, regexp_replace(fullkey, '\\[[0-9]+\\]', '[*]', 'g') AS path,
+       CASE WHEN type IN ('BIGINT', 'UBIGINT', 'HUGEINT') THEN 'integer' WHEN type = 'DOUBLE' THEN 'number' WHEN type = 'VARCHAR' THEN 'string'
+            ELSE lower(type) END AS value_type, count(*) AS n_values,
+       min(CASE WHEN type IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN CAST(value AS DOUBLE) END) AS min_number,
+       max(CASE WHEN type IN ('BIGINT', 'UBIGINT', 'HUGEINT', 'DOUBLE') THEN CAST(value AS DOUBLE) END) AS max_number
+FROM (SELECT e.event_type, t.fullkey, t.type, t.value FROM events e, json_tree(CASE WHEN json_valid(e.props) THEN e.props END) t)
+GROUP BY 1, 2, 3
+UNION ALL
+SELECT event_type, '$', CASE WHEN props IS NULL THEN 'missing' ELSE 'invalid' END, count(*), NULL, NULL
+FROM events WHERE props IS NULL OR NOT json_valid(props) GROUP BY 1, 2, 3"""
+

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from abx.config import DEFAULT
 from abx.functions.util import round_doubles
 from abx.operators import asof as AS
-from abx.operators import assign, cohort, exposure, results
+from abx.operators import assign, bootstrap, cohort, exposure, profile, results, versions
 from abx.operators import identity as ID
 from abx.operators import rollups as RO
 from abx.operators import sessions as SE
 from abx.operators import survival as SV
 from abx.plans import oracle as O
 from abx.plans.experiment import ExperimentDAG
+from abx.streaming import first_exposure as FE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -1092,3 +1093,44 @@ def _quality_rollup(d: ExperimentDAG) -> DataFrame:
 def _sketch_accuracy(d: ExperimentDAG) -> DataFrame:
     """Stored daily sketches merged over all days, beside exact counts."""
     return RO.sketch_accuracy(d.validation_any, RO.daily_sketches(d.validation_any))
+
+
+# ---- resampling, versions, attribute bags ------------------------------------------------------
+@register(
+    "bootstrap_intervals",
+    O.round9(
+        ["control", "treatment", "diff", "std_error", "ci_low", "ci_high"],
+        "boot",
+        ["experiment_id", "variant_id", "statistic", "n_replicates"],
+    ),
+)
+def _bootstrap(d: ExperimentDAG) -> DataFrame:
+    """Revenue a unit and a conversion: arms against control, with intervals of 200 resampled tables."""
+    return _r9(bootstrap.bootstrap_intervals(d.unit_outcomes, cfg=d.cfg))
+
+
+@register("version_diff", "SELECT experiment_id, unit_id, change, old_rows, new_rows FROM version_diff")
+def _version_diff(d: ExperimentDAG) -> DataFrame:
+    """Canonical assignments as kept until one day against those kept from a later first day on."""
+    old = assign.canonical_assignments(d.raw_assignments.filter(F.col("dt") <= F.lit(O.VERSION_UNTIL).cast("date")))
+    new = assign.canonical_assignments(d.raw_assignments.filter(F.col("dt") >= F.lit(O.VERSION_FROM).cast("date")))
+    return versions.version_diff(old, new, ["experiment_id", "unit_id"])
+
+
+@register(
+    "attribute_profile",
+    O.round9(["min_number", "max_number"], "attribute_profile", ["event_type", "path", "value_type", "n_values"]),
+)
+def _attribute_profile(d: ExperimentDAG) -> DataFrame:
+    """Paths and types of every event's properties by event type."""
+    return _r9(profile.attribute_profile(d.events, "props", ["event_type"]))
+
+
+@register(
+    "first_exposures_stream",
+    """SELECT experiment_id, unit_id, variant_id, min(exposed_at) AS first_exposed_at, count(*) > 0 AS is_final
+       FROM raw_exposures GROUP BY 1, 2, 3""",
+)
+def _first_exposures_stream(d: ExperimentDAG) -> DataFrame:
+    """Earliest exposure of each key as a stream leaves it that reads the feed in shuffled order, four batches long."""
+    return FE.replay(d.raw_exposures, batches=4)
