@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -27,13 +28,90 @@ def test_vote_against_plain_sort():
     assert Q.vote(x, known[:0], labels[:0]).tolist() == [0.5] * 21
 
 
-def test_co_products_cover_all_rows(spark):
-    docs = spark.read.parquet(f"{D}/documents.parquet")
+def dense(texts):
+    """Term weights by plain counting."""
+    out = np.zeros((len(texts), Q.TERMS))
+    out[:, : Q.FORMS] = Q.forms(texts)
+    for row, t in zip(out, texts, strict=True):
+        words = [p for w in t.lower().split() for p in ([w] if len(w) <= 24 else [w[i : i + 6] for i in range(0, len(w) - 5, 3)])]
+        for slot, n in Counter(zlib.crc32(w) % Q.WORD_SLOTS for w in words).items():
+            row[Q.FORMS + slot] = min(round(float(np.log1p(1000 * n / len(words)) * 16)), 255)
+    return out / 16
+
+
+def test_sums_cover_all_rows(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet").filter("doc_id IS NOT NULL")
     features = Q._features(docs, "doc_id", "text").repartition(5).cache()
-    x = Q._unpack([r.f for r in features.collect()]).astype(float)
-    got = Q._co_products(features)
-    assert got[: Q.TERMS] == pytest.approx(x.T @ x, rel=1e-5)
-    assert got[Q.TERMS].tolist() == (x > 0).sum(0).tolist()
+    x = dense([(r.text or "").encode() for r in docs.select("text").collect()])
+    got = Q._summed(features, lambda x: np.stack([(x > 0).sum(0), x.sum(0)], axis=1), 2)
+    assert got[:, 0].tolist() == (x > 0).sum(0).tolist()
+    assert got[:, 1] == pytest.approx(x.sum(0), rel=1e-4, abs=1e-4)
+
+
+def test_randomized_space_is_close_to_the_exact_one(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    features = Q._features(docs, "doc_id", "text").cache()
+    x = dense([(r.text or "").encode() for r in docs.collect()])
+    idf = np.log((len(x) + 1) / ((x > 0).sum(0) + 1)) + 1
+    weighed = x * idf
+    _, exact, _ = np.linalg.svd(weighed, full_matrices=False)
+    space = Q.latent_space(features, len(x))
+    held = np.linalg.norm(weighed @ (space / idf[:, None].astype(np.float32))) ** 2
+    assert held > 0.98 * (exact[: Q.RANK] ** 2).sum()
+
+
+def test_scores_against_brute_force(spark):
+    """Every step on whole arrays: weights, the same iterations, all cosines sorted."""
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet").orderBy("doc_id").collect()
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{d}/labels.parquet").collect()}
+    x = dense([(r.text or "").encode() for r in docs])
+    idf = np.log((len(x) + 1) / ((x > 0).sum(0) + 1)) + 1
+    c = (x * idf).T @ (x * idf)
+    basis = Q.start(Q.SKETCH)
+    for _ in range(Q.PASSES - 1):
+        basis = np.linalg.qr(c @ basis)[0]
+    inner = basis.T @ c @ basis
+    y = (x * idf) @ basis @ np.linalg.eigh(inner)[1][:, ::-1][:, : Q.RANK]
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    held = [zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in docs]
+    known = [i for i, r in enumerate(docs) if not held[i] and quality.get(r.doc_id) in (0, 1)]
+    marks = np.asarray([quality[docs[i].doc_id] for i in known], float)
+    got = {r.doc_id: r for r in Q.classify(spark.createDataFrame(docs).repartition(4), spark.read.parquet(f"{d}/labels.parquet")).collect()}
+    for i, r in enumerate(docs):
+        s = y[known] @ y[i]
+        near = np.argsort(-s, kind="stable")[: Q.K]
+        w = np.maximum(s[near], 0)
+        # Copies of a labelled text at the last place may change places.
+        edge = np.isclose(s, s[near[-1]], atol=1e-5)
+        if edge.sum() == 1:
+            assert got[r.doc_id].score == pytest.approx((w * marks[near]).sum() / w.sum(), abs=1e-3)
+    assert len(got) == len(docs)
+
+
+def test_labels_by_vocabulary_alone(spark):
+    """Words of all kinds have the same lengths, letters and layout; only which words occur tells the label."""
+    rng = np.random.default_rng(3)
+    words = list(dict.fromkeys("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(1300)))
+    common, good, bad = words[:600], words[600:900], words[900:1200]
+    rows, marks = [], []
+    for i in range(1500):
+        label = int(rng.integers(0, 2))
+        n = int(rng.integers(60, 200))
+        text = [str(rng.choice((good if label else bad) if rng.random() < 0.3 else common)) for _ in range(n)]
+        rows.append((i, " ".join(text)))
+        marks.append((i, label))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    held = [r for r in Q.classify(docs, labels).join(labels, "doc_id").collect() if r.held_out]
+    one, zero = (np.asarray([r.score for r in held if r.quality == q]) for q in (1, 0))
+    assert ((one[:, None] > zero[None]) + 0.5 * (one[:, None] == zero[None])).mean() > 0.9
+
+
+def test_words_without_spaces_have_pieces():
+    a, b = "今天天气很好我们去公园散步".encode(), "机器学习模型需要大量数据训练".encode()
+    assert [len(x) for x in Q._parts(a)[:2]] == [6, 6] and Q._parts(b"Ab cD") == [b"ab", b"cd"]
+    wa, wb, wc = Q.word_weights([a, b, a])
+    assert wa == wc != wb and Q.word_weights([b""]) == [b""]
 
 
 def test_held_out_accuracy(spark):
