@@ -11,8 +11,11 @@ mean and covariance are the next estimate, kept while the determinant falls. A s
 that holds a third of all rows is combined in every task before it moves. Steps end when no group's
 determinant changes any more.
 
-A group with fewer than MIN_ROWS rows uses the estimate of its language, a small language that of
-the whole table; a table below MIN_ROWS rejects by the base rule alone.
+Every group has its own estimate, however small. It is drawn towards that of its language as if
+PRIOR_ROWS rows of the language stood among its own, the language's likewise towards the whole
+table's, and the table's towards PRIOR_SPREAD times the least deviations around its own center. So
+verdicts change smoothly with a group's size, and a group of a few rows is judged by its language.
+A group of which more than 1 - H_SHARE is junk is described by it, as in any such estimate.
 
 Defined results: a null text has no words; null languages and sources are groups of their own;
 repeated rows each get a row; an empty table gives an empty result; other columns are ignored.
@@ -30,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from abx.llm.common import materialize, slices
+from abx.llm.common import bounded_broadcast, materialize, slices
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 SYMBOLS = b"#*$%&|<>"
 H_SHARE = 0.75
-MIN_ROWS = 200
+# Weight of the wider estimate that an estimate is drawn to, in rows: some for each of eight dimensions.
+PRIOR_ROWS = 40
+PRIOR_SPREAD = 2.0
 # Rejected beyond this quantile of the chi-square law of squared distances.
 REJECT_QUANTILE = 1 - 1e-7
 # Bins of squared distances: width of a step in log space, and the largest distance told apart.
@@ -164,14 +169,13 @@ def _distance(p: int) -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def _levels(rows: DataFrame) -> DataFrame:
-    """(lang, source, level): the group whose estimate the rows of (lang, source) use. Levels are
-    structs (depth, lang, source): depth 2 is the group, 1 its language, 0 the whole table."""
-    groups = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
-    groups = groups.withColumn("n_lang", F.sum("n").over(W.partitionBy("lang")))
-    depth = F.when(F.col("n") >= MIN_ROWS, 2).when(F.col("n_lang") >= MIN_ROWS, 1).otherwise(0)
-    at = F.struct(depth.alias("depth"), F.when(depth >= 1, F.col("lang")).alias("lang"), F.when(depth >= 2, F.col("source")).alias("source"))
-    return groups.select("lang", "source", at.alias("level"))
+def _members(rows: DataFrame) -> DataFrame:
+    """(level, x): every row in its group, its language and the whole table. Levels are structs
+    (depth, lang, source): depth 2 is the group, 1 its language, 0 the whole table."""
+    none = F.lit(None).cast("string")
+    at = [(2, F.col("lang"), F.col("source")), (1, F.col("lang"), none), (0, none, none)]
+    levels = [F.struct(F.lit(d).alias("depth"), lang.alias("lang"), source.alias("source")) for d, lang, source in at]
+    return rows.select(F.explode(F.array(*levels)).alias("level"), "x")
 
 
 def _near(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -201,22 +205,23 @@ def _inverse(floors: list[float]):
     return run
 
 
-def estimates(rows: DataFrame, h_share: float = H_SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
-    """(level, m, w, middle): MCD center, inverse covariance and median squared distance of each level.
+def estimates(rows: DataFrame, h_share: float = H_SHARE) -> DataFrame:
+    """(level, n, m, w, middle): rows, MCD center, inverse covariance and median squared distance of each level.
 
-    ``rows`` has (level, x). Levels with fewer than ``min_rows`` rows get no estimate.
+    ``rows`` has (level, x).
     """
     parts = vector()
     p, floors = len(parts), [f for _, f in parts.values()]
     level = ["depth", "lang", "source"]
     flat = rows.select("level.depth", "level.lang", "level.source", "x")
     quartiles = [F.percentile_approx(F.col("x")[i], [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i in range(p)]
-    start = flat.groupBy(*level).agg(F.count("*").alias("n"), *quartiles).filter(F.col("n") >= min_rows)
+    start = flat.groupBy(*level).agg(F.count("*").alias("rows"), *quartiles)
     scale = [(F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349 for i in range(p)]
     unit = [1 / (scale[i] * scale[i] + floors[i] ** 2) for i in range(p)]
     now = materialize(
         start.select(
             *level,
+            "rows",
             F.array(*[F.col(f"q{i}")[1] for i in range(p)]).alias("m"),
             F.array(*[unit[i] if i == j else F.lit(0.0) for i in range(p) for j in range(p)]).alias("w"),
             F.lit(float("inf")).alias("log_det"),
@@ -243,13 +248,55 @@ def estimates(rows: DataFrame, h_share: float = H_SHARE, min_rows: int = MIN_ROW
         # A level moves on while its determinant falls; one that no longer does keeps its best estimate.
         better = F.col("new_log_det") < F.col("log_det") - TOLERANCE
         pick = [F.when(better, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in ("m", "w", "log_det")]
-        stepped = materialize(_near(now, packed.mapInPandas(_inverse(floors), schema), level).select(*level, "bin", better.alias("better"), *pick))
+        stepped = materialize(_near(now, packed.mapInPandas(_inverse(floors), schema), level).select(*level, "rows", "bin", better.alias("better"), *pick))
         if stepped.filter("better").isEmpty():
             break
         now = stepped.drop("bin", "better")
     # These distances were measured under the estimates that have been kept.
     middle = F.expm1((F.col("bin") + 0.5) * BIN_WIDTH).alias("middle")
-    return stepped.select(F.struct(*level).alias("level"), "m", "w", middle)
+    return stepped.select(F.struct(*level).alias("level"), F.col("rows").alias("n"), "m", "w", middle)
+
+
+def drawn(n: float, m: np.ndarray, c: np.ndarray, wider_m: np.ndarray, wider_c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Center and covariance of ``n`` rows as they are with PRIOR_ROWS rows of the wider estimate among them."""
+    own = n / (n + PRIOR_ROWS)
+    off = m - wider_m
+    return own * m + (1 - own) * wider_m, own * c + (1 - own) * wider_c + own * (1 - own) * np.outer(off, off)
+
+
+def _drawn(fitted: DataFrame, floors: list[float]) -> DataFrame:
+    """(lang, source, n, m, c, w) of rows (lang, source, n, m, w, middle, wider_m, wider_c); without a wider
+    estimate the rows' own center and PRIOR_SPREAD times the least deviations stand for it."""
+    p, usual = len(floors), chi2_quantile(0.5, len(floors))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for lang, source, n, m, w, middle, wider_m, wider_c in zip(*[pdf[c] for c in names], strict=True):
+                m = np.asarray(m, float)
+                # The inner rows spread less than all; texts closer together than the least deviations stay as they are.
+                c = np.linalg.inv(np.asarray(w, float).reshape(p, p)) * max(middle / usual, 1.0)
+                if wider_m is None:
+                    wider_m, wider_c = m, np.diag(np.square(PRIOR_SPREAD * np.asarray(floors)))
+                m, c = drawn(n, m, c, np.asarray(wider_m, float), np.asarray(wider_c, float).reshape(p, p))
+                out.append((lang, source, n, m.tolist(), c.ravel().tolist(), np.linalg.inv(c).ravel().tolist()))
+            yield pd.DataFrame(out, columns=["lang", "source", "n", "m", "c", "w"])
+
+    names = ["lang", "source", "n", "m", "w", "middle", "wider_m", "wider_c"]
+    return fitted.select(*names).mapInPandas(run, "lang string, source string, n bigint, m array<double>, c array<double>, w array<double>")
+
+
+def shrunk(fitted: DataFrame) -> DataFrame:
+    """(lang, source, m, w) of every group, drawn towards its language's and the table's estimates."""
+    floors = [f for _, f in vector().values()]
+    none = F.lit(None).cast("array<double>")
+    flat = fitted.select("level.depth", "level.lang", "level.source", "n", "m", "w", "middle")
+    top = _drawn(flat.filter("depth = 0").withColumn("wider_m", none).withColumn("wider_c", none), floors).first()  # one row
+    wide = [F.array(*[F.lit(v) for v in top[c]]) if top else none for c in ("m", "c")]
+    langs = materialize(_drawn(flat.filter("depth = 1").withColumn("wider_m", wide[0]).withColumn("wider_c", wide[1]), floors))
+    wider = langs.select("lang", F.col("m").alias("wider_m"), F.col("c").alias("wider_c"))
+    groups = _near(flat.filter("depth = 2"), bounded_broadcast(wider, BROADCAST_GROUPS), ["lang"])
+    return _drawn(groups, floors).select("lang", "source", "m", "w")
 
 
 def judge(
@@ -260,37 +307,16 @@ def judge(
     source_col: str = "source",
     reject_quantile: float = REJECT_QUANTILE,
 ) -> DataFrame:
-    """One row per input row: id, COUNTS, base_failed, distance2 (scaled; null if not measured), kept."""
+    """One row per input row: id, COUNTS, base_failed, distance2 (null if base_failed), kept."""
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
     parts = vector()
     p = len(parts)
     counted = statistics(df, id_col, text_col, lang_col, source_col)
     counted = materialize(counted.withColumn("base_failed", base).withColumn("x", F.array(*[c for c, _ in parts.values()])))
     rows = counted.filter(~F.col("base_failed"))
-    levels = materialize(_levels(rows))
-    small = levels.count() <= BROADCAST_GROUPS
-    few = F.broadcast(levels) if small else levels
-    own = _near(rows.select("lang", "source", "x"), few, ["lang", "source"]).select("level", "x")
-    # A language's estimate takes all its rows, also those of its large sources; likewise the table's.
-    shared = levels.select("level").distinct().filter("level.depth < 2")
-    wide = rows.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("depth"), F.col("lang"), F.lit(None).cast("string").alias("source")),
-                F.struct(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source")),
-            )
-        ).alias("level"),
-        "x",
-    )
-    wide = _near(wide, F.broadcast(shared) if small else shared, ["level"])
-    members = materialize(own.filter("level.depth = 2").unionByName(wide))
-    fitted = materialize(estimates(members))
-    known = _near(levels, fitted, ["level"], "left").drop("level")
-    judged = _near(counted, F.broadcast(known) if small else known, ["lang", "source"], "left")
-    scale = chi2_quantile(0.5, p) / F.greatest(F.col("middle"), F.lit(1e-9))
-    # Texts closer together than the least deviations keep distances as they are.
-    distance2 = _distance(p) * F.least(scale, F.lit(1.0))
-    judged = judged.withColumn("distance2", F.when(~F.col("base_failed") & F.col("m").isNotNull(), distance2))
+    known = materialize(shrunk(estimates(materialize(_members(rows)))))
+    judged = _near(counted, bounded_broadcast(known, BROADCAST_GROUPS), ["lang", "source"], "left")
+    judged = judged.withColumn("distance2", F.when(~F.col("base_failed"), _distance(p)))
     limit = chi2_quantile(reject_quantile, p)
     kept = ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= limit)
     return judged.select(F.col("id").alias(id_col), *COUNTS, "base_failed", "distance2", kept.alias("kept"))

@@ -95,4 +95,57 @@ def test_edge_rows(spark):
     assert sum(r.kept for r in got if r.doc_id is not None and r.doc_id < 300) >= 297
     assert O.judge(df.filter(F.lit(False))).count() == 0
     alone = O.judge(df.filter("doc_id < 5")).collect()
-    assert len(alone) == 5 and all(r.kept and r.distance2 is None for r in alone)
+    assert len(alone) == 5 and all(r.kept and r.distance2 is not None for r in alone)
+
+
+def plain(rng, n):
+    return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(n))
+
+
+def test_small_tables_and_groups_are_judged(spark):
+    """Groups of 5 rows and a table of 40 have estimates of their own: junk goes, long and short clean texts stay."""
+    rng = random.Random(2)
+    rows = [(i, plain(rng, rng.choice([60, 150, 400, 3000])), "en" if i % 2 else "de", f"s{i // 10}") for i in range(40)]
+    junk = [(100 + i, " ".join("".join(rng.choices("#*$%&|<>", k=6)) for _ in range(200)) + "\n" + plain(rng, 60), "en", f"s{i}") for i in range(2)]
+    got = {r.doc_id: r for r in O.judge(spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].base_failed for i in got)
+    assert all(got[i].kept for i in range(40)) and not any(got[100 + i].kept for i in range(2))
+
+
+def test_drawing_against_plain_arrays(spark):
+    """Distances of judged rows equal those under estimates drawn level by level."""
+    floors = [f for _, f in O.vector().values()]
+    p = len(floors)
+    rng = np.random.default_rng(5)
+    n = {("en", "a"): 500, ("en", "b"): 7, (None, None): 30}
+    rows = [(lang, source, (rng.normal(0, 1, p) + (source == "b")).tolist()) for (lang, source), k in n.items() for _ in range(k)]
+    fitted = O.estimates(O._members(spark.createDataFrame(rows, "lang string, source string, x array<double>"))).cache()
+    got = {(r.lang, r.source): r for r in O.shrunk(fitted).collect()}
+    usual = O.chi2_quantile(0.5, p)
+    level = {tuple(r.level): (r.n, np.asarray(r.m), np.linalg.inv(np.reshape(r.w, (p, p))) * max(r.middle / usual, 1)) for r in fitted.collect()}
+    assert {k: v[0] for k, v in level.items() if k[0] == 2} == {(2, *k): v for k, v in n.items()} and level[(0, None, None)][0] == 537
+
+    def mixed(own, wider):
+        """``own`` and PRIOR_ROWS rows of ``wider`` as one heap: mean, and mean square less its square."""
+        (k, m, c), (wm, wc) = own, wider
+        total = k + O.PRIOR_ROWS
+        mean = (k * m + O.PRIOR_ROWS * wm) / total
+        square = (k * (c + np.outer(m, m)) + O.PRIOR_ROWS * (wc + np.outer(wm, wm))) / total
+        return mean, square - np.outer(mean, mean)
+
+    top = mixed(level[(0, None, None)], (level[(0, None, None)][1], np.diag(np.square(O.PRIOR_SPREAD * np.asarray(floors)))))
+    assert set(got) == set(n)
+    for (lang, source), r in got.items():
+        m, c = mixed(level[(2, lang, source)], mixed(level[(1, lang, None)], top))
+        assert np.asarray(r.m) == pytest.approx(m) and np.linalg.inv(np.reshape(r.w, (p, p))) == pytest.approx(c, abs=1e-9)
+
+
+def test_verdicts_do_not_jump_with_size(spark):
+    """The same odd text in groups of growing size: its distance moves by steps, with no size at which the rule changes."""
+    rng = random.Random(3)
+    odd = "#$ " * 40 + plain(rng, 100)
+    rows = [(i, plain(rng, rng.randint(60, 300)), "en", f"s{n}") for n in (150, 199, 200, 250) for i in range(n)]
+    rows += [(1000 + n, odd, "en", f"s{n}") for n in (150, 199, 200, 250)]
+    got = {r.doc_id: r for r in O.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).filter("doc_id >= 1000").collect()}
+    d = [got[1000 + n].distance2 for n in (150, 199, 200, 250)]
+    assert max(d) < 1.5 * min(d) and len({r.kept for r in got.values()}) == 1
