@@ -7,10 +7,14 @@ context; a byte not seen there costs an escape (method D: half a count of every
 after which the next shorter context predicts among the bytes not yet excluded.
 
 Counting: every task counts the (ORDER + 1)-grams of its texts with a sort, Spark adds them up, and
-shorter contexts are sums over their extensions. A node is kept if it makes up 1 / NODES of all
-positions or more, so that no order can have more than NODES nodes at any corpus size; the counts
-of dropped followers stay in their context as escapes. The trie is therefore small enough to be
-sent to every task, where whole blocks of text are scored by array lookups.
+shorter contexts are sums over their extensions. All counts stay, however rare: they are tables, and
+no node of the trie has to fit anywhere. The SHARED most frequent longest nodes go to every task with
+their predictions, where whole blocks of text are scored by array lookups. Positions that are not
+among them are looked up by a join with all longest nodes; those whose gram no training text holds
+walk down the shorter contexts, by joins again, once for each different gram. (A caller can ask for a
+smaller model by ``nodes``: it drops nodes of under 1 / nodes of all positions, whose counts stay in
+their context as escapes.) ``build_trie`` and ``score_texts`` are the same model in memory, for counts
+that fit there.
 
 Beside it stands a base score by smoothed word counts. Words that make up 1 / WORDS of all tokens or
 more (at most WORDS of them, with WORDS times the mean word length of bytes in all) are sent to the
@@ -31,13 +35,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abx.llm.common import LOWER_BYTES, id_mod, materialize, slices
 
 ORDER = 5
-NODES = 1 << 21
+SHARED = 1 << 21
 WORDS = 1 << 18
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 # Taken from the count of each follower and given to the escape.
@@ -137,9 +141,6 @@ class Trie:
     slots: np.ndarray  # open-addressing table of the longest nodes: key, or 0 if free
     slot_log: np.ndarray
 
-    def __post_init__(self):
-        self.bits = int(len(self.slots)).bit_length() - 1
-
 
 def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.where(x > 0, x, 1.0))
@@ -183,18 +184,24 @@ def build_trie(order: int, nodes: list[tuple[np.ndarray, np.ndarray]], contexts:
         esc_next.append(np.where(left > 0, _log10(out) - _log10(left), 0.0))
     known = len(node[0])
     last = -np.log10(max(SYMBOLS - known, 1))
-    size = 1 << max(4, int(2 * len(node[order])).bit_length())
+    slots, slot_log = slot_table(node[order], first[order])
+    return Trie(order, node, logs, first, context, esc_first, parent, rest, esc_next, float(last), slots, slot_log)
+
+
+def slot_table(keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open-addressing table of keys and their values; the key 0 stays out, as 0 marks a free slot."""
+    size = 1 << max(4, (2 * len(keys) - 1).bit_length())
     slots, slot_log = np.zeros(size, np.uint64), np.zeros(size)
-    todo = np.flatnonzero(node[order])  # the key 0 stays out: 0 marks a free slot
-    at = _slot(node[order], size.bit_length() - 1)
+    todo = np.flatnonzero(keys)
+    at = _slot(keys, size.bit_length() - 1)
     while len(todo):
         free = todo[slots[at[todo]] == 0]
-        slots[at[free]] = node[order][free]
-        done = slots[at[todo]] == node[order][todo]
-        slot_log[at[todo[done]]] = first[order][todo[done]]
+        slots[at[free]] = keys[free]
+        done = slots[at[todo]] == keys[todo]
+        slot_log[at[todo[done]]] = logs[todo[done]]
         todo = todo[~done]
         at[todo] = (at[todo] + 1) & (size - 1)
-    return Trie(order, node, logs, first, context, esc_first, parent, rest, esc_next, float(last), slots, slot_log)
+    return slots, slot_log
 
 
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -236,20 +243,25 @@ def _walk(trie: Trie, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def score_keys(trie: Trie, keys: np.ndarray) -> np.ndarray:
-    """log10 probability of each key; most are found in the table of longest nodes."""
+def look_up(slots: np.ndarray, slot_log: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value of each key, 0 if it is not in the table; positions of the keys that are not)."""
     out = np.zeros(len(keys))
     todo = np.arange(len(keys))
-    at = _slot(keys, trie.bits)
+    at = _slot(keys, len(slots).bit_length() - 1)
     missing = []
     while len(todo):
-        found = trie.slots[at]
-        hit = found == keys[todo]
-        out[todo[hit]] = trie.slot_log[at[hit]]
+        found = slots[at]
+        hit = (found == keys[todo]) & (found != 0)
+        out[todo[hit]] = slot_log[at[hit]]
         missing.append(todo[found == 0])
         on = ~hit & (found != 0)
-        todo, at = todo[on], (at[on] + 1) & (len(trie.slots) - 1)
-    rest = np.concatenate(missing) if missing else todo
+        todo, at = todo[on], (at[on] + 1) & (len(slots) - 1)
+    return out, np.concatenate(missing) if missing else todo
+
+
+def score_keys(trie: Trie, keys: np.ndarray) -> np.ndarray:
+    """log10 probability of each key; most are found in the table of longest nodes."""
+    out, rest = look_up(trie.slots, trie.slot_log, keys)
     if len(rest):
         different, back = np.unique(keys[rest], return_inverse=True)
         out[rest] = _walk(trie, different)[back]
@@ -261,22 +273,86 @@ def score_texts(trie: Trie, texts: list[bytes]) -> np.ndarray:
     return np.bincount(number, score_keys(trie, keys), len(texts))
 
 
-def train_trie(counted: DataFrame, order: int = ORDER, nodes: int = NODES) -> Trie:
-    """The trie of checkpointed counts: at most ``nodes`` nodes and contexts of each order come to the driver."""
-    total = counted.filter("gram IS NOT NULL").agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-total // nodes))
-    tail = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col("gram").bitwiseAND(F.lit(int(_mask(j + 1)))).alias("k")) for j in range(order + 1)]))
-    by_order = counted.filter("gram IS NOT NULL").select("n", tail.alias("t")).groupBy("t.j", "t.k").agg(F.sum("n").alias("n"))
-    by_order = materialize(by_order.filter(F.col("n") >= least))
-    # Totals are counted anew, as they include the followers that were dropped.
-    context = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.shiftright(F.col("gram").bitwiseAND(F.lit(int(_mask(j + 1)))), 8).alias("k")) for j in range(order + 1)]))
-    totals = counted.filter("gram IS NOT NULL").select("n", context.alias("t")).groupBy("t.j", "t.k").agg(F.sum("n").alias("n"))
-    parts = []
-    for df in (by_order, totals.filter(F.col("n") >= least)):
-        got = df.select("j", "k", "n").toArrow()
-        j, k, n = (got.column(c).to_numpy() for c in ("j", "k", "n"))
-        parts.append([(k[j == i].astype(np.uint64), n[j == i]) for i in range(order + 1)])
-    return build_trie(order, *parts)
+def _tail(key: str, n_bytes: str) -> Column:
+    return F.expr(f"{key} & (shiftleft(1L, 8 * ({n_bytes})) - 1)")
+
+
+def _tails(grams: DataFrame, order: int) -> DataFrame:
+    """Every row once for each order j, with its node k (j bytes of context and the byte) and its context x."""
+    out = grams.withColumn("j", F.explode(F.array(*[F.lit(j) for j in range(order + 1)])))
+    return out.withColumn("k", _tail("gram", "j + 1")).withColumn("x", F.shiftright("k", 8))
+
+
+def longest_nodes(grams: DataFrame, least: int) -> DataFrame:
+    """(gram, n, log): the longest nodes of counted grams (gram, n) and the log10 of their prediction."""
+    total = F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8)))
+    return grams.withColumn("total", total).filter(F.col("n") >= least).select("gram", "n", F.log10((F.col("n") - DISCOUNT) / F.col("total")).alias("log"))
+
+
+def most_frequent(nodes: DataFrame, size: int) -> DataFrame:
+    """The nodes above a bound of the count that at most ``size`` nodes reach."""
+    step = F.floor(F.log2("n") * 8)
+    bound, held = None, 0
+    for b, n in sorted(nodes.groupBy(step).count().collect(), reverse=True):  # counts are longs: at most 8 * 63 steps
+        held += n
+        if held > size:
+            break
+        bound = b
+    return nodes.filter(F.lit(False) if bound is None else step >= bound)
+
+
+def walk_down(unknown: DataFrame, grams: DataFrame, order: int, least: int) -> DataFrame:
+    """(gram, log): log10 probability of each different gram that is no longest node, by the walk over the contexts that
+    the counted ``grams`` (gram, n) know. Nodes and contexts of up to one byte, which all walks meet, are at most 65,792 and 257."""
+    nodes = _tails(grams, order).groupBy("j", "k", "x").agg(F.sum("n").alias("n"))
+    nodes = materialize(nodes)
+    asked = _tails(unknown, order)
+    kept = F.col("n") >= least
+    followers = nodes.join(asked.select("j", "x").distinct(), ["j", "x"], "left_semi").withColumn("s", _tail("k", "j"))
+    shorter = nodes.select((F.col("j") + 1).alias("j"), F.col("k").alias("s"), F.col("n").alias("shorter"))
+    contexts = (
+        followers.join(shorter, ["j", "s"], "left")
+        .groupBy("j", "x")
+        .agg(
+            F.sum("n").alias("total"),
+            F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("kept"),
+            F.count(F.when(kept, 1)).alias("different"),
+            F.sum(F.when(kept, F.col("shorter"))).alias("excluded"),
+        )
+        .filter("different > 0")
+    )
+    contexts, hits = materialize(contexts), nodes.filter(kept).select("j", "k", "n")
+    low, high = F.col("j") <= 1, F.col("j") > 1
+    met = asked.filter(low).join(F.broadcast(contexts.filter(low)), ["j", "x"], "left").join(F.broadcast(hits.filter(low)), ["j", "k"], "left")
+    if order > 1:
+        met = met.unionByName(asked.filter(high).join(contexts.filter(high), ["j", "x"], "left").join(hits.filter(high), ["j", "k"], "left"))
+    fields = F.struct("n", "total", "kept", "different", "excluded")
+    met = met.groupBy("gram").agg(*[F.max(F.when(F.col("j") == j, fields)).alias(f"at{j}") for j in range(order + 1)])
+
+    # Contexts are nested: what is known or hit at one length is so at every shorter one.
+    steps = [F.when(F.col("at0.n").isNull(), F.when(F.col("at0.total").isNull(), -np.log10(SYMBOLS)).otherwise(-F.log10(F.greatest(SYMBOLS - F.col("at0.different"), F.lit(1)))))]
+    for j in range(order + 1):
+        n, total = F.col(f"at{j}.n"), F.col(f"at{j}.total")
+        free = total - F.col(f"at{j}.kept") + DISCOUNT * F.col(f"at{j}.different")
+        gain = F.when(n.isNotNull(), F.log10((n - DISCOUNT) / total)).when(total.isNotNull(), F.log10(free / total))
+        if j < order:
+            longer = f"at{j + 1}"
+            left = total - F.col(f"{longer}.excluded")
+            out = free - DISCOUNT * F.col(f"{longer}.different")
+            later = F.when(n.isNotNull(), F.log10(n - DISCOUNT) - F.log10(left)).when((left > 0) & (out > 0), F.log10(out) - F.log10(left))
+            gain = F.when(F.col(f"{longer}.total").isNotNull(), later).otherwise(gain)
+            gain = F.when(F.col(f"{longer}.n").isNull(), gain)
+        steps.append(gain)
+    return met.select("gram", sum((F.coalesce(s, F.lit(0.0)) for s in steps), F.lit(0.0)).alias("log"))
+
+
+def _missed(keys: np.ndarray, number: np.ndarray, n: int) -> pa.ListArray:
+    """The different keys of each of ``n`` texts, and how often it holds them."""
+    by = np.lexsort((keys, number))
+    keys, number = keys[by], number[by]
+    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (number[1:] != number[:-1])])) if len(keys) else by
+    pairs = pa.StructArray.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(np.diff(np.append(first, len(keys))))], names=["gram", "k"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(number[first], np.arange(n + 1)), pa.int32()), pairs)
 
 
 def score(
@@ -284,28 +360,37 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     order: int = ORDER,
-    nodes: int = NODES,
+    nodes: int | None = None,
     words: int = WORDS,
+    shared: int = SHARED,
 ) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)
-    and bits_per_byte of the model. Learns from the rows that are not held out."""
+    and bits_per_byte of the model. Learns from the rows that are not held out. ``shared`` and ``words`` say how much of the
+    model is sent to the tasks, and don't change results; ``nodes`` asks for a smaller model."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("id"), text.alias("text"), (id_mod(F.col(id_col), HELD_OUT_MOD) == HELD_OUT_REST).alias("held_out"))
     counted = materialize(count(rows.filter(~F.col("held_out")), order))
     vocabulary = counted.filter("word IS NOT NULL").select("word", "n")
     n_train, n_words = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     frequent = vocabulary.filter(F.col("n") >= max(1, -(-n_train // words))).toArrow()
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(
-        (train_trie(counted, order, nodes), dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True)))
+    grams_seen = counted.filter("gram IS NOT NULL").select("gram", "n")
+    least = 1 if nodes is None else max(1, -(-(grams_seen.agg(F.sum("n")).first()[0] or 0) // nodes))
+    longest = materialize(longest_nodes(grams_seen, least))
+    sent = most_frequent(longest, shared).select("gram", "log").toArrow()
+    table = slot_table(sent.column("gram").to_numpy().astype(np.uint64), sent.column("log").to_numpy())
+    held = df.sparkSession.sparkContext.broadcast(
+        (table, dict(zip(frequent.column("word").to_pylist(), frequent.column("n").to_pylist(), strict=True)))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, seen = shared.value
+        (slots, slot_log), seen = held.value
         logs = {w: float(np.log10(n + 1)) for w, n in seen.items()}
         row = TaskContext.get().partitionId() << 40
         for batch, texts in slices(batches, "text"):
-            model = score_texts(trie, texts)
+            keys, number = grams(texts, order)
+            logs_of, missing = look_up(slots, slot_log, keys)
+            model = np.bincount(number, logs_of, len(texts))
+            missed = _missed(keys[missing], number[missing], len(texts))
             tokens, known, base, size, rest_word, rest_n, offsets = [], [], [], [], [], [], [0]
             for t in texts:
                 counts = Counter(t.translate(LOWER_BYTES).split())
@@ -323,18 +408,24 @@ def score(
             pairs = pa.StructArray.from_arrays([pa.array(rest_word, pa.binary()), pa.array(rest_n, pa.int64())], names=["word", "k"])
             rest = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
             cols = [pa.array(np.arange(row, row + n)), batch.column("id"), batch.column("held_out")]
-            cols += [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model), pa.array(size, pa.int64()), rest]
-            yield pa.RecordBatch.from_arrays(cols, names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "size", "rest"])
+            cols += [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(model), pa.array(size, pa.int64()), rest, missed]
+            yield pa.RecordBatch.from_arrays(cols, names=["row", "id", "held_out", "n_tokens", "known", "base", "score", "size", "rest", "missed"])
             row += n
 
     schema = (
         f"row bigint, id {df.schema[id_col].dataType.simpleString()}, held_out boolean, n_tokens bigint, known bigint, base double, score double, size bigint, "
-        "rest array<struct<word:binary,k:bigint>>"
+        "rest array<struct<word:binary,k:bigint>>, missed array<struct<gram:bigint,k:bigint>>"
     )
     scored = materialize(rows.mapInArrow(run, schema))
     rare = scored.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.k").join(vocabulary, "word")
-    rare = rare.groupBy("row").agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("rare_base"))
-    out = scored.drop("rest").join(rare, "row", "left")
+    rare = rare.select("row", F.col("k").alias("rare_known"), (F.col("k") * F.log10(F.col("n") + 1)).alias("rare_base"), F.lit(0.0).alias("rare_score"))
+    missed = scored.select("row", F.explode("missed").alias("x")).select("row", "x.gram", "x.k")
+    unknown = materialize(missed.select("gram").distinct().join(longest, "gram", "left_anti"))
+    logs = longest.select("gram", "log").unionByName(walk_down(unknown, grams_seen, order, least))
+    found = missed.join(logs, "gram").select("row", F.lit(0).cast("bigint").alias("rare_known"), F.lit(0.0).alias("rare_base"), (F.col("k") * F.col("log")).alias("rare_score"))
+    rare = rare.unionByName(found).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("rare_known", "rare_base", "rare_score")])
+    out = scored.drop("rest", "missed").join(rare, "row", "left")
+    out = out.withColumn("score", F.col("score") + F.coalesce("rare_score", F.lit(0.0)))
     norm = float(np.log10(n_train + n_words + 1))
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)
     return out.select(

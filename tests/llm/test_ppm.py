@@ -119,3 +119,29 @@ def test_edge_rows(spark):
     only = next(i for i in range(100) if held(i))
     alone = M.score(spark.createDataFrame([(only, "ab")], "doc_id long, text string")).first()
     assert alone.train_tokens == 0 and alone.n_known == 0 and alone.score == pytest.approx(-3 * math.log10(256))
+
+
+@pytest.mark.parametrize("shared", [M.SHARED, 3000, 0])
+def test_rare_grams_of_a_large_corpus_are_kept(spark, shared):
+    # Over 2^21 positions of training, with a passage that occurs once: a rising cut forgot it.
+    ids = [i for i in range(99) if not held(i)][:6]
+    out = next(i for i in range(99) if held(i))
+    rare = "Quagmire \x00\x00\x00\x00\x00\x00\x00 zephyr, once."
+    rows = [(i, "the cat sat on the mat. " * 30_000) for i in ids[:5]] + [(ids[5], rare), (None, rare[:9]), (out, rare + " The mat~ \U0001f642"), (out, "zephyr zephyr")]
+    keys, _ = M.grams([(t or "").encode() for d, t in rows if not held(d)], M.ORDER)
+    nodes, contexts = [], []
+    for j in range(M.ORDER + 1):
+        nodes.append(np.unique(keys & M._mask(j + 1), return_counts=True))
+        contexts.append(np.unique((keys & M._mask(j + 1)) >> np.uint64(8), return_counts=True))
+    want = M.score_texts(M.build_trie(M.ORDER, nodes, contexts), [t.encode() for _, t in rows])
+    assert len(keys) > M.SHARED
+    got = M.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shared=shared).collect()
+    assert sorted(r.score for r in got) == pytest.approx(sorted(want))
+
+
+@pytest.mark.parametrize("shared", [500, 0])
+def test_joined_grams_score_like_shared_ones(spark, shared):
+    df = spark.read.parquet(DOCS).select("doc_id", "text")
+    df = df.unionByName(df.limit(30)).unionByName(spark.createDataFrame([(None, None), (None, "ab"), (7, "")], df.schema))
+    got, want = (sorted((r.doc_id or -1, r.n_tokens, round(r.score, 6)) for r in M.score(df, shared=x).collect()) for x in (shared, M.SHARED))
+    assert got == want
