@@ -1,8 +1,10 @@
 """Earliest exposure of each key, kept in a keyed state store while exposures arrive late and in any order.
 
 Each micro-batch reduces its rows to the earliest of a key within a task before anything moves, so a key that holds most
-rows brings a handful to its state. The state is one time and one revision a key. What comes out are corrections: a row
-whenever the earliest time of a key becomes known or earlier, never one for exposures that change nothing.
+rows brings a handful to its state. The state is one time, one revision and one expiry a key. Keys are kept by PAGES pages of
+a hash: a state row holds the keys of a page, so Python is called once for a page and not for every key, while pages stay
+small (some hundred keys each, of some millions). What comes out are corrections: a row whenever the earliest time of a key
+becomes known or earlier, never one for exposures that change nothing.
 
 ``lateness`` is how far exposures may trail the latest one seen. State is dropped once the watermark has passed the key's
 earliest time by ``keep``; an exposure after that opens the key again with a later time, which ``settled`` (the earliest of
@@ -16,6 +18,7 @@ import uuid
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +31,13 @@ from abx.session import ensure_checkpoint_dir
 KEY = ("experiment_id", "unit_id", "variant_id")
 LATENESS = "7 days"
 KEEP = timedelta(days=14)
+# A stream's checkpoint holds for the number of pages it was begun with.
+PAGES = 1 << 13
 _ROWS = "experiment_id string, unit_id string, variant_id string, us long"
+_PAGE = (
+    "experiment_id array<string>, unit_id array<string>, variant_id array<string>, "
+    "first_us array<long>, revision array<long>, until_ms array<long>"
+)
 _OUT = (
     "experiment_id string, unit_id string, variant_id string, first_exposed_at timestamp_ntz, "
     "was_first_at timestamp_ntz, revision long"
@@ -41,8 +50,18 @@ def earliest_in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows.groupby(list(KEY), dropna=False, as_index=False, sort=False)["us"].min()
 
 
-def _time(us: int | None) -> pd.Timestamp | None:
-    return None if us is None else pd.Timestamp(us, unit="us")
+def _earliest(parts: Iterator[pd.DataFrame]) -> dict[tuple, int]:
+    """Earliest time of each key; a missing part of a key is None."""
+    out: dict[tuple, int] = {}
+    for p in parts:
+        keys = zip(*([k if isinstance(k, str) else None for k in p[c].tolist()] for c in KEY), strict=True)
+        for k, us in zip(keys, p["us"].tolist(), strict=True):
+            out[k] = min(us, out.get(k, us))
+    return out
+
+
+def _times(us: list[int | None]) -> pd.Series:
+    return pd.Series(np.array([pd.NaT.value if u is None else u for u in us]).view("datetime64[us]"))
 
 
 def corrections(exposures: DataFrame, lateness: str = LATENESS, keep: timedelta = KEEP) -> DataFrame:
@@ -50,33 +69,35 @@ def corrections(exposures: DataFrame, lateness: str = LATENESS, keep: timedelta
     1) for a stream of exposures. Rows without a time are left out; null keys are keys."""
     keep_ms = int(keep.total_seconds() * 1000)
 
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+    def step(page, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
+        lows = _earliest(parts)
+        kept = list(zip(*state.get, strict=True)) if state.exists else []
+        # A key's state ends once the watermark has passed its expiry, unless exposures of it arrive just now.
+        held = {row[:3]: row[3:] for row in kept if row[5] >= now or row[:3] in lows}
+        new = []
+        for key, low in lows.items():
+            was, revision, _ = held.get(key, (None, 0, 0))
+            if was is None or low < was:
+                new.append((*key, low, was, revision + 1))
+                was, revision = low, revision + 1
+            held[key] = (was, revision, max(was // 1000 + keep_ms, now + 1))
+        if held:
+            state.update(tuple(map(list, zip(*(k + v for k, v in held.items()), strict=True))))
+            state.setTimeoutTimestamp(max(min(until for *_, until in held.values()), now + 1))
+        else:
             state.remove()
-            return
-        low = min((int(p["us"].min()) for p in parts if len(p)), default=None)
-        was, revision = state.get if state.exists else (None, 0)
-        if low is not None and (was is None or low < was):
-            yield pd.DataFrame(
-                {
-                    **{c: pd.Series([k], dtype=object) for c, k in zip(KEY, key, strict=True)},
-                    "first_exposed_at": pd.Series([_time(low)], dtype="datetime64[us]"),
-                    "was_first_at": pd.Series([_time(was)], dtype="datetime64[us]"),
-                    "revision": [revision + 1],
-                }
-            )
-            was, revision = low, revision + 1
-            state.update((was, revision))
-        if was is not None:
-            state.setTimeoutTimestamp(max(was // 1000 + keep_ms, state.getCurrentWatermarkMs() + 1))
+        if new:
+            *keys, low, was, revision = map(list, zip(*new, strict=True))
+            out = {c: pd.Series(k, dtype=object) for c, k in zip(KEY, keys, strict=True)}
+            yield pd.DataFrame({**out, "first_exposed_at": _times(low), "was_first_at": _times(was), "revision": revision})
 
     rows = exposures.select(*KEY, epoch_micros("exposed_at").alias("us")).filter(F.col("us").isNotNull())
     rows = rows.mapInPandas(earliest_in_task, _ROWS)
     # A watermark needs a time with a zone; the count of microseconds is the same in every session zone.
     timed = rows.withColumn("at", F.timestamp_micros("us")).withWatermark("at", lateness)
-    return timed.groupBy(*KEY).applyInPandasWithState(
-        step, _OUT, "first_us long, revision long", "update", GroupStateTimeout.EventTimeTimeout
-    )
+    timed = timed.withColumn("page", F.pmod(F.xxhash64(*KEY), F.lit(PAGES)))
+    return timed.groupBy("page").applyInPandasWithState(step, _OUT, _PAGE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def start_corrections(
@@ -108,11 +129,11 @@ def replay(exposures: DataFrame, batches: int, lateness: str = "3650 days") -> D
     its earliest time."""
     spark = exposures.sparkSession
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/first_exposure/{uuid.uuid4().hex}"
-    parts = max(batches, spark.sparkContext.defaultParallelism // batches * batches)
+    parts = batches * max(1, spark.sparkContext.defaultParallelism)  # a file a core in every batch
     rows = exposures.select("event_id", *KEY, "exposed_at")
     rows.repartition(parts, F.xxhash64("event_id", "exposed_at")).write.parquet(f"{base}/feed")
     feed = spark.readStream.schema(spark.read.parquet(f"{base}/feed").schema)
-    feed = feed.option("maxFilesPerTrigger", max(1, parts // batches)).parquet(f"{base}/feed")
+    feed = feed.option("maxFilesPerTrigger", parts // batches).parquet(f"{base}/feed")
     query = start_corrections(feed, f"{base}/out", f"{base}/offsets", lateness, timedelta(days=3650))
     query.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
